@@ -122,8 +122,8 @@ def code(v: np.ndarray) -> np.ndarray:
 
 def measured(docs: DataFrame) -> DataFrame:
     """All columns of docs with the FEATURES and the pattern of votes."""
-    kept = [c for c in docs.columns if c not in ("text",)]
     names = [f.split()[0] for f in FEATURES.split(", ")] + ["pattern"]
+    kept = [c for c in docs.columns if c != "text" and c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,9 +132,9 @@ def measured(docs: DataFrame) -> DataFrame:
                 pattern = code(votes(dict(zip(names, f, strict=False))))
                 yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(x, pa.int64()) for x in (*f, pattern))], names=["row", *names])
 
-    rows = docs.select(F.struct(*[F.col(c) for c in kept]).alias("row"), F.col("text").alias("text"))
+    rows = docs.select(F.struct(*[F.col(c) for c in kept], F.lit(0).alias("_")).alias("row"), F.col("text").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, {FEATURES}, pattern long").select("row.*", *names)
+    return rows.mapInArrow(run, f"row {kind}, {FEATURES}, pattern long").select(*[F.col("row")[c].alias(c) for c in kept], *names)
 
 
 def estimate(counts: dict[int, int]) -> dict[int, float]:
@@ -160,6 +160,31 @@ def estimate(counts: dict[int, int]) -> dict[int, float]:
     return dict(zip(codes.tolist(), p.tolist(), strict=True))
 
 
+def _posterior(rows: DataFrame) -> dict[int, float]:
+    """From measured rows: at most 3 ** 9 counts go to the driver."""
+    return estimate({r["pattern"]: r["count"] for r in rows.groupBy("pattern").count().collect()})
+
+
+def good(docs: DataFrame) -> DataFrame:
+    """The documents whose verdict is kept, with all their columns; nothing is shuffled but the counts."""
+    posterior = _posterior(measured(docs.select("text")))
+    names = [f.split()[0] for f in FEATURES.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                f = dict(zip(names, features(*text_bytes(part.column("text"))), strict=True))
+                fine = np.array([posterior.get(c, 0.0) >= 0.5 for c in code(votes(f)).tolist()], bool)
+                yield part.filter(pa.array(fine & ~base_failed(f)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def base_failed(f: dict):
+    """Of arrays or columns of features."""
+    return (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """All columns of docs but the text, its features, base_failed, quality (the posterior) and kept.
 
@@ -167,10 +192,7 @@ def judge(docs: DataFrame) -> DataFrame:
     and once for the verdicts; nothing is shuffled but the counts.
     """
     rows = measured(docs)
-    counts = {r["pattern"]: r["count"] for r in rows.groupBy("pattern").count().collect()}
-    posterior = estimate(counts)
-    spark = docs.sparkSession
-    table = spark.createDataFrame(list(posterior.items()), "pattern long, quality double")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    table = docs.sparkSession.createDataFrame(list(_posterior(rows).items()), "pattern long, quality double")
+    failed = base_failed({c: F.col(c) for c in ("n_words", "n_repeat_words")})
     out = rows.join(F.broadcast(table), "pattern").withColumn("base_failed", failed)  # 3 ** 9 rows at most
     return out.withColumn("kept", ~failed & (F.col("quality") >= 0.5)).drop("pattern")

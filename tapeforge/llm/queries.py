@@ -33,6 +33,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.mix(read(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "probability")
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii as op
+
+    return op.replace(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,7 +78,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.licenses(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_main_text, op3_mixing, op5_near_dup, op6_packing, op7_quality, op8_language, op9_chat, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_main_text, op3_mixing, op4_surrogates, op5_near_dup, op6_packing, op7_quality, op8_language, op9_chat, op10_licenses)}
 QUERY_SQL: dict[str, str] = {
     # the text is split and unescaped again by the query; here it is taken from the table
     "op9_chat": r"""
