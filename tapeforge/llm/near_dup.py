@@ -5,10 +5,11 @@ average; pairs within DISTANCE differing symbols are candidates. The signature i
 ``(DISTANCE + 2) // 2`` chunks, so by pigeonhole one chunk of such a pair has at most one differing symbol;
 a key for each chunk and each symbol left out finds all of them. Candidates are confirmed on full sets.
 
-Steps: equal sets form one class. In every bucket each class is tried against the bucket's first and against
-its predecessor, confirmed links give components, and only then are the remaining pairs of a bucket, those
-that still belong to different components, tried. A group of copies so costs a few pairs a member, and
-no pair of different components that shares a key goes untested.
+Steps: equal sets form one class. Every class is first tried against two others: the first of its buckets and the
+predecessor in its buckets that it shares most buckets with. Confirmed links give components; in ROUNDS rounds more the members
+outside a bucket's largest component try one of that. Then all pairs of a bucket that still belong to different components are tried. A group of copies so costs a few pairs a member, and
+no pair of different components that shares a key goes untested. Before texts are fetched for a pair, two bits of each symbol
+are compared: pairs within DISTANCE symbols are within DISTANCE of these as well, so none is lost.
 
 Defined results: a null or blank text has no shingle, is linked with nothing and is its own component;
 rows with one id count as one document; a row without an id is not linked (component null, kept).
@@ -27,8 +28,11 @@ from pyspark.sql import functions as F
 from .common import chunks, mix, stored, text_bytes, words
 
 SYMBOLS = 96
+#: Further rounds of trying one partner a class before all pairs that are left are tried.
+ROUNDS = 1
 #: A pair of similarity 0.8 has more differing symbols with probability 4e-6; see tests/llm/test_near_dup.py.
 DISTANCE = 37
+PLANES = [f"plane{k}" for k in range(SYMBOLS // 32)]
 
 
 def shingles(offsets: np.ndarray, data: np.ndarray, size: int) -> list[np.ndarray]:
@@ -93,6 +97,21 @@ def keys(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def planes(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each symbol, as SYMBOLS // 32 longs a row."""
+    two = (signature & np.uint16(3)).astype(np.uint64).reshape(len(signature), -1, 32)
+    return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(2, dtype=np.uint64).view(np.int64)
+
+
+def _differing(x: str, y: str) -> Column:
+    """In how many symbols two bits differ, from columns x0, x1, ... and y0, y1, ..."""
+    total = F.lit(0)
+    for k in range(SYMBOLS // 32):
+        d = F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}"))
+        total += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
 def _signed(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, two hashes of the set, and the signature as longs (null for an empty set)."""
 
@@ -112,6 +131,18 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig array<long>")
 
 
+def _with_planes(classes: DataFrame) -> DataFrame:
+    """The signature's two-bit planes beside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = batch.column("sig").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint16).reshape(-1, SYMBOLS)
+            own = planes(sig)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(own[:, k]) for k in range(own.shape[1]))], names=[*batch.schema.names, *PLANES])
+
+    return classes.mapInArrow(run, "id long, size int, sig array<long>, " + ", ".join(f"{p} long" for p in PLANES))
+
+
 def _keyed(classes: DataFrame) -> DataFrame:
     """key, id, size: SYMBOLS rows a class."""
 
@@ -132,17 +163,10 @@ def _similar(a: Column, b: Column) -> Column:
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs within DISTANCE differing symbols."""
-
-    def differing(x: Column, y: Column) -> Column:
-        d = x.bitwiseXOR(y)
-        for s in (8, 4, 2, 1):
-            d = d.bitwiseOR(F.shiftrightunsigned(d, s))
-        return F.bit_count(d.bitwiseAND(F.lit(0x0001000100010001)))
-
-    sig = classes.select("id", "sig")
-    both = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
-    return both.filter(F.aggregate(F.zip_with("sa", "sb", differing), F.lit(0), lambda s, x: s + x) <= DISTANCE).select("a", "b")
+    """The pairs within DISTANCE symbols, by two bits of each."""
+    for c in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("id").alias(c), *[F.col(p).alias(f"{c}{k}") for k, p in enumerate(PLANES)]).hint("merge"), c)
+    return pairs.filter(_differing("a", "b") <= DISTANCE).select("a", "b")
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
@@ -166,8 +190,9 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(sets, "id long, words binary")
-    both = pairs.join(own.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a").join(own.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
+    own = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id", "left_semi").mapInArrow(sets, "id long, words binary")
+    own = stored(own)
+    both = pairs.join(own.select(F.col("id").alias("a"), F.col("words").alias("wa")).hint("merge"), "a").join(own.select(F.col("id").alias("b"), F.col("words").alias("wb")).hint("merge"), "b")
     return both.mapInArrow(confirm, "a long, b long")
 
 
@@ -189,6 +214,14 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id").unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+def _mixed(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, id, size, component, main, planes: the rows of buckets of several components; main is a bucket's largest."""
+    known = classes.select("id", *PLANES).join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = stored(rows.select("key", "id", "size").join(known.hint("merge"), "id"))
+    sizes = rest.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
+    return stored(rest.join(sizes.filter("n > 1").select("key", F.col("most.component").alias("main")).hint("merge"), "key"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document; links are at a similarity of 0.8 or more."""
     signed = _signed(docs, size)
@@ -196,30 +229,52 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     linked = first.filter("n_shingles > 0 and doc_id is not null")
     least = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("class"))
     members = stored(linked.select("doc_id", "n_shingles", "h1", "h2").join(least, ["h1", "h2"]).select("doc_id", "n_shingles", "class"))
-    classes = linked.join(least, ["h1", "h2"]).filter("doc_id = class").select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "sig").dropDuplicates(["id"])
-    classes = stored(classes)
+    classes = linked.join(least, ["h1", "h2"]).filter("doc_id = class").dropDuplicates(["doc_id"])
+    classes = stored(_with_planes(classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "sig")))
 
     w = Window.partitionBy("key").orderBy("id")
     entry = F.struct("id", "size")
     rows = _keyed(classes).select("key", "id", "size", F.first(entry).over(w).alias("head"), F.lag(entry).over(w).alias("prev"), F.lead("id").over(w).alias("next"))
     rows = stored(rows.filter("prev is not null or next is not null").drop("next"))  # buckets of one are done
-    tried = [rows.filter(F.col(c)["id"] < F.col("id")).filter(_similar(F.col("size"), F.col(c)["size"])).select(F.col(c)["id"].alias("a"), F.col("id").alias("b")) for c in ("head", "prev")]
-    pairs = stored(_near(tried[0].unionByName(tried[1]).distinct(), classes))
+    tried = rows.select(F.col("id").alias("b"), "size", F.posexplode(F.array("head", "prev")).alias("kind", "other"))
+    tried = tried.filter((F.col("other.id") < F.col("b")) & _similar(F.col("size"), F.col("other.size"))).groupBy("b", "kind", F.col("other.id").alias("a")).count()
+    tried = tried.groupBy("b", "kind").agg(F.max(F.struct("count", (-F.col("a")).alias("less"))).alias("most")).select((-F.col("most.less")).alias("a"), "b").distinct()
+    pairs = stored(_near(tried, classes))
     edges = stored(_confirmed(docs, pairs, size))
 
-    # what the buckets still hold of different components
     labels = components(edges)
-    rest = rows.select("key", "id", "size").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = stored(rest)
-    mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    rest = rest.join(mixed, "key", "left_semi")
-    p, q = rest.alias("p"), rest.alias("q")
-    left = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.id") < F.col("q.id")) & (F.col("p.component") != F.col("q.component")) & _similar(F.col("p.size"), F.col("q.size")))
-    left = left.select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(_near(left, classes))
+    # buckets of several components: the members outside the largest try, each round, the first of it that they share most with
+    for _ in range(ROUNDS):
+        rest = _mixed(rows, classes, labels)
+        heads = rest.filter("component = main").groupBy("key").agg(F.min(F.struct("id", "size")).alias("head"))
+        out = rest.filter("component <> main").select("key", "id", "size").join(heads.hint("merge"), "key").filter(_similar(F.col("size"), F.col("head.size")))
+        tried = out.groupBy(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "id").count().join(pairs, ["a", "b"], "left_anti")
+        tried = tried.groupBy("id").agg(F.max(F.struct("count", "a", "b")).alias("most")).select("most.a", "most.b").distinct()
+        near = stored(_near(tried, classes))
+        found = stored(_confirmed(docs, near, size))
+        pairs = stored(pairs.unionByName(near).distinct())
+        if found.isEmpty():
+            break
+        labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found))
+
+    # then every pair that is left: rows outside the largest component of a bucket meet all its rows, copies of one text never
+    rest = _mixed(rows, classes, labels)
+    p, q = (rest.select("key", "main", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "size", "component")], *[F.col(c).alias(f"{x}{k}") for k, c in enumerate(PLANES)]) for x in "pq")
+    fits = (F.col("p_component") != F.col("q_component")) & _similar(F.col("p_size"), F.col("q_size")) & (_differing("p", "q") <= DISTANCE)
+    left = p.drop("main").join(q.filter("q_component <> main").hint("merge"), "key").filter(fits).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).distinct()
+    more = stored(left.join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        labels = components(edges.unionByName(_confirmed(docs, more, size)))
+        labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_confirmed(docs, more, size)))
 
     found = members.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select("doc_id", "n_shingles", F.coalesce("component", "class").alias("component_id"))
     alone = first.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, size: int = 5) -> DataFrame:
+    """The documents that are kept, with all their columns; of rows with one id the least."""
+    kept = stored(near_duplicates(docs.select("doc_id", "text"), size).filter("kept and doc_id is not null").select("doc_id").distinct())
+    rows = docs.filter(F.col("doc_id").isNotNull()).join(kept.hint("merge"), "doc_id", "left_semi")
+    other = [c for c in docs.columns if c != "doc_id"]
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct(*other)).alias("row")).select("doc_id", "row.*").select(*docs.columns)
+    return rows.unionByName(docs.filter(F.col("doc_id").isNull()))
