@@ -1,6 +1,434 @@
-"""Queries of the securities master over the driver's tables, with their SQL."""
+"""Queries of the securities master over the driver's tables, each with the SQL that says the same.
+
+The tables hold no securities, so listings are made of orders, customers, suppliers, parts and line items. Rates are a
+fixed small table; everything else is read.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import normalise as N
+from ..functions.similarity import choose_candidate, fuzzy_representative
+from ..operators import canonical, enrich, fx, identify, keyed, merge, quality
+from ..schemas import AMOUNT, FIELDS, field_type
+from ..sources import lookups, store
+from . import jobs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: Units a dollar.
+RATES = {"USD": "1", "EUR": "0.92130000", "GBP": "0.78450000", "JPY": "151.37000000", "CHF": "0.88120000"}
+_CURRENCIES = list(RATES)
+_SQL_CURRENCY = "list_value(" + ", ".join(f"'{c}'" for c in _CURRENCIES) + ")[n_nationkey % 5 + 1]"
+_SQL_RATES = "(values " + ", ".join(f"('{c}', {round(float(r) * 10**8)}::hugeint)" for c, r in RATES.items()) + ") fx(currency, rate8)"
+#: Half-even cents of a price in cents over a rate in hundred-millionths.
+_SQL_CENTS = """(select q + case when 2 * r > rate8 or (2 * r = rate8 and q % 2 = 1) then 1 else 0 end
+  from (select (cents * 100000000) // rate8 as q, (cents * 100000000) % rate8 as r))"""
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tapeforge-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def _rates(spark: SparkSession, without: tuple[str, ...] = ()) -> DataFrame:
+    return spark.createDataFrame([(c, r) for c, r in RATES.items() if c not in without], "currency string, rate string")
+
+
+def _money(column: str) -> Column:
+    return F.col(column).cast("decimal(18,2)").cast(AMOUNT)
+
+
+def _figi(seed: Column) -> Column:
+    return F.upper(F.substring(F.md5(seed.cast("string").cast("binary")), 1, 12))
+
+
+def _listed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the currency of the customer's nation."""
+    currency = F.get(F.array(*[F.lit(c) for c in _CURRENCIES]), F.col("n_nationkey") % 5)
+    nation = _read(spark, sf_dir, "nation").select("n_nationkey")  # a row a nation
+    customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = _read(spark, sf_dir, "orders")
+    out = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", _money("o_totalprice").alias("last_price"), currency.alias("currency"))
+
+
+_SQL_LISTED = f"""listed as (
+  select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, (o_totalprice::decimal(18,2) * 100)::bigint::hugeint as cents, {_SQL_CURRENCY} as currency
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+), usd as (select listed.*, {_SQL_CENTS} as usd from listed join {_SQL_RATES} using (currency))"""
+
+
+@query(
+    f"""with {_SQL_LISTED}, counts as (select o_custkey, o_orderpriority, count(*) as n, min(o_orderkey) as first from usd group by all),
+modes as (select o_custkey, arg_max(o_orderpriority, (n, -first)) as symbol from counts group by all),
+firsts as (select o_custkey, o_orderstatus, min(o_orderkey) as first from usd group by all),
+lists as (select o_custkey, string_agg(o_orderstatus, ',' order by first) as statuses from firsts group by all)
+select o_custkey as security, symbol, statuses, median(usd::decimal(28,4) / 100)::decimal(18,4) as last_price, count(*) as n_listings
+from (select o_custkey, (usd::decimal(28,0)) as usd from usd) join modes using (o_custkey) join lists using (o_custkey) group by o_custkey, symbol, statuses""".replace(
+        "median(usd::decimal(28,4) / 100)::decimal(18,4)", "(median(usd::decimal(28,2))::decimal(28,2) * 0.01)::decimal(18,4)"
+    )
+)
+def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: convert, then merge all listings of a key in one shuffle."""
+    usd = fx.to_usd(_listed_orders(spark, sf_dir), _rates(spark), ["last_price"])
+    rows = usd.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus", "last_price"))).alias("r"))
+    counted = rows.select("o_custkey", F.size("r").cast("long").alias("n_listings"), *[keyed.tallies(keyed.each("r", c)).alias(c) for c in ("o_orderpriority", "o_orderstatus", "last_price")])
+    return counted.select(
+        F.col("o_custkey").alias("security"),
+        keyed.mode_of(F.col("o_orderpriority")).alias("symbol"),
+        F.array_join(F.transform("o_orderstatus", lambda t: t["value"]), ",").alias("statuses"),
+        keyed.median_of(F.col("last_price")).cast("decimal(18,4)").alias("last_price"),
+        "n_listings",
+    ).orderBy("security")
+
+
+@query("select user_id, arg_max(event_type, (n, -first)) as event_type from (select user_id, event_type, count(*) as n, min(event_id) as first from events where event_type is not null group by all) group by user_id")
+def mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.mode_first_seen(_read(spark, sf_dir, "events"), "user_id", "event_type", "event_id")
+
+
+@query("select l_suppkey, median((l_extendedprice::decimal(18,2))::decimal(20,4))::decimal(18,4) as price from lineitem group by l_suppkey")
+def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "lineitem").select("l_suppkey", _money("l_extendedprice").alias("price"))
+    return keyed.median_exact(rows, "l_suppkey", "price").select("l_suppkey", F.col("price").cast("decimal(18,4)").alias("price"))
+
+
+@query("select user_id, string_agg(event_type, ',' order by first) as types from (select user_id, event_type, min(event_id) as first from events where trim(event_type) <> '' group by all) group by user_id")
+def ordered_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "events").select("user_id", "event_id", F.array("event_type").alias("types"))
+    return keyed.ordered_union(rows, "user_id", "types", "event_id").select("user_id", F.array_join("types", ",").alias("types"))
+
+
+@query("select user_id, event_id, event_type, value from events qualify row_number() over (partition by user_id order by event_id) = 1")
+def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.first_wins(_read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), "user_id", "event_id")
+
+
+@query("select source, doc_id, lang, n_chars from documents qualify row_number() over (partition by source order by doc_id desc) = 1")
+def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.last_wins(_read(spark, sf_dir, "documents").select("source", "doc_id", "lang", "n_chars"), "source", "doc_id")
+
+
+@query(f"with {_SQL_LISTED} select o_orderkey, 'USD' as currency, (case when currency = 'USD' then cents else usd end::decimal(18,2) * 0.01)::decimal(18,2) as last_price from usd")
+def fx_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fx.to_usd(_listed_orders(spark, sf_dir), _rates(spark), ["last_price"])
+    return out.select("o_orderkey", "currency", F.col("last_price").cast("decimal(18,2)").alias("last_price"))
+
+
+@query(f"with {_SQL_LISTED} select o_orderkey, currency, (cents::decimal(18,2) * 0.01)::decimal(18,2) as last_price from listed where currency in ('JPY', 'CHF')")
+def missing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fx.to_usd(_listed_orders(spark, sf_dir), _rates(spark, ("JPY", "CHF")), ["last_price"], on_missing_rate="quarantine")
+    return out.filter("rate_missing").select("o_orderkey", "currency", F.col("last_price").cast("decimal(18,2)").alias("last_price"))
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two answers for each part, the second invalid for small parts; parts of size 50 have none."""
+    part = _read(spark, sf_dir, "part").filter("p_size < 50").withColumn("ord", F.explode(F.array(F.lit(0), F.lit(1))))
+    kind = F.when(F.col("p_partkey") % 3 == 0, "ID_ISIN").when(F.col("p_partkey") % 3 == 1, "ID_CUSIP").otherwise("TICKER")
+    own = _figi(F.concat(F.col("p_partkey").cast("string"), F.lit("-"), F.col("ord").cast("string")))
+    figi = F.when((F.col("ord") == 1) & (F.col("p_size") < 10), F.lower(F.concat(F.lit("x"), own))).otherwise(own)
+    return part.select(kind.alias("id_type"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("id_value"), figi.alias("figi"), F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise("").alias("name"), F.col("p_type").alias("ticker"), "ord")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code, k = F.concat(F.lit("P"), F.col("l_partkey").cast("string")), F.col("l_partkey") % 3
+    rows = _read(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity")
+    return rows.select(F.when(k == 0, code).alias("isin"), F.when(k == 1, code).alias("cusip"), code.alias("symbol"), F.lit("LISTED").alias("name"), "l_quantity")
+
+
+_SQL_RESPONSES = """r as (select p_partkey, case when p_size % 2 = 0 then p_name end as fig_name, p_type,
+  upper(substr(md5(p_partkey || '-' || case when p_size < 10 then '0' else '1' end), 1, 12)) as figi from part where p_size < 50)"""
+
+
+@query(f"with {_SQL_RESPONSES} select figi as share_class_figi, coalesce(fig_name, p_type) as name, p_type as symbol, count(*) as n_listings, sum(l_quantity) as quantity from lineitem join r on l_partkey = p_partkey group by all")
+def identify_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify.identify(_lines(spark, sf_dir), _responses(spark, sf_dir))
+    return out.groupBy("share_class_figi", "name", "symbol").agg(F.count("*").alias("n_listings"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("select l_partkey, count(*) as n_listings from lineitem where l_partkey not in (select p_partkey from part where p_size < 50) group by all")
+def identify_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify.unidentified(_lines(spark, sf_dir), _responses(spark, sf_dir))
+    return out.groupBy(F.substring("symbol", 2, 20).cast("long").alias("l_partkey")).agg(F.count("*").alias("n_listings"))
+
+
+@query("""select c_custkey as key, case when c_acctbal >= 0 then c_acctbal else s_acctbal end as last_price, coalesce(case when c_custkey % 2 = 0 then c_mktsegment end, s_name) as sector
+from customer left join supplier on c_custkey = s_suppkey""")
+def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("last_price"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("sector"))
+    more = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("last_price"), F.col("s_name").alias("sector"))
+    gaps = enrich.missing_fields(["last_price", "sector"])
+    return enrich.fill(rows.filter(gaps), more, "key").unionByName(rows.filter(~gaps))
+
+
+@query(r"""with n as (select doc_id, trim(regexp_replace(text, '[^\p{L}\p{N}_]+', ' ', 'g')) as t from documents)
+select doc_id, md5(replace(upper(t), 'ẞ', 'SS')) as digest, length(replace(upper(t), 'ẞ', 'SS')) as n_chars from n""")
+def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _read(spark, sf_dir, "documents").select("doc_id", N.norm_text(F.col("text")).alias("t"))
+    return out.select("doc_id", F.md5(F.col("t").cast("binary")).alias("digest"), F.char_length("t").cast("long").alias("n_chars"))
+
+
+@query("select o_orderkey, o_totalprice::decimal(18,2) as price, null::varchar as error from orders")
+def parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices written in four ways and read again."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    us = F.format_number(price, 2)
+    way = F.col("o_orderkey") % 4
+    text = F.when(way == 0, us).when(way == 1, F.translate(us, ",.", ".,")).when(way == 2, F.translate(price.cast("string"), ".", ",")).otherwise(F.concat(F.lit(" ++"), price.cast("string")))
+    out = _read(spark, sf_dir, "orders").select("o_orderkey", N.unsigned_decimal("price", text).alias("v"))
+    return out.select("o_orderkey", F.col("v.value").cast("decimal(18,2)").alias("price"), F.col("v.error").alias("error"))
+
+
+_CHECKED = ["name", "symbol", "isin", "mics", "last_price", "currency", "analyst_rating"]
+
+
+def _raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, text = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    return _read(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(k % 11 != 0, F.col("c_name")).alias("name"),
+        F.concat(F.lit("s-"), text).alias("symbol"),
+        F.concat(F.lit("us"), F.lpad(text, F.when(k % 7 == 0, 8).otherwise(9), F.lit("0")), F.lit("5")).alias("isin"),
+        F.array(F.lit("xnys"), F.when(k % 13 == 0, "bad").otherwise("xlon")).alias("mics"),
+        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("last_price"),
+        F.lit("usd").alias("currency"),
+        F.when(k % 2 == 0, "buy").otherwise("strong buy").alias("analyst_rating"),
+    )
+
+
+@query("""select c_custkey, upper(replace(c_name, '#', ' ')) as name, 'S ' || c_custkey as symbol, 'US' || lpad(c_custkey::varchar, 9, '0') || '5' as isin, 'XNYS,XLON' as mics, c_acctbal::decimal(18,2) as last_price,
+case when c_custkey % 2 = 0 then 'BUY' end as analyst_rating from customer where c_custkey % 11 <> 0 and c_custkey % 7 <> 0 and c_custkey % 13 <> 0 and c_acctbal >= 0""")
+def validate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.valid(quality.validate(_raw_customers(spark, sf_dir), ["c_custkey"], _CHECKED))
+    return out.select("c_custkey", "name", "symbol", "isin", F.array_join("mics", ",").alias("mics"), F.col("last_price").cast("decimal(18,2)").alias("last_price"), "analyst_rating")
+
+
+@query("""select c_custkey, concat_ws('; ', case when c_custkey % 11 = 0 then 'name: missing' end, case when c_custkey % 7 = 0 then 'isin: wrong form' end,
+case when c_custkey % 13 = 0 then 'mics: wrong form' end, case when c_acctbal < 0 then 'last_price: not a number of at least 0' end) as errors
+from customer where c_custkey % 11 = 0 or c_custkey % 7 = 0 or c_custkey % 13 = 0 or c_acctbal < 0""")
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.rejected(quality.validate(_raw_customers(spark, sf_dir), ["c_custkey"], _CHECKED), ["c_custkey"])
+    return out.select("c_custkey", F.array_join("errors", "; ").alias("errors"))
+
+
+@query(r"""select page_id, trim(regexp_extract(html, '<title>([^<]*)<', 1)) as title, trim(regexp_extract(html, '<li><a href="[^"]*">([^<]*)<', 1)) as link,
+list_aggregate(list_filter(list_transform(string_split(trim(regexp_extract(html, '<title>([^<]*)<', 1)), ','), lambda x: trim(x)), lambda x: x <> ''), 'string_agg', '|') as parts from pages""")
+def html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cell = lambda p: N.html_text(F.regexp_extract("html", p, 0))
+    title = F.regexp_extract("html", r"<title>[^<]*</title>", 0)
+    return _read(spark, sf_dir, "pages").select("page_id", cell(r"<title>[^<]*</title>").alias("title"), cell(r'<a href="[^"]*">[^<]*</a>').alias("link"), F.nullif(F.array_join(N.html_mics(title), "|"), F.lit("")).alias("parts"))
+
+
+@query("""select s_suppkey, case when s_suppkey % 2 = 0 then 'GBP' else 'GBX ' end as currency,
+case when s_suppkey % 2 = 0 then case when s_acctbal >= 0 then (s_acctbal::decimal(18,2)::decimal(18,4) * 0.01)::decimal(18,4) end else s_acctbal::decimal(18,4) end as price from supplier""")
+def pence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "supplier").withColumn("ccy", F.when(F.col("s_suppkey") % 2 == 0, "GBX").otherwise("GBX "))
+    price, currency = N.gbx_to_gbp(F.col("s_acctbal").cast("decimal(18,2)").cast("string"), F.col("ccy"))
+    return rows.select("s_suppkey", currency.alias("currency"), price.try_cast("decimal(18,4)").alias("price"))
+
+
+@query("""select event_id, event_type as type, case when event_id % 3 = 0 then null when event_id % 3 = 1 then 'late' else json_extract_string(props, '$.k') end as k from events""")
+def flatten_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = F.from_json("props", "map<string,string>")
+    k = F.when(F.col("event_id") % 3 == 1, "late")
+    second = F.when(F.col("event_id") % 3 != 2, F.create_map(F.lit("k"), k, F.lit("type"), F.col("event_type"))).otherwise(F.create_map(F.lit("type"), F.col("event_type")))
+    m = lookups.flatten_modules([first, second])
+    return _read(spark, sf_dir, "events").select("event_id", F.try_element_at(m, F.lit("type")).alias("type"), F.try_element_at(m, F.lit("k")).alias("k"))
+
+
+def _feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    def feed(table: str, key: str, row: str, name: str) -> DataFrame:
+        return _read(spark, sf_dir, table).select(F.lit(table).alias("feed"), F.col(key).cast("string").alias("isin"), F.col(row).cast("long").alias("row_ord"), F.col(name).cast("string").alias("name"), F.lit("USD").alias("currency"))
+
+    return {"orders": feed("orders", "o_custkey", "o_orderkey", "o_orderpriority"), "customer": feed("customer", "c_nationkey", "c_custkey", "c_name"), "supplier": feed("supplier", "s_suppkey", "s_suppkey", "s_name"), "part": feed("part", "p_brand", "p_partkey", "p_name")}
+
+
+_SQL_FEEDS = """f as (select 'orders' as feed, o_custkey::varchar as isin, o_orderkey as row_ord, o_orderpriority as name from orders union all select 'customer', c_nationkey::varchar, c_custkey, c_name from customer
+union all select 'supplier', s_suppkey::varchar, s_suppkey, s_name from supplier union all select 'part', p_brand, p_partkey, p_name from part)"""
+
+
+@query(f"with {_SQL_FEEDS} select * from f qualify row_number() over (partition by feed, isin order by row_ord) = 1")
+def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for df in _feeds(spark, sf_dir).values():
+        first = keyed.first_wins(df, "isin", "row_ord").drop("currency")
+        out = first if out is None else out.unionByName(first, allowMissingColumns=True)
+    return out
+
+
+@query(f"with {_SQL_FEEDS} select feed, count(*) as n_rows, 0::bigint as missing_isin, 0::bigint as missing_name, 0::bigint as missing_currency, count(distinct isin) as n_keys, count(*) = count(distinct isin) as passed from f group by feed")
+def feed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = None
+    for df in _feeds(spark, sf_dir).values():
+        rows = df if rows is None else rows.unionByName(df)
+    return quality.feed_quality(rows)
+
+
+@query(f"with {_SQL_FEEDS} select feed as stage, count(*) as n_rows, count(distinct isin) as n_keys, count(*) - count(distinct isin) as n_duplicates from f group by feed")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_metrics(_feeds(spark, sf_dir), "isin")
+
+
+def _flat(rows: DataFrame, given: dict[str, Column]) -> DataFrame:
+    """All 37 fields, those given and null for the rest."""
+    return rows.select(*[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
+
+
+def _canonical_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "customer")
+    given = {"share_class_figi": _figi(F.col("c_custkey")), "name": F.upper("c_name"), "symbol": F.concat(F.lit("C"), F.col("c_custkey").cast("string")), "mics": F.array(F.lit("XNYS"), F.lit("XLON")), "last_price": _money("c_acctbal"), "sector": F.col("c_mktsegment")}
+    return canonical.canonicalise(_flat(rows, given))
+
+
+def _flattened(df: DataFrame) -> DataFrame:
+    return df.select("identity.share_class_figi", "identity.name", "identity.symbol", "identity.isin", F.array_join("financials.mics", ",").alias("mics"), F.col("financials.last_price").cast("decimal(18,2)").alias("last_price"), "financials.sector")
+
+
+_SQL_CUSTOMERS = "select upper(substr(md5(c_custkey::varchar), 1, 12)) as share_class_figi, upper(c_name) as name, 'C' || c_custkey as symbol, null::varchar as isin, 'XNYS,XLON' as mics, c_acctbal::decimal(18,2) as last_price, c_mktsegment as sector from customer"
+
+
+@query(_SQL_CUSTOMERS)
+def canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flattened(_canonical_customers(spark, sf_dir))
+
+
+@query(_SQL_CUSTOMERS)
+def export_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To JSON lines and back."""
+    lines = store.payloads(_canonical_customers(spark, sf_dir)).select(F.col("payload").alias("value"), F.col("share_class_figi").alias("ord"))
+    return _flattened(store.parse_ndjson(lines))
+
+
+@query("""with last as (select o_custkey, o_totalprice from orders qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1)
+select c_custkey as key, coalesce(o_totalprice, c_acctbal) as value from customer left join last on c_custkey = o_custkey""")
+def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("value"))
+    new = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("value"), F.col("o_orderkey").alias("ord"))
+    return store.merged(old, new, "key", "ord")
+
+
+@query(f"select * from ({_SQL_CUSTOMERS}) where share_class_figi in (select upper(substr(md5(o_custkey::varchar), 1, 12)) from orders where o_orderstatus = 'P')")
+def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = _read(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(_figi(F.col("o_custkey")).alias("figi"))
+    return _flattened(store.lookup_many(_canonical_customers(spark, sf_dir), keys))
+
+
+@query("""with n as (select user_id, event_type, event_id, floor(epoch(ts))::bigint as fetched_at from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1)
+select user_id, event_type, event_id, fetched_at from n where (select max(floor(epoch(ts)))::bigint from events) - fetched_at <= 60 * 1440""")
+def fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots newest by key and at most a day older than the newest of all."""
+    seconds = F.datediff("ts", F.lit("1970-01-01")).cast("long") * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    rows = _read(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", seconds.alias("fetched_at"))
+    now = rows.agg(F.max("fetched_at").alias("now"))
+    newest = keyed.last_wins(rows, ["user_id", "event_type"], ["ts", "event_id"]).crossJoin(F.broadcast(now))  # a single row is joined
+    return store.fresh(newest, F.col("now")).select("user_id", "event_type", "event_id", "fetched_at")
+
+
+@query()
+def fuzzy_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name that stands for each brand's parts."""
+    rows = _read(spark, sf_dir, "part").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("first"), F.count("*").alias("n"))
+    lists = rows.groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("first", F.col("p_name").alias("value"), "n"))).alias("t"))
+    return lists.select("p_brand", fuzzy_representative("t").alias("name"))
+
+
+def _quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _read(spark, sf_dir, "part")
+    return part.select(F.col("p_brand").alias("query"), F.col("p_partkey").alias("rank"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), F.when(F.col("p_size") % 3 != 0, F.col("p_name")).alias("longname"), F.col("p_type").alias("shortname"))
+
+
+@query()
+def choose_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each size of part the best quote of its brand."""
+    wanted = keyed.first_wins(_read(spark, sf_dir, "part"), ["p_brand", "p_size"], "p_partkey")
+    lists = enrich.viable(_quotes(spark, sf_dir)).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "symbol", "longname", "shortname"))).alias("c"))
+    out = wanted.join(lists, F.col("p_brand") == F.col("query"))
+    return out.select("p_brand", "p_size", choose_candidate("c", "p_name", F.lit("P1")).alias("symbol"))
+
+
+@query()
+def quote_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts searched for by brand in two rungs; the first with a summary gives the data."""
+    k = F.col("p_partkey")
+    rows = _read(spark, sf_dir, "part").filter("p_size % 3 <> 0").select(_figi(k).alias("share_class_figi"), F.when(k % 2 == 0, F.col("p_brand")).alias("isin"), F.when(k % 5 != 0, F.col("p_brand")).alias("cusip"), F.col("p_name").alias("name"), F.concat(F.lit("P"), k.cast("string")).alias("symbol"))
+    summaries = _read(spark, sf_dir, "part").filter("p_size > 10").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), F.col("p_retailprice").alias("last_price"))
+    return enrich.cascade(enrich.chosen_quotes(enrich.attempts(rows), _quotes(spark, sf_dir)), summaries)
+
+
+def _order_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _listed_orders(spark, sf_dir)
+    given = {"share_class_figi": _figi(F.col("o_custkey")), "name": F.concat(F.lit("Holder "), F.col("o_custkey").cast("string")), "symbol": F.col("o_orderpriority"), "mics": F.array(F.col("o_orderstatus")), "currency": F.lit("USD"), "last_price": F.col("last_price"), "market_cap": F.col("last_price") * 2}
+    return rows.select(F.lit("orders").alias("feed"), F.lit(0).alias("feed_rank"), F.col("o_orderkey").alias("row_ord"), *[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
+
+
+_SQL_MERGED = """with counts as (select o_custkey, o_orderpriority, count(*) as n, min(o_orderkey) as first from orders group by all),
+modes as (select o_custkey, arg_max(o_orderpriority, (n, -first)) as symbol from counts group by all),
+firsts as (select o_custkey, o_orderstatus, min(o_orderkey) as first from orders group by all),
+lists as (select o_custkey, string_agg(o_orderstatus, ',' order by first) as mics from firsts group by all),
+med as (select o_custkey, median((o_totalprice::decimal(18,2))::decimal(20,4)) as price from orders group by all)
+select upper(substr(md5(o_custkey::varchar), 1, 12)) as share_class_figi, 'HOLDER ' || o_custkey as name, replace(symbol, '-', ' ') as symbol, mics, 'USD' as currency, price::decimal(18,4) as last_price, (2 * price)::decimal(18,4) as market_cap
+from modes join lists using (o_custkey) join med using (o_custkey)"""
+
+
+def _merged_columns(out: DataFrame) -> DataFrame:
+    return out.select("share_class_figi", "name", "symbol", F.array_join("mics", ",").alias("mics"), "currency", *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("last_price", "market_cap")])
+
+
+@query(_SQL_MERGED)
+def merge_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_columns(merge.merge_listings(_order_listings(spark, sf_dir)))
+
+
+@query(_SQL_MERGED)
+def merge_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every key of more than five listings counted by value first."""
+    return _merged_columns(merge.merge_listings(_order_listings(spark, sf_dir), hot_rows=5))
+
+
+@query()
+def seed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation, conversion, identification, merge and publication of line items as listings."""
+    part = F.col("l_partkey")
+    text = F.concat(F.lit("P"), part.cast("string"))
+    given = {"name": F.concat(F.lit("Part "), part.cast("string")), "symbol": text, "mics": F.array(F.rpad(F.concat("l_returnflag", "l_linestatus"), 4, "X")), "currency": F.get(F.array(*[F.lit(c) for c in _CURRENCIES]), F.col("l_linenumber") % 5), "last_price": F.col("l_extendedprice").cast("decimal(18,2)")}
+    raw = _read(spark, sf_dir, "lineitem").select(F.lit("sec").alias("feed"), F.lit(3).alias("feed_rank"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("row_ord"), *[given.get(f, F.lit(None)).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
+    kind = F.lit("TICKER")
+    answers = _read(spark, sf_dir, "part").select(kind.alias("id_type"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("id_value"), _figi(F.floor(F.col("p_partkey") / 4)).alias("figi"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("ticker"), F.lit(0).alias("ord"))
+    return _flattened(jobs.seed(raw, _rates(spark), answers).canonical)
+
+
+@query("select event_type, user_id, event_id from events qualify row_number() over (partition by event_type, user_id order by event_id) = 1")
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of files, each key's first row kept across batches."""
+    from ..streaming import incremental
+
+    at = _scratch(spark)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = source.select(F.col("event_type").alias("feed"), F.col("user_id").alias("feed_key"), F.col("event_id").alias("row_ord"))
+    started = rows.writeStream.foreachBatch(incremental.running_first(f"{at}/rows")).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    started.awaitTermination()
+    return spark.read.parquet(f"{at}/rows").select(F.col("feed").alias("event_type"), F.col("feed_key").alias("user_id"), F.col("row_ord").alias("event_id"))

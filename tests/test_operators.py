@@ -1,0 +1,234 @@
+"""Operators on small tables, and against plain Python on random ones."""
+
+import json
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapeforge.operators import canonical, enrich, fx, identify, keyed, merge, quality
+from tapeforge.plans import jobs
+from tapeforge.schemas import FIELDS, RAW, field_type
+from tapeforge.sources import feeds, lookups, store
+from tapeforge.streaming import incremental
+
+
+def listings(spark, rows):
+    """Listings of given fields, one security unless said otherwise."""
+    full = [{"share_class_figi": "F" * 12, "name": "N", "symbol": "S", **r} for r in rows]
+    data = [("euronext", 0, i, *[Decimal(str(r[f])) if f in r and r[f] is not None and field_type(f).typeName() == "decimal" else r.get(f) for f in FIELDS]) for i, r in enumerate(full)]
+    head = "feed string, feed_rank int, row_ord long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW)
+    return spark.createDataFrame(data, head)
+
+
+@pytest.mark.parametrize("hot_rows", [100, 0])
+@pytest.mark.parametrize(
+    "field, values, expected",
+    [
+        ("symbol", ["AAA", "ZZZ"], "AAA"),
+        ("symbol", ["mSft", "MSFT", "MSFT", "AMZN"], "MSFT"),
+        ("last_price", [1, 9], 5),
+        ("last_price", [0, 4.32, 4.51, 443, 0.11], 4.32),
+        ("isin", ["A", "B", "A"], "A"),
+        ("isin", [None, None], None),
+        ("mics", [["XNYS", "XNAS"], ["XNAS", "XLON"], ["XETR"]], ["XNYS", "XNAS", "XLON", "XETR"]),
+        ("mics", [["XNYS", "", "  "], [None, "XNYS", "XPAR"]], ["XNYS", "XPAR"]),
+        ("mics", [[], None], None),
+        ("name", ["FOO INC", "FOO INC.", "FOO INCORPORATED", "BAR CORP", "BAR CORPORATION"], "FOO INC"),
+        ("sector", ["ENERGY", "TECHNOLOGY", "TECHNOLOGY"], "TECHNOLOGY"),
+        ("analyst_rating", [None, "SELL", "BUY", "BUY"], "BUY"),
+    ],
+)
+def test_merge_rules(spark, field, values, expected, hot_rows):
+    rows = [{field: v} for v in values]
+    found = merge.merge_listings(listings(spark, rows), hot_rows=hot_rows).collect()
+    assert len(found) == 1
+    got = found[0][field]
+    assert (float(got) if isinstance(got, Decimal) else got) == expected
+
+
+def test_keyed_against_python(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(8), rng.choice("abc"), Decimal(rng.randrange(20)) / 4, i) for i in rng.sample(range(300), 300)]
+    df = spark.createDataFrame(rows, "k int, v string, d decimal(10,2), i int").repartition(3, "v")
+    groups = {}
+    for k, v, d, i in sorted(rows, key=lambda r: r[3]):
+        groups.setdefault(k, []).append((v, d, i))
+    modes = {r["k"]: r["v"] for r in keyed.mode_first_seen(df, "k", "v", "i").collect()}
+    medians = {r["k"]: r["d"] for r in keyed.median_exact(df, "k", "d").collect()}
+    unions = {r["k"]: r["v"] for r in keyed.ordered_union(df.withColumn("v", F.array("v")), "k", "v", "i").collect()}
+    for k, own in groups.items():
+        values = [v for v, _, _ in own]
+        assert modes[k] == max(dict.fromkeys(values), key=lambda v: (values.count(v), -values.index(v)))
+        d = sorted(x for _, x, _ in own)
+        assert medians[k] == (d[(len(d) - 1) // 2] + d[len(d) // 2]) / 2
+        assert unions[k] == list(dict.fromkeys(values))
+
+
+def test_first_and_last(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("A", 3), (None, 4), ("A", 5)], "k string, i int")
+    assert sorted(r["i"] for r in keyed.first_wins(df, "k", "i").collect()) == [1, 3]
+    assert sorted(r["i"] for r in keyed.last_wins(df, "k", "i").collect()) == [4, 5]
+    assert sorted(r["i"] for r in keyed.first_wins(df, "k", "i", null_key="keep").collect()) == [1, 2, 3, 4]
+
+
+def test_one_key(spark):
+    good = spark.createDataFrame([("a", "x"), ("a", "x")], "g string, k string")
+    assert keyed.one_key(good, "g", "k").count() == 2
+    with pytest.raises(Exception, match="exactly one key"):
+        keyed.one_key(good.union(spark.createDataFrame([("a", "y")], "g string, k string")), "g", "k").collect()
+
+
+@pytest.mark.parametrize("amount, currency, rate, expected", [("1", "EUR", "0.8", "1.25"), ("6.47", "EUR", "0.8999", "7.19"), ("1", "EUR", "3", "0.33"), ("1", "EUR", "8", "0.12"), ("10", None, "3", "10"), ("10", "USD", "3", "10")])
+def test_conversion(spark, amount, currency, rate, expected):
+    df = spark.createDataFrame([(Decimal(amount), None, currency)], "last_price decimal(32,14), market_cap decimal(32,14), currency string")
+    rates = spark.createDataFrame([("EUR", rate), ("USD", "1")], "currency string, rate string")
+    row = fx.to_usd(df, rates).first()
+    assert row["last_price"] == Decimal(expected) and row["currency"] == ("USD" if currency else None)
+
+
+def test_missing_rates(spark):
+    df = spark.createDataFrame([(Decimal(1), "EUR"), (Decimal(2), "GBP")], "last_price decimal(32,14), currency string")
+    rates = spark.createDataFrame([("EUR", "0")], "currency string, rate string")
+    with pytest.raises(Exception, match="no rate for"):
+        fx.to_usd(df, rates, ["last_price"]).collect()
+    assert fx.to_usd(df, rates, ["last_price"], on_missing_rate="quarantine").filter("rate_missing").count() == 2
+    assert [r["last_price"] for r in fx.to_usd(df, rates, ["last_price"], on_missing_rate="null").collect()] == [None, None]
+
+
+def test_identify(spark):
+    df = spark.createDataFrame([("I1", None, "S1", "N1"), (None, "C1", "S2", "N2"), (None, None, "S3", "N3")], "isin string, cusip string, symbol string, name string")
+    answers = spark.createDataFrame(
+        [("ID_ISIN", "I1", "OLDOLDOLDOLD", "x", None, 0), ("ID_ISIN", "I1", "NEWNEWNEWNEW", "", "tick", 1), ("ID_ISIN", "I1", "bad", "x", None, 2), ("ID_CUSIP", "C1", "CCCCCCCCCCCC", None, None, 0)],
+        "id_type string, id_value string, figi string, name string, ticker string, ord int",
+    )
+    rows = {r["share_class_figi"]: (r["name"], r["symbol"]) for r in identify.identify(df, answers).collect()}
+    assert rows == {"NEWNEWNEWNEW": ("tick", "tick"), "CCCCCCCCCCCC": ("N2", "S2")}
+    assert [r["symbol"] for r in identify.unidentified(df, answers).collect()] == ["S3"]
+
+
+def test_fill_and_canonical(spark):
+    src = listings(spark, [{"market_cap": 300}]).drop("feed", "feed_rank", "row_ord")
+    more = src.withColumn("last_price", F.lit(25).cast("decimal(32,14)")).withColumn("market_cap", F.lit(999).cast("decimal(32,14)"))
+    row = enrich.fill(src, more).first()
+    assert (row["last_price"], row["market_cap"]) == (25, 300)
+    made = canonical.canonicalise(enrich.fill(src, more))
+    payload = json.loads(store.payloads(made).first()["payload"])
+    assert list(payload) == ["identity", "financials"] and payload["financials"]["last_price"] == "25" and payload["identity"]["isin"] is None
+    with pytest.raises(Exception, match="share_class_figi is missing"):
+        canonical.canonicalise(src.withColumn("share_class_figi", F.lit(" "))).collect()
+    assert canonical.canonicalise(src.withColumn("share_class_figi", F.lit(" ")), "quarantine").count() == 0
+
+
+def test_store_round_trip(spark, tmp_path):
+    rows = [{"share_class_figi": f"{k:012d}", "name": f"N{k}", "last_price": k + 0.25, "mics": ["XNYS", None]} for k in (3, 1, 2)]
+    made = canonical.canonicalise(listings(spark, rows).drop("feed", "feed_rank", "row_ord"))
+    table, files, again = (str(tmp_path / n) for n in ("table", "files", "again"))
+    store.upsert_canonical(made, table)
+    store.upsert_canonical(made.filter("identity.name = 'N2'").withColumn("identity", F.col("identity").withField("name", F.lit("NEW"))), table)
+    names = [r["identity"]["name"] for r in store.load_canonical(spark, table).collect()]
+    assert names == ["N1", "NEW", "N3"]
+    jobs.export(spark, table, files)
+    lines = [r["value"] for r in spark.read.text(files).collect()]
+    assert [json.loads(x)["identity"]["name"] for x in lines] == names
+    jobs.rebuild(spark, files, again)
+    assert store.load_canonical(spark, again).collect() == store.load_canonical(spark, table).collect()
+    assert store.get_canonical(spark, again, "000000000002")["identity"]["name"] == "NEW"
+    with pytest.raises(LookupError):
+        store.get_canonical(spark, again, "nothing")
+    doubled = spark.createDataFrame([(1, lines[0]), (2, "  "), (3, lines[0].replace("N1", "N9"))], "ord int, value string")
+    assert [r["identity"]["name"] for r in store.parse_ndjson(doubled).collect()] == ["N9"]
+
+
+def test_fresh(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 60), ("a", 1)], "k string, fetched_at long")
+    now = F.lit(60 * 1 + 1).cast("long")
+    assert sorted(tuple(r) for r in store.fresh(df, now, 1).collect()) == [("a", 1), ("b", 60)]
+    assert store.fresh(df, now, 0, keys=["k"]).count() == 2
+    with pytest.raises(ValueError):
+        store.fresh(df, now, -1)
+
+
+def test_flatten_modules(spark):
+    maps = "a map<string,string>, b map<string,string>"
+    df = spark.createDataFrame([({"currency": "USD", "p": "1"}, {"currency": None, "y": "2"}), (None, {"z": "1"})], maps)
+    rows = [r["m"] for r in df.select(lookups.flatten_modules([F.col("a"), F.col("b")]).alias("m")).collect()]
+    assert rows == [{"currency": None, "p": "1", "y": "2"}, {"z": "1"}]
+
+
+def write(path, value):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps(value))
+    return str(path.parent)
+
+
+def test_feeds(spark, tmp_path):
+    cell = ["", '<a href="#">Example Co.</a>', "ISIN1234", "EXM", "<div>XAMS, XBRU</div>", "<div>USD <span>1234.56</span></div>"]
+    euronext = write(tmp_path / "e" / "1.json", {"aaData": [cell, cell, ["", "", "I2", "X"], ["", "Short", "I3", "SH"]], "iTotalRecords": 3})
+    item = {"name": {"originalValue": "Foo Corp"}, "wkn": "FOO", "isin": "ISIN1", "overview": {"lastPrice": "50.00"}, "keyData": {"marketCapitalisation": 5000}, "performance": {"weeks52Low": 1.5}}
+    xetra = write(tmp_path / "x" / "1.json", {"recordsTotal": 1, "data": [item]})
+    row = {"issuername": "Foo", "tidm": "F", "currency": "GBX", "lastprice": "123,45", "marketcapitalization": "2000"}
+    lse = write(tmp_path / "l" / "1.json", [{"content": [{"name": "other"}, {"name": "priceexplorersearch", "value": {"content": [row], "totalPages": 7}}]}])
+    write(tmp_path / "l" / "2.json", [{"content": []}])
+    sec = write(tmp_path / "s" / "1.json", {"data": [[1, "Foo Inc", "FOO", "Nasdaq"], [1, "Foo again", "FOO", "NYSE"], [2, "Bar", "BAR", "UNKNOWN"], [3, "", "X", "NYSE"], [4, "Short", "S"]]})
+    out = feeds.union_feeds(spark, {"euronext": euronext, "xetra": xetra, "lse": lse, "sec": sec})
+    rows = {(r["feed"], r["symbol"]): r for r in out.collect()}
+    assert set(rows) == {("euronext", "EXM"), ("euronext", "SH"), ("xetra", "FOO"), ("lse", "F"), ("sec", "FOO"), ("sec", "BAR")}
+    e, x, lse_row = rows["euronext", "EXM"], rows["xetra", "FOO"], rows["lse", "F"]
+    assert (e["name"], e["mics"], e["currency"], e["last_price"]) == ("Example Co.", ["XAMS", "XBRU"], "USD", "1234.56")
+    assert (x["mics"], x["currency"], x["last_price"], x["market_cap"], x["fifty_two_week_min"]) == (["XETR"], "EUR", "50.00", "5000", "1.5")
+    assert (lse_row["currency"], float(lse_row["last_price"]), lse_row["mics"]) == ("GBP", 1.2345, ["XLON"])
+    assert rows["sec", "FOO"]["mics"] == ["XNAS"] and rows["sec", "BAR"]["mics"] == [] and rows["sec", "FOO"]["cik"] is None
+    valid, rejected = jobs.parse(out)
+    assert valid.count() == 3 and rejected.count() == 3  # identifiers of the wrong form
+    assert feeds.union_feeds(spark, {"sec": sec, "lse": str(tmp_path / "none")}, strict=False).count() == 2
+
+
+def test_validation(spark):
+    raw = listings(spark, [{}, {"name": "  "}, {"isin": "bad"}]).select("feed", "feed_rank", "row_ord", *[F.col(f) if f == "mics" else F.col(f).cast("string").alias(f) for f in FIELDS])
+    valid, rejected = jobs.parse(raw)
+    assert valid.count() == 1
+    assert sorted(r["errors"] for r in rejected.collect()) == [["isin: wrong form"], ["name: missing"]]
+
+
+def test_seed_with_enrichment(spark):
+    raw = listings(spark, [{"isin": "US0378331005", "currency": "EUR", "last_price": 2, "share_class_figi": None}, {"isin": "US0378331005", "currency": "USD", "last_price": 6, "share_class_figi": None}])
+    raw = raw.select("feed", "feed_rank", "row_ord", *[F.col(f) if f == "mics" else F.col(f).cast("string").alias(f) for f in FIELDS])
+    rates = spark.createDataFrame([("EUR", "0.5"), ("USD", "1")], "currency string, rate string")
+    answers = spark.createDataFrame([("ID_ISIN", "US0378331005", "BBG001S5N8V8", "Foo Inc", "FOO", 0)], "id_type string, id_value string, figi string, name string, ticker string, ord int")
+    quotes = spark.createDataFrame([("US0378331005", 0, "FOO", "Foo Inc", None)], "query string, rank int, symbol string, longname string, shortname string")
+    summaries = spark.createDataFrame([("FOO", "Foo Incorporated", "EUR", "100", "Technology")], "symbol string, name string, currency string, market_cap string, sector string")
+    row = jobs.seed(raw, rates, answers, quotes, summaries).canonical.first()
+    assert row["identity"]["share_class_figi"] == "BBG001S5N8V8" and row["identity"]["name"] == "FOO INC"
+    assert row["financials"]["last_price"] == 5 and row["financials"]["market_cap"] == 200 and row["financials"]["sector"] == "TECHNOLOGY"
+
+
+def test_cascade(spark):
+    chosen = spark.createDataFrame([("k", 1, "A"), ("k", 2, "B"), ("m", 3, "A"), ("m", 4, "B")], "share_class_figi string, rung int, quote string")
+    summaries = spark.createDataFrame([("B", "b")], "symbol string, sector string")
+    assert [tuple(r) for r in enrich.cascade(chosen, summaries).collect()] == [("k", 2, "B", "b")]
+
+
+def test_streams(spark, tmp_path):
+    source, table, rows = (str(tmp_path / n) for n in ("in", "table", "rows"))
+    schema = listings(spark, []).drop("share_class_figi").schema
+    one = listings(spark, [{"isin": "US0378331005", "currency": "EUR", "last_price": 2}]).drop("share_class_figi")
+    one.write.json(source + "/1")
+    rates = spark.createDataFrame([("EUR", "0.5")], "currency string, rate string")
+    answers = spark.createDataFrame([("ID_ISIN", "US0378331005", "BBG001S5N8V8", "Foo Inc", "FOO", 0)], "id_type string, id_value string, figi string, name string, ticker string, ord int")
+    from pyspark.sql import types as T
+
+    text = T.StructType([f if f.name in ("feed", "feed_rank", "row_ord", "mics") else T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField("share_class_figi", T.StringType())])
+    for price in (4, 10):
+        stream = incremental.listing_stream(spark, source + "/*", text)
+        made = incremental.identified_stream(stream, rates, answers)
+        incremental.upsert_stream(made, table, rows, str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+        assert store.load_canonical(spark, table).first()["financials"]["last_price"] == price
+        one.withColumn("last_price", F.lit(8)).withColumn("row_ord", F.lit(9)).write.json(source + "/2", mode="overwrite")
+
+
+def test_quality_figures(spark):
+    df = spark.createDataFrame([("a", "I1", "n", "c"), ("a", "I1", None, "c"), ("b", " ", "n", "c")], "feed string, isin string, name string, currency string")
+    rows = {r["feed"]: r for r in quality.feed_quality(df).collect()}
+    assert not rows["a"]["passed"] and rows["a"]["missing_name"] == 1 and rows["a"]["n_keys"] == 1 and not rows["b"]["passed"]
