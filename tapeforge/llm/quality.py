@@ -5,7 +5,8 @@ on these counts EM estimates how often each rule's votes are right; a rule that
 abstains adds nothing. A text is kept if its posterior probability of being good is at least one half; ``base_failed`` texts never are.
 
 Defined results: a null text has no words: base_failed. Rows are judged one by one, so repeated rows get equal
-verdicts. An empty table has no patterns; the start values hold. Extra columns pass through where a caller keeps them.
+verdicts. An empty table has no patterns; the start values hold. Extra columns pass through; those with
+names of the results are replaced by them.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def code(v: np.ndarray) -> np.ndarray:
 def measured(docs: DataFrame) -> DataFrame:
     """All columns of docs with the FEATURES and the pattern of votes."""
     names = [f.split()[0] for f in FEATURES.split(", ")] + ["pattern"]
-    kept = [c for c in docs.columns if c != "text" and c not in names]
+    kept = [c for c in docs.columns if c not in ("text", "quality", "base_failed", "kept", *names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +133,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 pattern = code(votes(dict(zip(names, f, strict=False))))
                 yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(x, pa.int64()) for x in (*f, pattern))], names=["row", *names])
 
-    rows = docs.select(F.struct(*[F.col(c) for c in kept], F.lit(0).alias("_")).alias("row"), F.col("text").alias("text"))
+    rows = docs.select(F.struct(*[F.col(c) for c in kept], F.lit(0).alias("_none_")).alias("row"), F.col("text").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(run, f"row {kind}, {FEATURES}, pattern long").select(*[F.col("row")[c].alias(c) for c in kept], *names)
 
