@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|start|>", "<|end|>"
-#: What follows < or [ in the control strings of common templates.
-_CONTROLS = r"\||/?s>|/?INST\]|/?<SYS>>|/?SYS>>|start_of_turn>|end_of_turn>"
+#: What follows < or [ in the control strings of common templates. None holds such a sign itself, so no escape hides another.
+_CONTROLS = r"\||/?s>|/?INST\]|/?SYS>>|start_of_turn>|end_of_turn>"
 
 
 def escape(text: Column) -> Column:

@@ -88,7 +88,7 @@ with t as (
 ), w as (
   select *,
     replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C') as r,
-    regexp_replace(replace(text, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|/?<SYS>>|/?SYS>>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g') as x
+    regexp_replace(replace(text, '\', '\\'), '([<\[])(\||/?s>|/?INST\]|/?SYS>>|start_of_turn>|end_of_turn>)', '\1\\\2', 'g') as x
   from t
 ), p as (
   select *, sum(length(r) + length(x) + 18) over (partition by conv_id order by turn, role, text rows unbounded preceding) as ends,
