@@ -49,7 +49,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has no entity: a cheap test before the pattern.
-HINT = rf"[0-9]{{2}}|@|(?:{'|'.join(TITLES)})\.? \p{{Lu}}|(?:{_FIRST}) \p{{Lu}}|sk-|xox"
+HINT = rf"[0-9]|@|AKIA|gh[pousr]_|(?:{'|'.join(TITLES)})\.? \p{{Lu}}|(?:{_FIRST}) \p{{Lu}}|sk-|xox"
 #: Rounds of new salts after which a surname's surrogate grows by a letter.
 GROW = 8
 
