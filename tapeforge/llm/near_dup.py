@@ -9,7 +9,8 @@ Steps: equal sets form one class. Every class is first tried against two others:
 predecessor in its buckets that it shares most buckets with. Confirmed links give components; in ROUNDS rounds more the members
 outside a bucket's largest component try one of that. Then all pairs of a bucket that still belong to different components are tried. A group of copies so costs a few pairs a member, and
 no pair of different components that shares a key goes untested. Before texts are fetched for a pair, two bits of each symbol
-are compared: pairs within DISTANCE symbols are within DISTANCE of these as well, so none is lost.
+are compared, and the parities of how many shingles fall into each of PARITIES bins: a pair within DISTANCE symbols is within
+DISTANCE of the two bits, and each parity that differs takes a shingle that is in one set only, so no link is lost.
 
 Defined results: a null or blank text has no shingle, is linked with nothing and is its own component;
 rows with one id count as one document; a row without an id is not linked (component null, kept).
@@ -33,6 +34,10 @@ ROUNDS = 1
 #: A pair of similarity 0.8 has more differing symbols with probability 4e-6; see tests/llm/test_near_dup.py.
 DISTANCE = 37
 PLANES = [f"plane{k}" for k in range(SYMBOLS // 32)]
+#: Bits of a set's parity sketch.
+PARITIES = 512
+ODDS = [f"odd{k}" for k in range(PARITIES // 64)]
+SKETCH = [*PLANES, *ODDS]
 
 
 def shingles(offsets: np.ndarray, data: np.ndarray, size: int) -> list[np.ndarray]:
@@ -103,17 +108,29 @@ def planes(signature: np.ndarray) -> np.ndarray:
     return (two << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(2, dtype=np.uint64).view(np.int64)
 
 
-def _differing(x: str, y: str) -> Column:
-    """In how many symbols two bits differ, from columns x0, x1, ... and y0, y1, ..."""
-    total = F.lit(0)
-    for k in range(SYMBOLS // 32):
-        d = F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}"))
-        total += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return total
+def parities(shingles_of_text: np.ndarray) -> np.ndarray:
+    """For each of PARITIES bins whether an odd number of shingles falls into it, as longs."""
+    odd = np.bincount((shingles_of_text & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _fit(x: str, y: str) -> Column:
+    """What every pair of similarity 0.8 within DISTANCE symbols fulfils, from columns such as x_size, x_plane0, x_odd0.
+
+    Similar sets a, b have 9 * |a xor b| <= |a| + |b|.
+    """
+    symbols = shingles_apart = F.lit(0)
+    for c in PLANES:
+        d = F.col(f"{x}_{c}").bitwiseXOR(F.col(f"{y}_{c}"))
+        symbols += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    for c in ODDS:
+        shingles_apart += F.bit_count(F.col(f"{x}_{c}").bitwiseXOR(F.col(f"{y}_{c}")))
+    sizes = F.col(f"{x}_size"), F.col(f"{y}_size")
+    return _similar(*sizes) & (symbols <= DISTANCE) & (9 * shingles_apart <= sizes[0] + sizes[1])
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set, and the signature as longs (null for an empty set)."""
+    """doc_id, n_shingles, two hashes of the set, the signature and the parities as longs (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,15 +141,15 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 sig = signatures(sets).view(np.int64)
                 one, two = (np.array([int(f(s)) if len(s) else 0 for s in sets], np.uint64).view(np.int64) for f in (lambda s: np.bitwise_xor.reduce(s), lambda s: mix(s ^ np.uint64(0xA5A5A5A5)).sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), pa.array(one), pa.array(two), pa.array([sig[k] if c else None for k, c in zip(at, n, strict=True)], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "h1", "h2", "sig"],
+                    [part.column("doc_id"), pa.array(n), pa.array(one), pa.array(two), pa.array([sig[k] if c else None for k, c in zip(at, n, strict=True)], pa.list_(pa.int64())), pa.array([parities(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "h1", "h2", "sig", "odd"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig array<long>, odd array<long>")
 
 
 def _with_planes(classes: DataFrame) -> DataFrame:
-    """The signature's two-bit planes beside it."""
+    """The signature and the columns of SKETCH."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +157,8 @@ def _with_planes(classes: DataFrame) -> DataFrame:
             own = planes(sig)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(own[:, k]) for k in range(own.shape[1]))], names=[*batch.schema.names, *PLANES])
 
-    return classes.mapInArrow(run, "id long, size int, sig array<long>, " + ", ".join(f"{p} long" for p in PLANES))
+    rows = classes.mapInArrow(run, "id long, size int, sig array<long>, odd array<long>, " + ", ".join(f"{p} long" for p in PLANES))
+    return rows.select("id", "size", "sig", *PLANES, *[F.get("odd", F.lit(k)).alias(c) for k, c in enumerate(ODDS)])
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
@@ -163,10 +181,10 @@ def _similar(a: Column, b: Column) -> Column:
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs within DISTANCE symbols, by two bits of each."""
+    """The pairs (a, b) that may be similar, by their sketches."""
     for c in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("id").alias(c), *[F.col(p).alias(f"{c}{k}") for k, p in enumerate(PLANES)]).hint("merge"), c)
-    return pairs.filter(_differing("a", "b") <= DISTANCE).select("a", "b")
+        pairs = pairs.join(classes.select(F.col("id").alias(c), *[F.col(p).alias(f"{c}_{p}") for p in ("size", *SKETCH)]).hint("merge"), c)
+    return pairs.filter(_fit("a", "b")).select("a", "b")
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
@@ -215,8 +233,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, id, size, component, main, planes: the rows of buckets of several components; main is a bucket's largest."""
-    known = classes.select("id", *PLANES).join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    """key, id, size, component, main, sketches: the rows of buckets of several components; main is a bucket's largest."""
+    known = classes.select("id", *SKETCH).join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rest = stored(rows.select("key", "id", "size").join(known.hint("merge"), "id"))
     sizes = rest.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
     return stored(rest.join(sizes.filter("n > 1").select("key", F.col("most.component").alias("main")).hint("merge"), "key"))
@@ -230,7 +248,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     least = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("class"))
     members = stored(linked.select("doc_id", "n_shingles", "h1", "h2").join(least, ["h1", "h2"]).select("doc_id", "n_shingles", "class"))
     classes = linked.join(least, ["h1", "h2"]).filter("doc_id = class").dropDuplicates(["doc_id"])
-    classes = stored(_with_planes(classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "sig")))
+    classes = stored(_with_planes(classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "sig", "odd")))
 
     w = Window.partitionBy("key").orderBy("id")
     entry = F.struct("id", "size")
@@ -259,8 +277,8 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
 
     # then every pair that is left: rows outside the largest component of a bucket meet all its rows, copies of one text never
     rest = _mixed(rows, classes, labels)
-    p, q = (rest.select("key", "main", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "size", "component")], *[F.col(c).alias(f"{x}{k}") for k, c in enumerate(PLANES)]) for x in "pq")
-    fits = (F.col("p_component") != F.col("q_component")) & _similar(F.col("p_size"), F.col("q_size")) & (_differing("p", "q") <= DISTANCE)
+    p, q = (rest.select("key", "main", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "size", "component", *SKETCH)]) for x in "pq")
+    fits = (F.col("p_component") != F.col("q_component")) & _fit("p", "q")
     left = p.drop("main").join(q.filter("q_component <> main").hint("merge"), "key").filter(fits).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).distinct()
     more = stored(left.join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
