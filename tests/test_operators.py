@@ -22,30 +22,31 @@ def listings(spark, rows):
     return spark.createDataFrame(data, head)
 
 
+MERGE_CASES = [
+    ("symbol", ["AAA", "ZZZ"], "AAA"),
+    ("symbol", ["mSft", "MSFT", "MSFT", "AMZN"], "MSFT"),
+    ("last_price", [1, 9], 5),
+    ("last_price", [0, 4.32, 4.51, 443, 0.11], 4.32),
+    ("isin", ["A", "B", "A"], "A"),
+    ("isin", [None, None], None),
+    ("mics", [["XNYS", "XNAS"], ["XNAS", "XLON"], ["XETR"]], ["XNYS", "XNAS", "XLON", "XETR"]),
+    ("mics", [["XNYS", "", "  "], [None, "XNYS", "XPAR"]], ["XNYS", "XPAR"]),
+    ("mics", [[], None], None),
+    ("name", ["FOO INC", "FOO INC.", "FOO INCORPORATED", "BAR CORP", "BAR CORPORATION"], "FOO INC"),
+    ("name", ["X CORP", "Y CORP"], "X CORP"),
+    ("sector", ["ENERGY", "TECHNOLOGY", "TECHNOLOGY"], "TECHNOLOGY"),
+    ("analyst_rating", [None, "SELL", "BUY", "BUY"], "BUY"),
+]
+
+
 @pytest.mark.parametrize("hot_rows", [100, 0])
-@pytest.mark.parametrize(
-    "field, values, expected",
-    [
-        ("symbol", ["AAA", "ZZZ"], "AAA"),
-        ("symbol", ["mSft", "MSFT", "MSFT", "AMZN"], "MSFT"),
-        ("last_price", [1, 9], 5),
-        ("last_price", [0, 4.32, 4.51, 443, 0.11], 4.32),
-        ("isin", ["A", "B", "A"], "A"),
-        ("isin", [None, None], None),
-        ("mics", [["XNYS", "XNAS"], ["XNAS", "XLON"], ["XETR"]], ["XNYS", "XNAS", "XLON", "XETR"]),
-        ("mics", [["XNYS", "", "  "], [None, "XNYS", "XPAR"]], ["XNYS", "XPAR"]),
-        ("mics", [[], None], None),
-        ("name", ["FOO INC", "FOO INC.", "FOO INCORPORATED", "BAR CORP", "BAR CORPORATION"], "FOO INC"),
-        ("sector", ["ENERGY", "TECHNOLOGY", "TECHNOLOGY"], "TECHNOLOGY"),
-        ("analyst_rating", [None, "SELL", "BUY", "BUY"], "BUY"),
-    ],
-)
-def test_merge_rules(spark, field, values, expected, hot_rows):
-    rows = [{field: v} for v in values]
-    found = merge.merge_listings(listings(spark, rows), hot_rows=hot_rows).collect()
-    assert len(found) == 1
-    got = found[0][field]
-    assert (float(got) if isinstance(got, Decimal) else got) == expected
+def test_merge_rules(spark, hot_rows):
+    rows = [{field: v, "share_class_figi": f"{k:012d}"} for k, (field, values, _) in enumerate(MERGE_CASES) for v in values]
+    found = {int(r["share_class_figi"]): r for r in merge.merge_listings(listings(spark, rows), hot_rows=hot_rows).collect()}
+    assert len(found) == len(MERGE_CASES)
+    for k, (field, _, expected) in enumerate(MERGE_CASES):
+        got = found[k][field]
+        assert (float(got) if isinstance(got, Decimal) else got) == expected, (field, got)
 
 
 def test_keyed_against_python(spark):
