@@ -223,4 +223,4 @@ def replace(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     between = F.split("text", ENTITY, -1)
     rows = rows.withColumn("_made", F.when(F.size("_found") > 0, made)).withColumn("_between", F.when(F.size("_found") > 0, between))
     text = F.array_join(F.transform("_between", lambda p, i: F.concat(p, F.coalesce(F.get("_made", i), F.lit("")))), "")
-    return rows.withColumn("n_entities", F.size("_found").cast("long")).withColumn("text", F.when(F.size("_found") > 0, text).otherwise(F.col("text"))).select(*docs.columns, "n_entities")
+    return rows.withColumn("n_entities", F.size("_found").cast("long")).withColumn("text", F.when(F.size("_found") > 0, text).otherwise(F.col("text"))).select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
