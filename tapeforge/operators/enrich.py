@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import choose_candidate
 from ..schemas import FIELDS
+from ..sources.lineage import stored
 from . import fx, quality
 
 
@@ -79,7 +80,7 @@ def enrich(df: DataFrame, quotes: DataFrame, summaries: DataFrame, rates: DataFr
     found = cascade(chosen_quotes(attempts(search, key), quotes, key), summaries.withColumn("summary_symbol", F.col("symbol")), key)
     found = found.withColumnRenamed("summary_symbol", "symbol")
     raw = found.select(F.col(key).alias("_key"), *[F.col(f) if f in found.columns and f != key else F.lit(None).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
-    usable = quality.valid(quality.validate(raw, ["_key"]))
+    usable = quality.valid(stored(quality.validate(raw, ["_key"])))
     usable = fx.to_usd(usable, rates, on_missing_rate="quarantine").filter(~F.col("rate_missing")).drop("rate_missing")
     fresh = usable.drop(key).withColumnRenamed("_key", key)
     out = fill(gaps, fresh, key)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.normalise import norm_text
 from ..functions.similarity import fuzzy_representative
 from ..schemas import AMOUNT, AMOUNTS, FIELDS, FUZZY, MODES, field_type
+from ..sources.lineage import stored
 from .keyed import each, median_of, mode_of, tallies
 
 
@@ -55,7 +56,7 @@ def _rule(field: str) -> Column:
 
 def merge_listings(df: DataFrame, key: str = "share_class_figi", order: list[str] = ["feed_rank", "row_ord"], hot_rows: int = 100) -> DataFrame:  # noqa: B006
     """One row a security with all 37 fields, names normalised again after identification."""
-    rows = df.select(*order, *FIELDS).filter(F.col(key).isNotNull())
+    rows = stored(df.select(*order, *FIELDS).filter(F.col(key).isNotNull()))  # it is read three times
     # keys of many rows are at most rows / hot_rows; the aggregate behind this is of one number a key
     hot = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(key)
     counted = _of_rows(rows.join(hot, key, "left_anti"), key, order).unionByName(_of_counts(rows.join(hot, key, "left_semi"), key, order))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import canonical, enrich, fx, identify, merge, quality
 from ..sources import feeds, store
+from ..sources.lineage import stored
 from ..schemas import FIELDS
 
 PLACE = ["feed", "feed_rank", "row_ord"]
@@ -15,7 +16,7 @@ PLACE = ["feed", "feed_rank", "row_ord"]
 
 @dataclass
 class Seeded:
-    """What a seed job made; nothing has run yet."""
+    """What a seed job made."""
 
     canonical: DataFrame
     rejected: DataFrame
@@ -36,11 +37,16 @@ def listings(raw: DataFrame, rates: DataFrame, responses: DataFrame, on_missing_
 
 
 def seed(raw: DataFrame, rates: DataFrame, responses: DataFrame, quotes: DataFrame | None = None, summaries: DataFrame | None = None, known: DataFrame | None = None) -> Seeded:
-    """Raw listings to canonical records: conversion goes before the merge, so that medians are in dollars."""
+    """Raw listings to canonical records: conversion goes before the merge, so that medians are in dollars.
+
+    Listings in dollars and, where there is enrichment, merged rows are written before they are read more than once.
+    """
     valid, rejected = parse(raw)
-    dollars = fx.to_usd(valid, rates)
+    dollars = stored(fx.to_usd(valid, rates))
     found = identify.identify(dollars, responses).select(*PLACE, *FIELDS)
     merged = merge.merge_listings(found)
+    if quotes is not None:
+        merged = stored(merged)
     full = merged if quotes is None else enrich.enrich(merged, quotes, summaries, rates, known)
     return Seeded(canonical.canonicalise(full), rejected, identify.unidentified(dollars, responses), merged, found)
 

@@ -6,8 +6,6 @@ fixed small table; everything else is read.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +16,7 @@ from ..functions.similarity import choose_candidate, fuzzy_representative
 from ..operators import canonical, enrich, fx, identify, keyed, merge, quality
 from ..schemas import AMOUNT, FIELDS, field_type
 from ..sources import lookups, store
+from ..sources.lineage import scratch
 from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,12 +46,6 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tapeforge-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _rates(spark: SparkSession, without: tuple[str, ...] = ()) -> DataFrame:
     return spark.createDataFrame([(c, r) for c, r in RATES.items() if c not in without], "currency string, rate string")
 
@@ -425,7 +418,7 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of files, each key's first row kept across batches."""
     from ..streaming import incremental
 
-    at = _scratch(spark)
+    at = scratch(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     rows = source.select(F.col("event_type").alias("feed"), F.col("user_id").alias("feed_key"), F.col("event_id").alias("row_ord"))
