@@ -1,8 +1,8 @@
 """Weak supervision of quality: rules vote or abstain, expectation-maximisation weighs them.
 
-Each rule votes good (1) or bad (-1) or abstains (0) on a whole text. The corpus is counted by vote pattern;
-on these counts EM estimates how often each rule's votes are right; a rule that
-abstains adds nothing. A text is kept if its posterior probability of being good is at least one half; ``base_failed`` texts never are.
+Each rule votes good (1) where its value is plainly good, bad (-1) where it is plainly bad, or abstains (0). The corpus is counted by vote pattern;
+on these counts EM estimates the share of good texts and, of each rule, how often it votes bad on good texts and on bad
+ones; a rule that abstains adds nothing. A text is kept if its posterior probability of being good is at least one half; ``base_failed`` texts never are.
 
 Defined results: a null text has no words: base_failed. Rows are judged one by one, so repeated rows get equal
 verdicts. An empty table has no patterns; the start values hold. Extra columns pass through; those with
@@ -29,6 +29,8 @@ RULES = ("length", "word_length", "symbols", "shouting", "repeats", "lines", "ca
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_shouts long, n_upper long, n_letters long, n_plain long"
 WINDOW = 5
 ROUNDS = 200
+#: Start values of EM and their weight in texts: the share of good texts, bad votes on good texts and on bad ones.
+SHARE, FALSE, TRUE, PRIOR = 0.9, 0.01, 0.25, 4.0
 
 
 def _classes() -> np.ndarray:
@@ -95,22 +97,22 @@ def votes(f: dict[str, np.ndarray]) -> np.ndarray:
     """A row of votes for each text, in the order of RULES."""
     n, chars = np.maximum(f["n_words"], 1), np.maximum(f["word_chars"], 1)
 
-    def against(value: np.ndarray, bad: float) -> np.ndarray:
-        """Bad from ``bad`` on; a detector of junk says nothing about texts that it doesn't detect."""
-        return np.where(value >= bad, -1, 0)
+    def judged(value: np.ndarray, fine: float, bad: float) -> np.ndarray:
+        """Good up to ``fine``, bad from ``bad`` on; a text without words shows nothing good."""
+        return np.where(value >= bad, -1, np.where((value <= fine) & (f["n_words"] > 0), 1, 0))
 
     mean = f["word_chars"] / n
     return np.stack(
         [
             np.where(f["n_words"] >= 20, np.where(f["n_words"] <= 100_000, 1, 0), np.where(f["n_words"] < 10, -1, 0)),
-            np.where((mean < 2) | (mean > 16), -1, 0),
-            against(f["n_symbols"] / n, 0.1),
-            against(f["n_shouts"] / n, 0.3),
-            against(f["n_repeat_words"] / n, 0.2),
-            against(f["n_dup_lines"] / np.maximum(f["n_lines"], 1), 0.5),
-            against(f["n_upper"] / np.maximum(f["n_letters"], 1), 0.5),
-            against(1 - f["n_letters"] / chars, 0.6),
-            against(1 - f["n_plain"] / n, 0.4),
+            np.where((mean < 2) | (mean > 16), -1, np.where((mean >= 3) & (mean <= 10), 1, 0)),
+            judged(f["n_symbols"] / n, 0.02, 0.1),
+            judged(f["n_shouts"] / n, 0.1, 0.3),
+            judged(f["n_repeat_words"] / n, 0.05, 0.2),
+            judged(f["n_dup_lines"] / np.maximum(f["n_lines"], 1), 0.2, 0.5),
+            judged(f["n_upper"] / np.maximum(f["n_letters"], 1), 0.2, 0.5),
+            judged(1 - f["n_letters"] / chars, 0.2, 0.6),
+            judged(1 - f["n_plain"] / n, 0.15, 0.4),
         ],
         axis=1,
     ).astype(np.int64)
@@ -145,18 +147,23 @@ def estimate(counts: dict[int, int]) -> dict[int, float]:
     codes = np.array(sorted(counts))
     weight = np.array([counts[c] for c in codes], float)
     v = codes[:, None] // 3 ** np.arange(len(RULES)) % 3 - 1
-    cast = np.abs(v)
-    right = np.full(len(RULES), 0.8)  # start: four votes in five are right
-    p = np.full(len(codes), 0.5)
+    bad, cast = v < 0, v != 0
+    share = SHARE  # of good texts
+    false, true = np.full(len(RULES), FALSE), np.full(len(RULES), TRUE)  # bad votes among those cast on good texts and on bad ones
+    p = np.full(len(codes), share)
     for _ in range(ROUNDS):
-        odds = v @ np.log(right / (1 - right))  # before any vote, good and bad are alike
-        p = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
-        agree = (weight[:, None] * np.where(v > 0, p[:, None], 1 - p[:, None]) * cast).sum(0)
-        # two votes' worth of the start value; a rule may be useless, never worse than chance
-        new = np.clip((agree + 1.6) / ((weight[:, None] * cast).sum(0) + 2), 0.5, 0.999)
-        done = np.abs(new - right).max() < 1e-12
-        right = new
-        if done:
+        says = np.where(bad, np.log(false / true), np.log((1 - false) / (1 - true))) * cast
+        p = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + says.sum(1), -700, 700)))
+        w, u = (weight * p)[:, None], (weight * (1 - p))[:, None]
+        # PRIOR texts' worth of the start values
+        new_share = ((weight * p).sum() + PRIOR * SHARE) / (weight.sum() + PRIOR)
+        new_false = np.clip(((w * bad).sum(0) + PRIOR * FALSE) / ((w * cast).sum(0) + PRIOR), 1e-4, 0.999)
+        new_true = ((u * bad).sum(0) + PRIOR * TRUE) / ((u * cast).sum(0) + PRIOR)
+        # a rule may be useless, its bad votes never speak for a text
+        new_true = np.clip(new_true, new_false, 0.9999)
+        moved = max(abs(new_share - share), np.abs(new_false - false).max(), np.abs(new_true - true).max())
+        share, false, true = new_share, new_false, new_true
+        if moved < 1e-12:
             break
     return dict(zip(codes.tolist(), p.tolist(), strict=True))
 

@@ -306,6 +306,28 @@ def test_votes_decide(spark):
     assert kept == list(range(60))
 
 
+@pytest.mark.parametrize("share", [0.001, 0.05, 0.3])
+def test_one_weak_bad_vote_is_outvoted(share):
+    """Junk of two kinds has several bad votes, a single vote of a rule that it doesn't break against several good ones keeps a text."""
+
+    def pattern(*bad):
+        return int(quality.code(np.array([[-1 if r in bad else 1 for r in quality.RULES]]))[0])
+
+    junk, weak = [pattern("symbols", "plain_words"), pattern("shouting", "capitals")], pattern("word_length")
+    n = int(10_000 * share)
+    p = quality.estimate({pattern(): 10_000 - n - 20, junk[0]: n // 2, junk[1]: n - n // 2, weak: 20})
+    assert p[pattern()] >= 0.5 and p[weak] >= 0.5 and all(p[k] < 0.5 for k in junk)
+
+
+@pytest.mark.parametrize("n_loud", [1, 10, 86])
+def test_texts_with_one_bad_vote(spark, n_loud):
+    good = [prose(i, 60) for i in range(200)]
+    loud = [" ".join(w.upper() + "!!" for w in prose(i, 40).split()) for i in range(n_loud)]
+    weak = ["\n".join([prose(7, 12)] * 3 + [prose(8, 240)])]  # only its lines repeat
+    kept = {r["doc_id"] for r in quality.good(table(spark, good + loud + weak)).collect()}
+    assert kept == {*range(200), 200 + n_loud}
+
+
 # 8 language
 
 
