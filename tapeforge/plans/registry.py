@@ -16,7 +16,7 @@ from ..functions.similarity import choose_candidate, fuzzy_representative
 from ..operators import canonical, enrich, fx, identify, keyed, merge, quality
 from ..schemas import AMOUNT, FIELDS, field_type
 from ..sources import lookups, store
-from ..sources.lineage import scratch
+from ..sources.lineage import scratch, stored
 from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,20 @@ def _listed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", _money("o_totalprice").alias("last_price"), currency.alias("currency"))
 
 
+def merged_orders(usd: DataFrame) -> DataFrame:
+    """The listings of each o_custkey merged; each rule counts by (key, value) first, so that no row holds a key's listings."""
+    key, order = "o_custkey", "o_orderkey"
+    symbols = keyed.mode_first_seen(usd, key, "o_orderpriority", order, "symbol")
+    firsts = usd.filter("o_orderstatus is not null").groupBy(key, "o_orderstatus").agg(F.min(order).alias("first"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("first", "o_orderstatus"))), lambda x: x["o_orderstatus"])  # distinct ones, as in the result
+    statuses = firsts.groupBy(key).agg(F.array_join(listed, ",").alias("statuses"))
+    prices = keyed.median_exact(usd, key, "last_price")
+    out = usd.groupBy(key).agg(F.count("*").alias("n_listings"))
+    for part in (symbols, statuses, prices):
+        out = out.join(part, key, "left")
+    return out.select(F.col(key).alias("security"), "symbol", "statuses", F.col("last_price").cast("decimal(18,4)").alias("last_price"), "n_listings")
+
+
 _SQL_LISTED = f"""listed as (
   select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, (o_totalprice::decimal(18,2) * 100)::bigint::hugeint as cents, {_SQL_CURRENCY} as currency
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
@@ -85,17 +99,9 @@ from (select o_custkey, (usd::decimal(28,0)) as usd from usd) join modes using (
     )
 )
 def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship: convert, then merge all listings of a key in one shuffle."""
+    """The flagship: convert, then merge all listings of a key."""
     usd = fx.to_usd(_listed_orders(spark, sf_dir), _rates(spark), ["last_price"])
-    rows = usd.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus", "last_price"))).alias("r"))
-    counted = rows.select("o_custkey", F.size("r").cast("long").alias("n_listings"), *[keyed.tallies(keyed.each("r", c)).alias(c) for c in ("o_orderpriority", "o_orderstatus", "last_price")])
-    return counted.select(
-        F.col("o_custkey").alias("security"),
-        keyed.mode_of(F.col("o_orderpriority")).alias("symbol"),
-        F.array_join(F.transform("o_orderstatus", lambda t: t["value"]), ",").alias("statuses"),
-        keyed.median_of(F.col("last_price")).cast("decimal(18,4)").alias("last_price"),
-        "n_listings",
-    ).orderBy("security")
+    return merged_orders(stored(usd.select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus", "last_price"))).orderBy("security")  # it is read four times
 
 
 @query("select user_id, arg_max(event_type, (n, -first)) as event_type from (select user_id, event_type, count(*) as n, min(event_id) as first from events where event_type is not null group by all) group by user_id")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeforge.operators import canonical, enrich, fx, identify, keyed, merge, quality
-from tapeforge.plans import jobs
+from tapeforge.plans import jobs, registry
 from tapeforge.schemas import FIELDS, RAW, field_type
 from tapeforge.sources import feeds, lookups, store
 from tapeforge.streaming import incremental
@@ -72,6 +72,27 @@ def test_keyed_against_python(spark):
         assert unions[k] == list(dict.fromkeys(values))
 
 
+def test_merged_orders_with_a_hot_key(spark):
+    """Half of all orders are one customer's, all at other prices; against plain Python, and no row of the plan holds a key's listings."""
+    rng = random.Random(5)
+    rows = [(0 if i % 2 else i % 50, i, rng.choice(["1-URGENT", "5-LOW", None]), rng.choice(["F", "O", "", None]), Decimal(i * 7919 % 20000) / 100) for i in range(20000)]
+    df = spark.createDataFrame(rows, "o_custkey long, o_orderkey long, o_orderpriority string, o_orderstatus string, last_price decimal(32,14)").repartition(3, "last_price")
+    groups = {}
+    for k, i, p, s, d in rows:
+        groups.setdefault(k, []).append((p, s, d))
+    out = registry.merged_orders(df)
+    found = {r["security"]: r for r in out.collect()}
+    assert found.keys() == groups.keys() and len(groups[0]) > 10000
+    for k, own in groups.items():
+        seen, d = [p for p, _, _ in own if p], sorted(x for _, _, x in own)
+        mode = max(dict.fromkeys(seen), key=lambda p: (seen.count(p), -seen.index(p)))
+        assert found[k]["symbol"] == mode and found[k]["n_listings"] == len(own)
+        assert found[k]["statuses"] == ",".join(dict.fromkeys(s for _, s, _ in own if s is not None))
+        assert found[k]["last_price"] == (d[(len(d) - 1) // 2] + d[len(d) // 2]) / 2
+    gathered = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "collect_list" in x]
+    assert gathered and not any("last_price" in x or "o_orderpriority" in x for x in gathered)
+
+
 def test_first_and_last(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("A", 3), (None, 4), ("A", 5)], "k string, i int")
     assert sorted(r["i"] for r in keyed.first_wins(df, "k", "i").collect()) == [1, 3]
