@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalise as N
-from ..functions.similarity import choose_candidate, fuzzy_representative
+from ..functions.similarity import fuzzy_representative
 from ..operators import canonical, enrich, fx, identify, keyed, merge, quality
 from ..schemas import AMOUNT, FIELDS, field_type
 from ..sources import lookups, store
@@ -354,27 +354,40 @@ def fuzzy_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("p_brand", fuzzy_representative("t").alias("name"))
 
 
-def _quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part")
-    return part.select(F.col("p_brand").alias("query"), F.col("p_partkey").alias("rank"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), F.when(F.col("p_size") % 3 != 0, F.col("p_name")).alias("longname"), F.col("p_type").alias("shortname"))
+def _searched(part: Column) -> Column:
+    """What a part is searched for by: eight parts share an answer list, at every scale."""
+    return F.concat(F.lit("Q"), F.floor(part / 8).cast("string"))
+
+
+def _quotes(part: DataFrame) -> DataFrame:
+    k = F.col("p_partkey")
+    return part.select(_searched(k).alias("query"), k.alias("rank"), F.concat(F.lit("P"), k.cast("string")).alias("symbol"), F.when(F.col("p_size") % 3 != 0, F.col("p_name")).alias("longname"), F.col("p_type").alias("shortname"))
+
+
+def part_quotes(part: DataFrame) -> DataFrame:
+    """p_partkey and symbol: the quote of every part that has one."""
+    tried = part.select("p_partkey", F.lit(1).alias("rung"), _searched(F.col("p_partkey")).alias("query"), F.col("p_name").alias("name"), F.lit("P1").alias("symbol"))
+    return enrich.chosen_quotes(tried, _quotes(part), "p_partkey").select("p_partkey", F.col("quote").alias("symbol"))
 
 
 @query()
 def choose_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each size of part the best quote of its brand."""
-    wanted = keyed.first_wins(_read(spark, sf_dir, "part"), ["p_brand", "p_size"], "p_partkey")
-    lists = enrich.viable(_quotes(spark, sf_dir)).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "symbol", "longname", "shortname"))).alias("c"))
-    out = wanted.join(lists, F.col("p_brand") == F.col("query"))
-    return out.select("p_brand", "p_size", choose_candidate("c", "p_name", F.lit("P1")).alias("symbol"))
+    """For every part the best quote of those that its search finds; null where none fits."""
+    part = _read(spark, sf_dir, "part")
+    return part.select("p_partkey", "p_brand", "p_size").join(part_quotes(part), "p_partkey", "left")
+
+
+def part_cascade(part: DataFrame) -> DataFrame:
+    k = F.col("p_partkey")
+    rows = part.select(_figi(k).alias("share_class_figi"), F.when(k % 2 == 0, _searched(k)).alias("isin"), F.when(k % 5 != 0, _searched(k)).alias("cusip"), F.col("p_name").alias("name"), F.concat(F.lit("P"), k.cast("string")).alias("symbol"))
+    summaries = part.filter("p_size > 10").select(F.concat(F.lit("P"), k.cast("string")).alias("symbol"), F.col("p_retailprice").alias("last_price"))
+    return enrich.cascade(enrich.chosen_quotes(enrich.attempts(rows), _quotes(part)), summaries)
 
 
 @query()
 def quote_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts searched for by brand in two rungs; the first with a summary gives the data."""
-    k = F.col("p_partkey")
-    rows = _read(spark, sf_dir, "part").filter("p_size % 3 <> 0").select(_figi(k).alias("share_class_figi"), F.when(k % 2 == 0, F.col("p_brand")).alias("isin"), F.when(k % 5 != 0, F.col("p_brand")).alias("cusip"), F.col("p_name").alias("name"), F.concat(F.lit("P"), k.cast("string")).alias("symbol"))
-    summaries = _read(spark, sf_dir, "part").filter("p_size > 10").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"), F.col("p_retailprice").alias("last_price"))
-    return enrich.cascade(enrich.chosen_quotes(enrich.attempts(rows), _quotes(spark, sf_dir)), summaries)
+    """Every part searched for in two rungs; the first with a summary gives the data. Parts of size 10 and less have no summary."""
+    return part_cascade(_read(spark, sf_dir, "part"))
 
 
 def _order_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small tables, and against plain Python on random ones."""
 
+import hashlib
 import json
 import os
 import random
@@ -8,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tapeforge.functions.similarity import best_candidate
 from tapeforge.operators import canonical, enrich, fx, identify, keyed, merge, quality
 from tapeforge.plans import jobs, registry
 from tapeforge.schemas import FIELDS, RAW, field_type
@@ -232,6 +234,38 @@ def test_seed_with_enrichment(spark):
     assert row["financials"]["last_price"] == 5 and row["financials"]["market_cap"] == 200 and row["financials"]["sector"] == "TECHNOLOGY"
 
 
+def parts_of(n):
+    rng = random.Random(9)
+    names, kinds = "almond antique blue green ivory lace linen misty navy olive peru plum".split(), ["BRUSHED TIN", "PLATED BRASS", "SMALL STEEL"]
+    return [(k, f"Brand#{rng.randrange(3)}", " ".join(rng.sample(names, 3)), rng.choice(kinds), rng.randrange(1, 51), 900.0 + k) for k in range(1, n + 1)]
+
+
+def part_table(spark, rows):
+    return spark.createDataFrame(rows, "p_partkey long, p_brand string, p_name string, p_type string, p_size int, p_retailprice double")
+
+
+def test_every_part_chooses_its_quote(spark, tmp_path):
+    """Against brute force: no part is left out, whatever its brand and size."""
+    rows = parts_of(300)
+    part_table(spark, rows).write.parquet(str(tmp_path / "part.parquet"))
+    lists = {}
+    for k, _, name, kind, size, _ in rows:
+        lists.setdefault(k // 8, []).append({"symbol": f"P{k}", "longname": name if size % 3 else None, "shortname": kind})
+    choose = lambda k, name, symbol: best_candidate(lists[k // 8], name, symbol)
+    chosen = {r["p_partkey"]: r["symbol"] for r in registry.QUERIES["choose_quote"](spark, str(tmp_path)).collect()}
+    assert chosen == {k: choose(k, name, "P1") for k, _, name, *_ in rows} and len(chosen) == 300
+    price = {f"P{k}": p for k, *_, size, p in rows if size > 10}
+    want = {}
+    for k, _, name, *_ in rows:
+        quote = choose(k, name, f"P{k}")
+        if quote in price and (k % 2 == 0 or k % 5):
+            want[f"P{k}"] = (1 if k % 2 == 0 else 2, quote, price[quote])
+    made = registry.QUERIES["quote_cascade"](spark, str(tmp_path)).collect()
+    figi = {hashlib.md5(str(k).encode()).hexdigest()[:12].upper(): f"P{k}" for k, *_ in rows}
+    assert {figi[r["share_class_figi"]]: (r["rung"], r["quote"], r["last_price"]) for r in made} == want
+    assert any(rows[int(s[1:]) - 1][4] % 3 == 0 for s in want)
+
+
 def test_cascade(spark):
     chosen = spark.createDataFrame([("k", 1, "A"), ("k", 2, "B"), ("m", 3, "A"), ("m", 4, "B")], "share_class_figi string, rung int, quote string")
     summaries = spark.createDataFrame([("B", "b")], "symbol string, sector string")
