@@ -10,7 +10,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 
 def _lcs(a: str, b: str) -> int:
@@ -111,9 +111,11 @@ def fuzzy_representative(tallies: pd.Series) -> pd.Series:
 
 
 MISSING_NAME = "<no-name>"
+#: The score from which a quote fits.
+LEAST = 150.0
 
 
-def best_candidate(candidates: list[dict], name: str, symbol: str, least: float = 150.0) -> str | None:
+def best_candidate(candidates: list[dict], name: str, symbol: str, least: float = LEAST) -> str | None:
     """The symbol of the quote that fits: candidates are viable and in order of rank, null for an absent name."""
     if not candidates:
         return None
@@ -133,7 +135,9 @@ def best_candidate(candidates: list[dict], name: str, symbol: str, least: float
     return None
 
 
-@F.pandas_udf(StringType())
-def choose_candidate(candidates: pd.Series, name: pd.Series, symbol: pd.Series) -> pd.Series:
-    """Of arrays of (rank, symbol, longname, shortname)."""
-    return pd.Series([best_candidate(list(c), n or "", s or "") for c, n, s in zip(candidates, name, symbol, strict=True)], dtype=object)
+@F.pandas_udf(StructType([StructField("long", DoubleType()), StructField("short", DoubleType())]))
+def candidate_scores(quote: pd.Series, longname: pd.Series, shortname: pd.Series, name: pd.Series, symbol: pd.Series) -> pd.DataFrame:
+    """The scores of :func:`best_candidate` by long and by short name, one row a candidate of an attempt."""
+    like = [ratio(q, s or "") for q, s in zip(quote, symbol, strict=True)]
+    by = lambda names: [x + weighted_ratio(MISSING_NAME if c is None else c, n or "") for x, c, n in zip(like, names, name, strict=True)]
+    return pd.DataFrame({"long": by(longname), "short": by(shortname)}, dtype=float)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import choose_candidate
+from ..functions.similarity import LEAST, candidate_scores
 from ..schemas import FIELDS
 from ..sources.lineage import stored
 from . import fx, quality
@@ -33,12 +33,35 @@ def viable(quotes: DataFrame) -> DataFrame:
     return quotes.filter(full("symbol") & (full("longname") | full("shortname")))
 
 
+def _decided(found: DataFrame) -> DataFrame:
+    """query, only, named and short of viable quotes: the first symbol where a query has one quote, one long name, one short name."""
+    place = F.struct("rank", "symbol", "longname", "shortname")
+
+    def one_name(c: str) -> Column:
+        named = F.min_by(F.when(F.col(c).isNotNull(), F.col("symbol")), F.when(F.col(c).isNotNull(), place))
+        return F.when((F.min(c) == F.max(c)) & (F.min(c) != ""), named)
+
+    return found.groupBy("query").agg(F.when(F.count("*") == 1, F.min("symbol")).alias("only"), one_name("longname").alias("named"), one_name("shortname").alias("short"))
+
+
 def chosen_quotes(tried: DataFrame, quotes: DataFrame, key: str = "share_class_figi") -> DataFrame:
-    """key, rung, quote: the best candidate of each attempt that has one. ``quotes``: query, rank, symbol, longname, shortname."""
-    # candidates are gathered once a query, not once a security
-    lists = viable(quotes).groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "symbol", "longname", "shortname"))).alias("candidates"))
-    out = tried.join(lists, "query").withColumn("quote", choose_candidate("candidates", "name", "symbol"))
-    return out.filter("quote is not null").select(key, "rung", "quote")
+    """key, rung, quote: the best candidate of each attempt that has one. ``quotes``: query, rank, symbol, longname, shortname.
+
+    As :func:`best_candidate`, with a row for each attempt and candidate: the best score is an aggregate, and no row holds
+    a query's quotes. Where the quotes alone decide nothing is scored.
+    """
+    found = viable(quotes).select("query", "rank", F.col("symbol").alias("quote"), "longname", "shortname")
+    known = tried.join(_decided(found.withColumnRenamed("quote", "symbol")), "query")
+    first = F.coalesce("only", "named")
+    alone = known.filter(first.isNotNull()).select(key, "rung", first.alias("quote"))
+    pairs = known.filter(first.isNull()).join(found, "query")
+    scored = pairs.withColumn("s", candidate_scores("quote", "longname", "shortname", "name", "symbol"))
+    place = F.struct("rank", "quote", "longname", "shortname")
+    best = [F.min_by(F.struct("quote", F.col(f"s.{c}").alias("score")), F.struct((-F.col(f"s.{c}")).alias("score"), place.alias("place"))).alias(c) for c in ("long", "short")]
+    each = scored.groupBy(key, "rung", "query", "name", "symbol").agg(F.first("short").alias("one_short"), *best)
+    fits = lambda c: F.when(F.col(f"{c}.score") >= LEAST, F.col(f"{c}.quote"))
+    out = each.select(key, "rung", F.coalesce(fits("long"), "one_short", fits("short")).alias("quote"))
+    return alone.unionByName(out).filter("quote is not null")
 
 
 def cascade(chosen: DataFrame, summaries: DataFrame, key: str = "share_class_figi") -> DataFrame:

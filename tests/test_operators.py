@@ -266,6 +266,24 @@ def test_every_part_chooses_its_quote(spark, tmp_path):
     assert any(rows[int(s[1:]) - 1][4] % 3 == 0 for s in want)
 
 
+def test_chosen_quotes_against_python(spark):
+    """Hot and small queries with null and blank names and equal scores; no row holds a query's quotes."""
+    rng = random.Random(4)
+    pick = lambda *x: rng.choice(x)
+    quotes = [(f"q{pick(0, 0, 0, *range(40))}", i, pick("ABC", "ABD", "XYZ"), pick("Foo Inc", "Foo Corp", "Bar", "", None), pick("Foo", "", None)) for i in rng.sample(range(400), 400)]
+    tried = [(f"k{i}", 1 + i % 3, f"q{i % 45}", pick("FOO INC", "BAR", "QUUX", None), pick("ABC", "Q", None)) for i in range(200)]
+    q = spark.createDataFrame(quotes, "query string, rank int, symbol string, longname string, shortname string")
+    t = spark.createDataFrame(tried, "share_class_figi string, rung int, query string, name string, symbol string")
+    lists = {}
+    for query, _, symbol, longname, shortname in sorted(quotes, key=lambda r: r[1]):
+        if longname or shortname:
+            lists.setdefault(query, []).append({"symbol": symbol, "longname": longname, "shortname": shortname})
+    want = {(k, rung, best_candidate(lists.get(query, []), name or "", symbol or "")) for k, rung, query, name, symbol in tried}
+    out = enrich.chosen_quotes(t, q)
+    assert {tuple(r) for r in out.collect()} == {x for x in want if x[2] is not None}
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_cascade(spark):
     chosen = spark.createDataFrame([("k", 1, "A"), ("k", 2, "B"), ("m", 3, "A"), ("m", 4, "B")], "share_class_figi string, rung int, quote string")
     summaries = spark.createDataFrame([("B", "b")], "symbol string, sector string")
