@@ -1,8 +1,8 @@
 """Merging all listings of one security.
 
-A group's rows become, for each field, its distinct values with counts and first places; every rule works on these. Small groups
-are collected as rows; groups of more than ``hot_rows`` listings are counted by (key, field, value) first, so
-that their rows are spread over tasks and only distinct values meet.
+A group's rows become, for each field, its distinct values with counts and first places; the rules work on these. Small groups
+are collected as rows; groups of more than ``hot_rows`` listings are counted by (key, field, value) first, and their modes
+and medians are aggregates of these counts. Only codes and spellings of such a group are gathered.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from ..functions.normalise import norm_text
 from ..functions.similarity import fuzzy_representative
 from ..schemas import AMOUNT, AMOUNTS, FIELDS, FUZZY, MODES, field_type
 from ..sources.lineage import stored
+from . import keyed
 from .keyed import each, median_of, mode_of, tallies
 
 
@@ -26,10 +27,22 @@ def _of_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return rows.select(key, *[c.alias(f) for f, c in counted.items()])
 
 
-def _of_counts(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    rest = [f for f in FIELDS if f not in (key, "mics")]
+def _long(df: DataFrame, key: str, order: list[str], fields: list[str], kind) -> DataFrame:
+    """key, field, value, ord: a row for each value that isn't null."""
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast(kind).alias("value")) for f in fields])
+    return df.select(key, F.struct(*order).alias("ord"), F.explode(cells).alias("x")).select(key, "x.*", "ord").filter("value is not null")
+
+
+def _wide(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """One column a field, of one value a (key, field)."""
+    return df.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).cast(field_type(f)).alias(f) for f in fields])
+
+
+def hot_lists(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Of hot keys the tallies that rules need whole: the codes, which are the result, and the spellings."""
     at = F.struct(*order, F.lit(0).alias("at"))
-    plain = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), at.alias("ord")) for f in rest])
+    names = [f for f in FUZZY if f != key]
+    plain = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), at.alias("ord")) for f in names])
     codes = F.transform(F.coalesce("mics", F.array().cast("array<string>")), lambda m, i: F.struct(F.lit("mics").alias("field"), m.alias("value"), F.struct(*order, i.cast("int").alias("at")).alias("ord")))
     each = df.select(key, F.explode(F.concat(plain, codes)).alias("x")).select(key, "x.*").filter("value is not null")
     counts = each.groupBy(key, "field", "value").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
@@ -40,7 +53,19 @@ def _of_counts(df: DataFrame, key: str, order: list[str]) -> DataFrame:
         kind = "string" if f == "mics" else field_type(f)
         return F.coalesce(F.transform(F.try_element_at("m", F.lit(f)), lambda t, i: F.struct((i + 1).cast("long").alias("first"), t["value"].cast(kind).alias("value"), t["n"].alias("n"))), F.array())
 
-    return by_field.select(key, *[placed(f).alias(f) for f in [*rest, "mics"]])
+    return by_field.select(key, *[placed(f).alias(f) for f in [*names, "mics"]])
+
+
+def merged_hot(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The merged rows of hot keys: modes and medians are aggregates over (key, field, value), never lists."""
+    modes, amounts = [f for f in MODES if f != key], list(AMOUNTS)
+    most = keyed.mode_first_seen(_long(df, key, order, modes, "string"), [key, "field"], "value", "ord")
+    middle = keyed.median_exact(_long(df, key, order, amounts, AMOUNT), [key, "field"], "value")
+    lists = hot_lists(df, key, order)
+    out = df.select(key).distinct()
+    for part in (_wide(most, key, modes), _wide(middle, key, amounts), lists.select(key, *[_rule(f).alias(f) for f in lists.columns if f != key])):
+        out = out.join(part, key, "left")
+    return out.select(*FIELDS)
 
 
 def _rule(field: str) -> Column:
@@ -59,6 +84,6 @@ def merge_listings(df: DataFrame, key: str = "share_class_figi", order: list[str
     rows = stored(df.select(*order, *FIELDS).filter(F.col(key).isNotNull()))  # it is read three times
     # keys of many rows are at most rows / hot_rows; the aggregate behind this is of one number a key
     hot = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(key)
-    counted = _of_rows(rows.join(hot, key, "left_anti"), key, order).unionByName(_of_counts(rows.join(hot, key, "left_semi"), key, order))
-    out = counted.select(key, *[_rule(f).alias(f) for f in FIELDS if f != key])
+    cold = _of_rows(rows.join(hot, key, "left_anti"), key, order).select(*[F.col(f) if f == key else _rule(f).alias(f) for f in FIELDS])
+    out = cold.unionByName(merged_hot(stored(rows.join(hot, key, "left_semi")), key, order))  # it is read four times
     return out.withColumns({f: norm_text(F.col(f)) for f in ("name", "symbol")}).select(*FIELDS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tapeforge.functions.similarity import best_candidate
 from tapeforge.operators import canonical, enrich, fx, identify, keyed, merge, quality
 from tapeforge.plans import jobs, registry
-from tapeforge.schemas import FIELDS, RAW, field_type
+from tapeforge.schemas import FIELDS, FUZZY, RAW, field_type
 from tapeforge.sources import feeds, lookups, store
 from tapeforge.streaming import incremental
 
@@ -56,6 +56,18 @@ def test_merge_rules(spark, hot_rows):
         assert (float(got) if isinstance(got, Decimal) else got) == expected, (field, got)
 
 
+def test_hot_key_gathers_no_amounts(spark):
+    """A key of 3000 prices: what is gathered of it are codes and spellings, and the merged row is right."""
+    fields = ["share_class_figi", "name", "symbol", "mics", "last_price", "market_cap"]
+    given = {"share_class_figi": F.when(F.col("id") == 0, "B" * 12).otherwise("A" * 12), "name": F.lit("N"), "symbol": F.when(F.col("id") % 3 == 1, "X").otherwise("Y"), "mics": F.array(F.lit("XNYS")), "last_price": F.col("id") * 7 % 3001, "market_cap": F.when(F.col("id") % 2 == 0, F.col("id"))}
+    rows = spark.range(3001).select(F.lit(0).alias("feed_rank"), F.col("id").alias("row_ord"), *[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
+    lists = merge.hot_lists(rows, "share_class_figi", ["feed_rank", "row_ord"])
+    assert set(lists.columns) == {"share_class_figi", "mics", *FUZZY}
+    row = {r["share_class_figi"]: r for r in merge.merged_hot(rows, "share_class_figi", ["feed_rank", "row_ord"]).select(*fields).collect()}
+    assert tuple(row["A" * 12]) == ("A" * 12, "N", "Y", ["XNYS"], Decimal("1500.5"), 1501)
+    assert tuple(row["B" * 12]) == ("B" * 12, "N", "Y", ["XNYS"], 0, 0)
+
+
 def test_keyed_against_python(spark):
     rng = random.Random(3)
     rows = [(rng.randrange(8), rng.choice("abc"), Decimal(rng.randrange(20)) / 4, i) for i in rng.sample(range(300), 300)]
