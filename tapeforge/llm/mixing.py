@@ -86,7 +86,7 @@ def rake(tokens: np.ndarray, groups: list[np.ndarray], targets: list[np.ndarray]
     return weight
 
 
-def _raked_there(cells: DataFrame, targets: dict, budget: float, rounds: int = 30) -> DataFrame:
+def _raked_there(cells: DataFrame, targets: dict, budget: float) -> DataFrame:
     """The same as DataFrame operations, for more cells than the driver should hold."""
     want = float(cells.agg(F.sum("tokens")).first()[0] or 0) * budget
     now = cells.withColumn("weight", F.col("tokens") * budget)
@@ -101,11 +101,16 @@ def _raked_there(cells: DataFrame, targets: dict, budget: float, rounds: int = 3
             raw = F.when(F.col("own") > 0, F.pow(share, F.lit(float(targets[d])))).otherwise(0.0)
         own = own.select(f"c_{d}", raw.alias("raw"))
         goals[d] = stored(own.crossJoin(F.broadcast(own.agg(F.sum("raw").alias("all")))).select(f"c_{d}", (F.col("raw") / F.col("all") * want).alias("goal")))  # a single number is joined
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
+        now = now.withColumn("before", F.col("weight"))
         for d in DIMENSIONS:
             factor = now.groupBy(f"c_{d}").agg(F.sum("weight").alias("now")).join(goals[d], f"c_{d}").select(f"c_{d}", F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(1.0).alias("factor"))
             now = now.join(factor, f"c_{d}").withColumn("weight", F.least(F.col("weight") * F.col("factor"), F.col("tokens").cast("double"))).drop("factor")
         now = stored(now)
+        moved = now.agg(F.max(F.abs(F.col("weight") - F.col("before")))).first()[0] or 0.0  # one number
+        if moved <= TOLERANCE * max(want, 1):
+            break
+        now = now.drop("before")
     return now
 
 

@@ -151,6 +151,17 @@ def test_mixing_reaches_targets(spark):
     assert one == two and 120 < len(one) < 400
 
 
+def test_raking_ends_alike_on_both_paths(spark, monkeypatch):
+    """Two blocks nearly apart rake slowly: at 30 rounds the weights still move, and both paths must stop at the same one."""
+    monkeypatch.setattr(mixing, "ROUNDS", 34)
+    n = {("a", "x"): 200, ("a", "y"): 2, ("b", "x"): 2, ("b", "y"): 200}
+    cells = [k for k, m in n.items() for _ in range(m)]
+    d = spark.createDataFrame([(i, prose(i, 10), lang, source, 0) for i, (source, lang) in enumerate(cells)], HEAD).withColumn("topic", F.lit("t"))
+    targets = {"source": {"a": 0.51, "b": 0.49}, "lang": {"x": 0.49, "y": 0.51}, "topic": 1.0}
+    one, two = ({tuple(r[:3]): r["probability"] for r in mixing.probabilities(d, targets, 0.5, driver_cells=c).collect()} for c in (100, 0))
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-7 for k in one)
+
+
 # 4 personal data
 
 
