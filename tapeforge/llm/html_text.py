@@ -3,7 +3,8 @@
 The standard library's parser streams tags and text; block tags cut them into lines. Each line's ratio of text to tags
 is smoothed with a Gaussian over its neighbours, and a threshold between the two clusters of smoothed ratios selects
 lines. The selected lines say which container is the content region; its lines are the text, short ones
-too, without those inside menus, headers, footers, sidebars, notices, adverts, forms and comments.
+too, and so are the lines around it that aren't mostly links, up to the outermost article or main that holds it or else
+the page; all without those inside menus, headers, footers, sidebars, notices, adverts, forms and comments.
 
 Defined results: null or empty html gives an empty text. White space inside a block is one space, blocks are joined by a
 newline, nothing else is dropped or cut off. Unclosed and stray tags are allowed. Repeated rows get equal texts.
@@ -51,7 +52,7 @@ HOLDS = 0.9
 
 
 class Lines(HTMLParser):
-    """The lines of a page: [text pieces, tags, innermost region, apart]; ``open`` is the line that further text joins."""
+    """The lines of a page: [text pieces, tags, innermost region, apart, characters in links]; ``open`` is the line that further text joins."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -132,12 +133,14 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self._apart():
             if not self.lines or not self.lines[-1][3]:
-                self.lines.append([[], 1, self.inside[-1], True])
+                self.lines.append([[], 1, self.inside[-1], True, 0])
         elif self.open:
             self.open[0].append(data)
         elif data.strip():
-            self.open = [[data], 1, self.inside[-1], False]
+            self.open = [[data], 1, self.inside[-1], False, 0]
             self.lines.append(self.open)
+        if self.open and not self._apart() and any(t == "a" for t, _ in self.stack):
+            self.open[4] += len("".join(data.split()))
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -171,7 +174,7 @@ def extract(html: str | None) -> str:
     page.feed(html)
     page.close()
     lines = [(" ".join("".join(x[0]).split()), *x) for x in page.lines]
-    ratios = np.array([len(text) / tags for text, _, tags, _, _ in lines])
+    ratios = np.array([len(text) / tags for text, _, tags, *_ in lines])
     if not len(ratios) or not ratios.any():
         return ""
     even = smoothed(ratios)
@@ -181,7 +184,7 @@ def extract(html: str | None) -> str:
     # text of the chosen lines in each region, with the regions inside it; inner regions have larger numbers
     held = np.zeros(len(page.regions), np.int64)
     members = np.zeros(len(page.regions), np.int64)
-    for (text, _, _, region, _), c in zip(lines, chosen, strict=True):
+    for (text, _, _, region, *_), c in zip(lines, chosen, strict=True):
         held[region] += len(text) * c
         members[region] += c
     for k in range(len(held) - 1, 0, -1):
@@ -190,14 +193,18 @@ def extract(html: str | None) -> str:
     whole = held[0]
     named = [k for k, (tag, _) in enumerate(page.regions) if tag in ("article", "main") and held[k] >= HOLDS * whole]
     inner = [k for k in range(len(held)) if held[k] >= HOLDS * whole]
-    region = named[-1] if named else inner[-1]
-    while not named and region and members[region] == 1 < members[page.regions[region][1]]:
-        region = page.regions[region][1]  # a single line's own container isn't the region while others have text too
-    within = [False] * len(held)
-    within[region] = True
-    for k in range(region + 1, len(held)):
-        within[k] = within[page.regions[k][1]]
-    return "\n".join(text for text, _, _, own, apart in lines if within[own] and not apart)
+    region, outer = (named[-1], named[0]) if named else (inner[-1], 0)
+
+    def inside(region: int) -> list[bool]:
+        out = [False] * len(held)
+        out[region] = True
+        for k in range(region + 1, len(held)):
+            out[k] = out[page.regions[k][1]]
+        return out
+
+    # around the region up to the outermost article or main, else the page, only what is apart or mostly links is left out
+    within, around = inside(region), inside(outer)
+    return "\n".join(text for text, _, _, own, apart, linked in lines if not apart and (within[own] or around[own] and 2 * linked <= len("".join(text.split()))))
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long"

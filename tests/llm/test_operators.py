@@ -126,6 +126,23 @@ def test_main_text(html, text):
     assert html_text.extract(html) == text
 
 
+LONG = [prose(i, 60) for i in range(20)]
+PARAGRAPHS = "".join(f"<p>{t}</p>" for t in LONG)
+
+
+@pytest.mark.parametrize(
+    "html, head, tail",
+    [
+        (f"<div id=post><h1>Title</h1><div class=lead><p>lead</p></div><div class=body>{PARAGRAPHS}</div></div>", ["Title", "lead"], []),
+        (f"<body><section>{PARAGRAPHS}</section><section><p>The end.</p></section></body>", [], ["The end."]),
+        (f"<main><h1>Title</h1><p>Before.</p><article>{PARAGRAPHS}</article></main>", ["Title", "Before."], []),
+        (f"<body><nav>Menu</nav><div><a href=#>Other page</a></div><div>{PARAGRAPHS}</div><footer>F</footer></body>", [], []),
+    ],
+)
+def test_main_text_around_the_region(html, head, tail):
+    assert html_text.extract(html).split("\n") == [*head, *LONG, *tail]
+
+
 def test_main_text_of_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>a</p>"), (2, "v", "")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.main_text(pages).collect()) == [(0, "a", 1), (1, "", 0), (2, "", 0)]
