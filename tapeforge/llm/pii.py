@@ -50,7 +50,7 @@ PATTERNS = {
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has no entity: a cheap test before the pattern.
 HINT = rf"[0-9]|@|AKIA|gh[pousr]_|(?:{'|'.join(TITLES)})\.? \p{{Lu}}|(?:{_FIRST}) \p{{Lu}}|sk-|xox"
-#: Rounds of new salts after which a surname's surrogate grows by a letter.
+#: Rounds of new salts after which a surrogate grows by a letter or digit.
 GROW = 8
 
 _ALPHABETS = (  # pattern of a character, and what it may become
@@ -141,10 +141,16 @@ def surrogate(key: str, kind: Column, entity: Column, salt: Column) -> Column:
 def _made(key: str, kind: Column, entity: Column, salt: Column, digits: Column) -> Column:
     tld = F.regexp_extract(entity, r"\.\p{L}+$", 0)
     head = F.substring(entity, F.lit(1), F.char_length(entity) - F.char_length(tld))
+    level = F.floor(salt / GROW).cast("int")
+
+    def more(dropped: str) -> Column:
+        """What a surrogate has grown by."""
+        return F.when(level > 0, F.substring(F.regexp_replace(digits, dropped, ""), F.lit(1), level)).otherwise("")
 
     def octet(o: Column, i: Column) -> Column:
         b = _byte(digits, i)
-        return F.when(F.char_length(o) == 1, 1 + b % 9).when(F.char_length(o) == 2, 10 + b % 90).otherwise(100 + b % 150).cast("string")
+        size = F.char_length(o) + F.floor((level + 3 - i) / 4)  # grown from the first part on, to three digits
+        return F.when(size == 1, 1 + b % 9).when(size == 2, 10 + b % 90).otherwise(100 + b % 150).cast("string")
 
     def checked(changed: Column) -> Column:
         """With the last digit that passes the check."""
@@ -152,10 +158,11 @@ def _made(key: str, kind: Column, entity: Column, salt: Column, digits: Column)
         return F.filter(tried, lambda t: _luhn(F.regexp_replace(t, r"\D", "")))[0]
 
     def finished(changed: Column) -> Column:
-        card = F.when(_luhn(F.regexp_replace(entity, r"\D", "")), checked(changed)).otherwise(changed)
+        longer = F.concat(changed, more("[^0-9]"))
+        card = F.when(_luhn(F.regexp_replace(entity, r"\D", "")), checked(longer)).otherwise(longer)
         known = F.create_map(*[F.lit(x) for pair in sorted(_first_names(key).items()) for x in pair])
-        grown = F.concat(changed, F.substring(F.regexp_replace(digits, "[0-9]", ""), F.lit(1), F.floor(salt / GROW).cast("int")))
-        return F.when(kind == "email", F.concat(changed, tld)).when(kind == "card", card).when(kind == "name", F.coalesce(F.try_element_at(known, entity), grown)).otherwise(changed)
+        grown = F.concat(changed, more("[0-9]"))
+        return F.when(kind == "email", F.concat(more("[0-9]"), changed, tld)).when(kind == "card", card).when(kind == "name", F.coalesce(F.try_element_at(known, entity), grown)).otherwise(longer)
 
     body = F.when(kind == "email", head).otherwise(entity)
     keep = F.when(kind.isin("phone", "card"), 1).when(kind == "iban", 2).otherwise(0)

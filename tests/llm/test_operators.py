@@ -210,6 +210,23 @@ def test_surrogates_stay_distinct(spark):
     assert all(a == b for a, b in out) and len({a for a, _ in out}) == 400 and not {a for a, _ in out} & set(ips)
 
 
+def test_full_surrogate_spaces_grow(spark):
+    """All 6561 IP numbers of one-digit parts are real, so none of them is left as a surrogate."""
+    ips = [".".join(x) for x in itertools.product("123456789", repeat=4)]
+    d = table(spark, [" and ".join(ips[i : i + 81]) for i in range(0, len(ips), 81)])
+    made = [ip for r in pii.replace(d, "k").collect() for ip in r["text"].split(" and ")]
+    assert len(made) == len(set(made)) == len(ips) and not set(made) & set(ips)
+    assert all(re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", x) and max(map(int, x.split("."))) < 256 for x in made)
+
+
+def test_every_kind_grows(spark):
+    kinds = {"email": "a@b.de", "ip": "1.2.3.4", "card": "4111111111111111", "ssn": "123-45-6789", "phone": "+49 30 1234", "iban": "DE89370400440532013000", "secret": "AKIA" + "A" * 16, "name": "Li"}
+    rows = spark.createDataFrame(list(kinds.items()), "kind string, e string").crossJoin(spark.createDataFrame([(0,), (pii.GROW,)], "salt int"))
+    out = rows.select("kind", "salt", pii.surrogate("k", F.col("kind"), F.col("e"), F.col("salt")).alias("s")).collect()
+    size = {(r["kind"], r["salt"]): len(r["s"]) for r in out}
+    assert all(size[k, pii.GROW] == size[k, 0] + 1 for k in kinds)
+
+
 # 5 near-duplicates
 
 
