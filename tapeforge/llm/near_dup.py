@@ -264,9 +264,12 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     # buckets of several components: the members outside the largest try, each round, the first of it that they share most with
     for _ in range(ROUNDS):
         rest = _mixed(rows, classes, labels)
-        heads = rest.filter("component = main").groupBy("key").agg(F.min(F.struct("id", "size")).alias("head"))
-        out = rest.filter("component <> main").select("key", "id", "size").join(heads.hint("merge"), "key").filter(_similar(F.col("size"), F.col("head.size")))
-        tried = out.groupBy(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"), "id").count().join(pairs, ["a", "b"], "left_anti")
+        heads = rest.filter("component = main").groupBy("key").agg(F.min(F.struct("id", "size", *SKETCH)).alias("head"))
+        heads = heads.select("key", *[F.col(f"head.{c}").alias(f"p_{c}") for c in ("id", "size", *SKETCH)])
+        out = rest.filter("component <> main").select("key", *[F.col(c).alias(f"q_{c}") for c in ("id", "size", *SKETCH)])
+        # only what the sketches allow leaves the join, so that rows of a bucket that aren't similar to its head make none
+        out = out.join(heads.hint("merge"), "key").filter(_fit("p", "q"))
+        tried = out.groupBy(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b"), F.col("q_id").alias("id")).count().join(pairs, ["a", "b"], "left_anti")
         tried = tried.groupBy("id").agg(F.max(F.struct("count", "a", "b")).alias("most")).select("most.a", "most.b").distinct()
         near = stored(_near(tried, classes))
         found = stored(_confirmed(docs, near, size))
