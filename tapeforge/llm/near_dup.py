@@ -247,8 +247,10 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     linked = first.filter("n_shingles > 0 and doc_id is not null")
     least = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("class"))
     members = stored(linked.select("doc_id", "n_shingles", "h1", "h2").join(least, ["h1", "h2"]).select("doc_id", "n_shingles", "class"))
-    classes = linked.join(least, ["h1", "h2"]).filter("doc_id = class").dropDuplicates(["doc_id"])
-    classes = stored(_with_planes(classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("size"), "sig", "odd")))
+    # by its own id: a large group of copies has one row here
+    classes = linked.join(least.select(F.col("class").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+    classes = classes.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("h1", "h2", F.col("n_shingles").cast("int").alias("size"), "sig", "odd")).alias("x"))  # one row, for rows with one id too
+    classes = stored(_with_planes(classes.select("id", "x.size", "x.sig", "x.odd")))
 
     w = Window.partitionBy("key").orderBy("id")
     entry = F.struct("id", "size")
