@@ -6,9 +6,9 @@ average; pairs within DISTANCE differing symbols are candidates. The signature i
 a key for each chunk and each symbol left out finds all of them. Candidates are confirmed on full sets.
 
 Steps: equal sets form one class. Every class is first tried against two others: the first of its buckets and the
-predecessor in its buckets that it shares most buckets with. Confirmed links give components; in ROUNDS rounds more the members
-outside a bucket's largest component try one of that. Then all pairs of a bucket that still belong to different components are tried. A group of copies so costs a few pairs a member, and
-no pair of different components that shares a key goes untested. Before texts are fetched for a pair, two bits of each symbol
+predecessor in its buckets that it shares most buckets with. Confirmed links give components; in ROUNDS rounds more two components
+that meet in buckets try TRIES pairs. Then all pairs of a bucket that still belong to different components are tried. A group of
+copies so costs a few pairs a member, and no pair of different components that shares a key goes untested. Before texts are fetched for a pair, two bits of each symbol
 are compared, and the parities of how many shingles fall into each of PARITIES bins: a pair within DISTANCE symbols is within
 DISTANCE of the two bits, and each parity that differs takes a shingle that is in one set only, so no link is lost.
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import chunks, mix, stored, text_bytes, words
 
 SYMBOLS = 96
-#: Further rounds of trying one partner a class before all pairs that are left are tried.
-ROUNDS = 1
+#: Further rounds of trying TRIES pairs of two components before all pairs that are left are tried; the result is the same for any.
+ROUNDS, TRIES = 2, 3
 #: A pair of similarity 0.8 has more differing symbols with probability 4e-6; see tests/llm/test_near_dup.py.
 DISTANCE = 37
 PLANES = [f"plane{k}" for k in range(SYMBOLS // 32)]
@@ -245,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     signed = _signed(docs, size)
     first = stored(signed)
     linked = first.filter("n_shingles > 0 and doc_id is not null")
-    least = linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("class"))
+    least = stored(linked.groupBy("h1", "h2").agg(F.min("doc_id").alias("class")))  # written, so that adaptive execution can split a set that many documents have
     members = stored(linked.select("doc_id", "n_shingles", "h1", "h2").join(least, ["h1", "h2"]).select("doc_id", "n_shingles", "class"))
     # by its own id: a large group of copies has one row here
     classes = linked.join(least.select(F.col("class").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
@@ -263,19 +263,19 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     edges = stored(_confirmed(docs, pairs, size))
 
     labels = components(edges)
-    # buckets of several components: the members outside the largest try, each round, the first of it that they share most with
-    for _ in range(ROUNDS):
+    # buckets of several components: each round, two components that meet in buckets try a few of the pairs that fit there
+    for turn in range(ROUNDS):
         rest = _mixed(rows, classes, labels)
-        heads = rest.filter("component = main").groupBy("key").agg(F.min(F.struct("id", "size", *SKETCH)).alias("head"))
-        heads = heads.select("key", *[F.col(f"head.{c}").alias(f"p_{c}") for c in ("id", "size", *SKETCH)])
-        out = rest.filter("component <> main").select("key", *[F.col(c).alias(f"q_{c}") for c in ("id", "size", *SKETCH)])
-        # only what the sketches allow leaves the join, so that rows of a bucket that aren't similar to its head make none
-        out = out.join(heads.hint("merge"), "key").filter(_fit("p", "q"))
-        tried = out.groupBy(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b"), F.col("q_id").alias("id")).count().join(pairs, ["a", "b"], "left_anti")
-        tried = tried.groupBy("id").agg(F.max(F.struct("count", "a", "b")).alias("most")).select("most.a", "most.b").distinct()
-        near = stored(_near(tried, classes))
+        # a row a bucket and component: its first member there stands for it, so that a large component makes no more of them
+        firsts = rest.groupBy("key", "component", "main").agg(F.min(F.struct("id", "size", *SKETCH)).alias("x"))
+        p, q = (firsts.select("key", "component", "main", *[F.col(f"x.{c}").alias(f"{x}_{c}") for c in ("id", "size", *SKETCH)]) for x in "pq")
+        out = q.filter("component <> main").join(p.filter("component = main").drop("component", "main").hint("merge"), "key").filter(_fit("p", "q"))
+        both = F.struct(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b"))
+        some = [F.max_by(both, F.xxhash64("p_id", "q_id", F.lit(TRIES * turn + k))).alias(f"try{k}") for k in range(TRIES)]
+        tried = out.groupBy("component", "main").agg(*some).select(F.explode(F.array(*[f"try{k}" for k in range(TRIES)])).alias("x")).select("x.*").distinct()
+        near = stored(tried.join(pairs, ["a", "b"], "left_anti"))
         found = stored(_confirmed(docs, near, size))
-        pairs = stored(pairs.unionByName(near).distinct())
+        pairs = stored(pairs.unionByName(near))
         if found.isEmpty():
             break
         labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(found))
