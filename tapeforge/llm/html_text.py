@@ -2,9 +2,15 @@
 
 The standard library's parser streams tags and text; block tags cut them into lines. Each line's ratio of text to tags
 is smoothed with a Gaussian over its neighbours, and a threshold between the two clusters of smoothed ratios selects
-lines. The selected lines say which container is the content region; its lines are the text, short ones
-too, and so are the lines around it that aren't mostly links, up to the outermost article or main that holds it or else
-the page; all without those inside menus, headers, footers, sidebars, notices, adverts, forms and comments.
+lines. The selected lines choose content regions, from the page inwards: an article or main with a selected line is
+one; so is a container that consists for at least half of selected text, as do the containers in it, and holds neither menus nor the like; other
+containers are looked into. There a line follows its own ratio, what stands between the title or first selected line
+and the last one stays, and what is mostly links goes. Short lines inside a region stay.
+
+Left out before are only elements whose tag says so (scripts, forms, menus, footers, asides, headers outside an article)
+and those whose class, id or role says nothing else (:func:`marked`: ``ad`` or ``site-header``, not ``ad-hoc`` or
+``related-work``). Such a name doesn't count where the ratios disagree: where the element holds nearly all
+selected text (HOLDS) of a page without an article or main, unless it says comments.
 
 Defined results: null or empty html gives an empty text. White space inside a block is one space, blocks are joined by a
 newline, nothing else is dropped or cut off. Unclosed and stray tags are allowed. Repeated rows get equal texts.
@@ -13,6 +19,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -32,14 +39,22 @@ BLOCK = frozenset(
 )
 SPACED = frozenset("br td th img".split())
 APART = frozenset(
-    "head title script style noscript template nav footer aside form menu dialog button select option textarea input iframe object svg canvas audio video".split()
+    "head title script style noscript template nav footer aside form menu dialog select option textarea input iframe object svg canvas audio video".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset("article main section div td body html".split())
-#: Words in class and id, and roles, of what isn't the article.
-APART_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
+LAYOUT = frozenset("page html body".split())
+#: Words in class and id, and roles, of what isn't the article; those of reader comments.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond".split())
+APART_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs consent cookie cookies "
     "footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notification overlay pagination pager popup promo promoted "
-    "recommended related respond share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+    "recommended related share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+)
+#: Words that say where or how such an element stands; a name with any other word doesn't count.
+PLACE_WORDS = frozenset(
+    "aside area article articles bar block bottom box body btn button buttons col column container content desktop fixed floating form global group holder icons inner item items label left "
+    "link links list main media mobile outer page panel placeholder post posts primary right row secondary section site slot sticky stories text thread top unit wrap wrapper zone".split()
 )
 APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -47,24 +62,70 @@ _WORDS = re.compile(r"[a-z0-9]+")
 _ENDS_P = BLOCK - {"html", "body"}
 
 SIGMA = 2.0
-#: The region holds this share of the selected text at least.
+#: The clusters count as two where the mean of one is this many times that of the other.
+APART_BY = 2.0
 HOLDS = 0.9
 
 
+@functools.lru_cache(1 << 16)
+def marked(names: str) -> str:
+    """What a class or id says of its element: ``comments``, ``apart`` or nothing.
+
+    A name counts if it has a word of APART_WORDS and no word beyond these, PLACE_WORDS and numbers.
+    """
+    out = ""
+    for name in names.lower().split():
+        words = [w for w in _WORDS.findall(name) if not w.isdigit()]
+        if any(w in APART_WORDS for w in words) and all(w in APART_WORDS or w in PLACE_WORDS for w in words):
+            out = "comments" if out == "comments" or any(w in COMMENT_WORDS for w in words) else "apart"
+    return out
+
+
+class Line:
+    """A line of a page; ``apart``: left out by a tag; ``marks``: the marked elements around it."""
+
+    __slots__ = ("pieces", "tags", "region", "apart", "marks", "linked", "pressed", "heading")
+
+    def __init__(self, pieces: list[str], region: int, apart: bool, marks: tuple[int, ...], heading: str):
+        self.pieces, self.tags, self.region, self.apart, self.marks, self.heading = pieces, 1, region, apart, marks, heading
+        self.linked = self.pressed = 0  # characters in links and in buttons
+
+
 class Lines(HTMLParser):
-    """The lines of a page: [text pieces, tags, innermost region, apart, characters in links]; ``open`` is the line that further text joins."""
+    """The lines of a page; ``open`` is the line that further text joins."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[list] = []
-        self.stack: list[tuple[str, bool]] = []  # element, and whether it or an outer one is apart
+        self.lines: list[Line] = []
+        self.stack: list[tuple[str, bool, tuple[int, ...]]] = []  # element, whether a tag leaves it out, the marked elements around
         self.regions: list[tuple[str, int]] = [("page", -1)]  # (element, outer region)
+        self.marked: list[str] = []  # what each marked element says
         self.inside = [0]
-        self.open: list | None = None
+        self.open: Line | None = None
 
     def _apart(self) -> bool:
         return bool(self.stack) and self.stack[-1][1]
 
+    def named(self, region: int) -> bool:
+        """Whether the region is in an article or main."""
+        while region > 0 and self.regions[region][0] not in ("article", "main"):
+            region = self.regions[region][1]
+        return region > 0
+
+    def _says(self, tag: str, attrs: list) -> str:
+        """What the names of an element say; a heading's are made of its own text."""
+        if tag in HEADINGS or tag in ("body", "html", "main"):
+            return ""
+        out = ""
+        for k, v in attrs:
+            if v and k in ("class", "id"):
+                out = max(out, marked(v))  # comments goes before apart by its order
+            elif v and k == "role" and v.lower() in APART_ROLES:
+                out = out or "apart"
+        if tag == "header" and not any(t in ("article", "main") for t, *_ in self.stack):
+            out = out or "apart"
+        return "" if tag == "article" and out == "apart" else out
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in VOID:
             self._void(tag)
@@ -76,23 +137,22 @@ class Lines(HTMLParser):
                     break
                 if self.stack[k][0] in BLOCK:
                     break
-        apart = self._apart()
-        if tag in ("article", "main") and apart and not any(t in APART for t, _ in self.stack):
-            apart = False  # an advert or notice that was never closed
+        apart, marks = self.stack[-1][1:] if self.stack else (False, ())
+        if tag in ("article", "main") and not any(self.marked[m] == "comments" for m in marks):
+            marks = ()  # an advert or notice that was never closed, or a wrapper
         if not apart:
-            marks = {w for k, v in attrs if v and k in ("class", "id") for w in _WORDS.findall(v.lower())}
-            role = next((v.lower() for k, v in attrs if k == "role" and v), "")
-            hidden = any(k == "hidden" for k, _ in attrs)
-            within = any(t in ("article", "main") for t, _ in self.stack)
-            apart = tag in APART or (tag == "header" and not within) or role in APART_ROLES or hidden or (tag not in ("body", "html", "article", "main") and bool(marks & APART_WORDS)) or (tag == "article" and bool(marks & {"comment", "comments"}))
-        self.stack.append((tag, apart))
+            apart = tag in APART or any(k == "hidden" for k, _ in attrs)
+            if says := self._says(tag, attrs) if attrs or tag == "header" else "":
+                marks = (*marks, len(self.marked))
+                self.marked.append(says)
+        self.stack.append((tag, apart, marks))
         if tag in REGIONS:
             self.regions.append((tag, self.inside[-1]))
             self.inside.append(len(self.regions) - 1)
         if tag in BLOCK:
             self.open = None
         elif tag in SPACED and self.open:
-            self.open[0].append(" ")
+            self.open.pieces.append(" ")
         self._count()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -106,7 +166,7 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.open = None
         elif tag in SPACED and self.open:
-            self.open[0].append(" ")
+            self.open.pieces.append(" ")
         self._count()
 
     def handle_endtag(self, tag: str) -> None:
@@ -117,30 +177,35 @@ class Lines(HTMLParser):
         self._count()
 
     def _close(self, k: int) -> None:
-        for tag, _ in self.stack[k:]:
+        for tag, *_ in self.stack[k:]:
             if tag in REGIONS:
                 self.inside.pop()
             if tag in BLOCK:
                 self.open = None
             elif tag in SPACED and self.open:
-                self.open[0].append(" ")
+                self.open.pieces.append(" ")
         del self.stack[k:]
 
     def _count(self) -> None:
         if self.lines:
-            (self.open or self.lines[-1])[1] += 1
+            (self.open or self.lines[-1]).tags += 1
 
     def handle_data(self, data: str) -> None:
         if self._apart():
-            if not self.lines or not self.lines[-1][3]:
-                self.lines.append([[], 1, self.inside[-1], True, 0])
-        elif self.open:
-            self.open[0].append(data)
+            if not self.lines or not self.lines[-1].apart:
+                self.lines.append(Line([], self.inside[-1], True, (), ""))
+            return
+        if self.open:
+            self.open.pieces.append(data)
         elif data.strip():
-            self.open = [[data], 1, self.inside[-1], False, 0]
+            marks = self.stack[-1][2] if self.stack else ()
+            self.open = Line([data], self.inside[-1], False, marks, next((t for t, *_ in self.stack if t in HEADINGS), ""))
             self.lines.append(self.open)
-        if self.open and not self._apart() and any(t == "a" for t, _ in self.stack):
-            self.open[4] += len("".join(data.split()))
+        if self.open:
+            inner = {t for t, *_ in self.stack}
+            size = len("".join(data.split()))
+            self.open.linked += size if "a" in inner else 0
+            self.open.pressed += size if "button" in inner else 0
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -152,7 +217,7 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Between the two clusters of the values: 2-means in one dimension."""
+    """Between the two clusters of the values, 2-means in one dimension; their least value where the clusters are close."""
     low, high = float(values.min()), float(values.max())
     for _ in range(50):
         cut = (low + high) / 2
@@ -163,7 +228,89 @@ def threshold(values: np.ndarray) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high >= APART_BY * low else float(values.min())
+
+
+def selected(sizes: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Which lines the smoothed ratios of text to tags select; a line without text never is."""
+    if not sizes.any():
+        return np.zeros(len(sizes), bool)
+    even = smoothed(sizes / tags)
+    return (even >= threshold(even)) & (sizes > 0)
+
+
+class Tally:
+    """What stands in a region: its parts in order, selected and all text, and whether there are menus or the like."""
+
+    __slots__ = ("parts", "text", "chosen", "linked", "layout")
+
+    def __init__(self):
+        self.parts: list[tuple[bool, int]] = []  # (is it a line, its number)
+        self.text = self.chosen = self.linked = 0
+        self.layout = False
+
+
+def content(page: Lines, sizes: np.ndarray, out: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which lines are in content regions; ``out``: lines left out before."""
+    tallies = [Tally() for _ in page.regions]
+    placed = [False] * len(tallies)
+    placed[0] = True
+    for i, line in enumerate(page.lines):
+        k, new = line.region, []
+        while not placed[k]:
+            placed[k] = True
+            new.append(k)
+            k = page.regions[k][1]
+        for inner in reversed(new):  # outer regions have been placed
+            tallies[page.regions[inner][1]].parts.append((False, inner))
+        tallies[line.region].parts.append((True, i))
+        k = line.region
+        while k >= 0:
+            t = tallies[k]
+            if out[i]:
+                t.layout = True
+            else:
+                t.text += int(sizes[i])
+                t.chosen += int(sizes[i]) * bool(chosen[i])
+                t.linked += line.linked
+            k = page.regions[k][1]
+    keep = np.zeros(len(page.lines), bool)
+
+    def mostly_links(linked: int, text: int) -> bool:
+        return text > 0 and 2 * linked > text
+
+    def whole(k: int) -> None:
+        for is_line, j in tallies[k].parts:
+            if is_line:
+                keep[j] = not out[j]
+            else:
+                whole(j)
+
+    def look(k: int) -> None:
+        t, tag = tallies[k], page.regions[k][0]
+        if not t.chosen:
+            return
+        if tag in ("article", "main"):
+            whole(k)
+            return
+        parts = [tallies[j] for is_line, j in t.parts if not is_line]
+        if tag not in LAYOUT and not t.layout and all(2 * x.chosen >= x.text and not mostly_links(x.linked, x.text) for x in [t, *parts]):
+            whole(k)
+            return
+        holds = [bool(chosen[j]) if is_line else tallies[j].chosen > 0 for is_line, j in t.parts]
+        first, last = holds.index(True), len(holds) - 1 - holds[::-1].index(True)
+        first = next((at for at, (is_line, j) in enumerate(t.parts[:first]) if is_line and not out[j] and page.lines[j].heading == "h1"), first)  # an article starts with its title
+        for at, (is_line, j) in enumerate(t.parts):
+            if is_line:
+                title = bool(page.lines[j].heading) and at <= last
+                keep[j] = not out[j] and (bool(chosen[j]) or first < at < last or title) and not mostly_links(page.lines[j].linked, int(sizes[j]))
+            elif holds[at]:
+                look(j)
+            elif first < at < last and not mostly_links(tallies[j].linked, tallies[j].text):
+                whole(j)
+
+    look(0)
+    return keep
 
 
 def extract(html: str | None) -> str:
@@ -173,38 +320,26 @@ def extract(html: str | None) -> str:
     page = Lines()
     page.feed(html)
     page.close()
-    lines = [(" ".join("".join(x[0]).split()), *x) for x in page.lines]
-    ratios = np.array([len(text) / tags for text, _, tags, *_ in lines])
-    if not len(ratios) or not ratios.any():
+    if not page.lines:
         return ""
-    even = smoothed(ratios)
-    chosen = (even >= threshold(even)) & (ratios > 0)
-    if not chosen.any():
-        chosen = ratios > 0
-    # text of the chosen lines in each region, with the regions inside it; inner regions have larger numbers
-    held = np.zeros(len(page.regions), np.int64)
-    members = np.zeros(len(page.regions), np.int64)
-    for (text, _, _, region, *_), c in zip(lines, chosen, strict=True):
-        held[region] += len(text) * c
-        members[region] += c
-    for k in range(len(held) - 1, 0, -1):
-        held[page.regions[k][1]] += held[k]
-        members[page.regions[k][1]] += members[k]
-    whole = held[0]
-    named = [k for k, (tag, _) in enumerate(page.regions) if tag in ("article", "main") and held[k] >= HOLDS * whole]
-    inner = [k for k in range(len(held)) if held[k] >= HOLDS * whole]
-    region, outer = (named[-1], named[0]) if named else (inner[-1], 0)
-
-    def inside(region: int) -> list[bool]:
-        out = [False] * len(held)
-        out[region] = True
-        for k in range(region + 1, len(held)):
-            out[k] = out[page.regions[k][1]]
-        return out
-
-    # around the region up to the outermost article or main, else the page, only what is apart or mostly links is left out
-    within, around = inside(region), inside(outer)
-    return "\n".join(text for text, _, _, own, apart, linked in lines if not apart and (within[own] or around[own] and 2 * linked <= len("".join(text.split()))))
+    texts = [" ".join("".join(x.pieces).split()) for x in page.lines]
+    sizes = np.array([len(t) for t in texts])
+    tags = np.array([x.tags for x in page.lines])
+    out = np.array([x.apart or 0 < len("".join(t.split())) == x.pressed for x, t in zip(page.lines, texts, strict=True)])
+    if page.marked:
+        # a name says apart only where the ratios agree: no advert or header holds nearly all that they select
+        first = selected(np.where(out, 0, sizes), tags)
+        held = np.zeros(len(page.marked), np.int64)
+        named = False
+        for x, n, c in zip(page.lines, sizes, first, strict=True):
+            for m in x.marks:
+                held[m] += n * c
+            named = named or bool(c) and not x.marks and page.named(x.region)
+        counts = [says == "comments" or named or held[m] <= HOLDS * (sizes * first).sum() for m, says in enumerate(page.marked)]
+        out |= np.array([any(counts[m] for m in x.marks) for x in page.lines])
+    sizes = np.where(out, 0, sizes)
+    keep = content(page, sizes, out, selected(sizes, tags))
+    return "\n".join(t for t, k in zip(texts, keep, strict=True) if k and t)
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long"

@@ -120,6 +120,12 @@ def test_fingerprints(spark):
         ("<main><p>Real text that goes on for a while.</p><div id='comments'><p>Reader says a lot of things here, more than the article.</p></div></main>", "Real text that goes on for a while."),
         ("<main><ul><li>a<li>b</ul><p>x <b>y</b>z <!-- c --> w</p></main>", "a\nb\nx yz w"),
         ("<p>unclosed <b>bold", "unclosed bold"),
+        # names made of heading texts, or with other words in them, say nothing
+        ('<article><h2 id="related-work">Related work</h2><p>Body text.</p><p class="ad-hoc">An ad hoc rule.</p><div id="social-policy">On policy.</div></article>', "Related work\nBody text.\nAn ad hoc rule.\nOn policy."),
+        ("<article>teaser</article><article>A long article, longer than the teaser before it.</article>", "teaser\nA long article, longer than the teaser before it."),
+        ("<article><p>Press <button>Save</button> to go on.</p><button>Share this</button><p>Then wait.</p></article>", "Press Save to go on.\nThen wait."),
+        ("<article><p>One.</p><div class='ad-container'>Buy.</div><div class='related-posts'><p>More.</p></div><aside>Side.</aside><p>Two.</p></article>", "One.\nTwo."),
+        ("<div class='site-header'>Name of the site</div><article><header><h1>Title</h1></header><p>Text.</p></article>", "Title\nText."),
     ],
 )
 def test_main_text(html, text):
@@ -143,6 +149,49 @@ def test_main_text_around_the_region(html, head, tail):
     assert html_text.extract(html).split("\n") == [*head, *LONG, *tail]
 
 
+MENU = "".join(f"<p>{w}</p>" for w in WORDS[:12])
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<body><div>{MENU}</div><div class=wide>{PARAGRAPHS}</div><div>{MENU}</div></body>", LONG),
+        (f"<body><div class=page><div>{MENU}</div><div><h1>Title</h1>{PARAGRAPHS}<ul><li>a<li>b<li>c<li>d<li>e<li>f</ul>{PARAGRAPHS}</div><div>{MENU}</div></div></body>", ["Title", *LONG, *"abcdef", *LONG]),
+        (f"<table><tr><td>{MENU}</td><td>{PARAGRAPHS}</td></tr></table>", LONG),
+        (f"<div class='widget content'>{PARAGRAPHS}</div>", LONG),
+        (f"<div><nav>Menu</nav>{MENU}{MENU}<section>{PARAGRAPHS}</section><section>{PARAGRAPHS}</section></div>", LONG * 2),
+    ],
+)
+def test_ratios_select_content(html, text, monkeypatch):
+    """Nothing on these pages says what the article is; with the selection turned round another text comes out."""
+    found = html_text.extract(html).split("\n")
+    assert [x for x in found if x not in WORDS] == text
+    assert sum(x in WORDS for x in found) <= 4  # a short line beside the article is smoothed up to it
+    select = html_text.selected
+    monkeypatch.setattr(html_text, "selected", lambda sizes, tags: ~select(sizes, tags) & (sizes > 0))
+    assert html_text.extract(html).split("\n") != found
+
+
+def test_ratios_smoothing_and_threshold_against_plain_formulas():
+    rng = random.Random(11)
+    for _ in range(100):
+        ratios = [rng.choice([rng.uniform(0, 5), rng.uniform(50, 90)]) for _ in range(rng.randrange(1, 40))]
+        weight = lambda d: math.exp(-0.5 * (d / html_text.SIGMA) ** 2) if abs(d) <= 3 * html_text.SIGMA else 0.0
+        even = [sum(weight(i - j) * x for j, x in enumerate(ratios)) / sum(weight(i - j) for j in range(len(ratios))) for i in range(len(ratios))]
+        assert np.allclose(html_text.smoothed(np.array(ratios)), even)
+        low, high = min(even), max(even)
+        for _ in range(50):
+            under, over = [x for x in even if x <= (low + high) / 2], [x for x in even if x > (low + high) / 2]
+            if not under or not over or (low, high) == (sum(under) / len(under), sum(over) / len(over)):
+                break
+            low, high = sum(under) / len(under), sum(over) / len(over)
+        cut = (low + high) / 2 if high >= html_text.APART_BY * low else min(even)
+        assert math.isclose(html_text.threshold(np.array(even)), cut)
+        sizes, tags = np.array([int(100 * x) for x in ratios]), np.full(len(ratios), 100)
+        own = html_text.smoothed(sizes / tags)
+        assert html_text.selected(sizes, tags).tolist() == [e >= html_text.threshold(own) and n > 0 for e, n in zip(own.tolist(), sizes.tolist())]
+
+
 def test_main_text_of_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>a</p>"), (2, "v", "")], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in html_text.main_text(pages).collect()) == [(0, "a", 1), (1, "", 0), (2, "", 0)]
