@@ -1,9 +1,9 @@
 """License scans: exact phrases and fuzzy short notices.
 
 A text becomes its lower-case words joined by single spaces. A phrase is found where its words stand
-consecutively. A notice may differ by a bounded number of edits: it is split into one seed more than edits, so that by
-pigeonhole one seed stands unchanged in every match; around each seed found, the regex library verifies the bounded
-error and reports the span.
+consecutively. A notice may differ by a bounded number of edits, but not in the words that tell licenses apart (names and
+versions), and it begins and ends with a word: it is split into one seed more than edits, so that by pigeonhole one seed
+stands unchanged in every match; around each seed found, the regex library verifies the bounded error and reports the span.
 
 Defined results: a null or empty text has no word, no place and no label (empty strings, score 0). Rows are scanned one
 by one, so repeated rows get equal answers. Extra columns are ignored.
@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,23 +29,22 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Short notices that are searched with errors, with their labels.
+#: Short notices that are searched with errors, with their labels. Words between bars stand unchanged.
 NOTICES = {
-    "licensed under the apache license version 2 0": "apache-2",
-    "released under the mit license": "mit",
-    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
-    "licensed under the gnu general public license": "gpl",
-    "licensed under the gnu lesser general public license": "lgpl",
-    "licensed under the gnu affero general public license": "agpl",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
-    "permission to use copy modify and or distribute this software for any purpose": "isc",
-    "subject to the terms of the mozilla public license": "mpl",
-    "licensed under the eclipse public license": "epl",
-    "creative commons attribution noncommercial": "cc-by-nc",
-    "creative commons attribution sharealike": "cc-by-sa",
-    "creative commons attribution 4 0 international": "cc-by",
-    "released into the public domain": "public-domain",
-    "all rights reserved": "all-rights-reserved",
+    "licensed under the |apache| license |version 2| 0": "apache-2",
+    "released under the |mit| license": "mit",
+    "|permission| is hereby |granted| free of charge to any person obtaining a copy": "mit",
+    "licensed under the |gnu general| public license": "gpl",
+    "licensed under the |gnu lesser general| public license": "lgpl",
+    "licensed under the |gnu affero general| public license": "agpl",
+    "|redistribution| and use in source and |binary| forms with or without modification are permitted": "bsd",
+    "|permission| to use copy |modify| and or |distribute| this software for any purpose": "isc",
+    "subject to the terms of the |mozilla| public license": "mpl",
+    "licensed under the |eclipse| public license": "epl",
+    "creative commons attribution |noncommercial|": "cc-by-nc",
+    "creative commons attribution |sharealike|": "cc-by-sa",
+    "creative commons attribution |4 0| international": "cc-by",
+    "released into the |public domain|": "public-domain",
 }
 #: One edit for so many characters of a notice.
 CHARS_AN_EDIT = 15
@@ -52,19 +53,32 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
+def parts(notice: str) -> list[tuple[str, bool]]:
+    """The pieces of a notice and whether each stands unchanged."""
+    return [(piece, bool(i % 2)) for i, piece in enumerate(notice.split("|")) if piece]
+
+
+def edits(plain: str) -> int:
+    """How many edits a notice may have."""
+    return max(1, len(plain) // CHARS_AN_EDIT)
+
+
 @functools.cache
 def _searches() -> tuple[list[tuple], object]:
-    """(label, notice, edits, words, pattern) of each notice, and an automaton of all seeds: [(notice, place), ...] each."""
+    """(label, notice, edits, unchanged words, pattern) of each notice, and an automaton of all seeds: [(notice, place), ...] each."""
     import ahocorasick
     import regex
 
     searches, seeds = [], {}
     for notice, label in NOTICES.items():
-        k = max(1, len(notice) // CHARS_AN_EDIT)
-        cuts = [round(i * len(notice) / (k + 1)) for i in range(k + 2)]
+        plain = notice.replace("|", "")
+        k = edits(plain)
+        cuts = [round(i * len(plain) / (k + 1)) for i in range(k + 2)]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            seeds.setdefault(notice[a:b], []).append((len(searches), a))
-        searches.append((label, notice, k, notice.split(), regex.compile(rf"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={k}}}")))
+            seeds.setdefault(plain[a:b], []).append((len(searches), a))
+        # the edits of the pieces are bounded together by the search; here each by the whole bound
+        body = "".join(rf"(?<![^ ]){regex.escape(x, literal_spaces=True)}(?![^ ])" if fixed else rf"(?:{regex.escape(x, literal_spaces=True)}){{e<={k}}}" for x, fixed in parts(notice))
+        searches.append((label, plain, k, [x for x, fixed in parts(notice) if fixed], regex.compile(rf"(?b)(?<![^ ])(?:{body})(?![^ ])")))
     automaton = ahocorasick.Automaton()
     for seed, places in seeds.items():
         automaton.add_word(seed, (len(seed), places))
@@ -83,17 +97,20 @@ def fuzzy(text: str) -> list[tuple[str, int, int, int]]:
             near.setdefault(which, []).append((max(0, begin - k), begin + len(notice) + k))
     found = []
     for which, spans in near.items():
-        label, _, k, words, pattern = searches[which]
+        label, notice, k, fixed, pattern = searches[which]
         done = 0
         for begin, end in sorted(spans):
             begin = max(begin, done)
-            # an edit spoils two words at most
-            if sum(text.find(w, begin, end) >= 0 for w in words) < len(words) - 2 * k:
-                continue
-            match = pattern.search(text, begin, end)
-            if match:
-                found.append((label, match.start(), match.end(), sum(match.fuzzy_counts)))
-                done = match.end()
+            while begin < end and all(text.find(x, begin, end) >= 0 for x in fixed):
+                stop = text.find(" ", end)  # whole words only
+                match = pattern.search(text, begin, stop if stop >= 0 else len(text))
+                if not match:
+                    break
+                if sum(match.fuzzy_counts) <= k:
+                    found.append((label, match.start(), match.end(), sum(match.fuzzy_counts)))
+                    done = match.end()
+                    break
+                begin = match.start() + 1
     return sorted(found, key=lambda m: (m[1], m[2], m[0]))
 
 
@@ -104,18 +121,22 @@ def scan(text: str | None) -> tuple:
     """
     words = WORD.findall((text or "").translate(_LOWER))
     line = " ".join(words)
-    starts, base = [], set()
+    places, base = [], set()
     for phrase, label in PHRASES.items():
         at = line.find(phrase)
         while at >= 0:
             if (at == 0 or line[at - 1] == " ") and (at + len(phrase) == len(line) or line[at + len(phrase)] == " "):
-                starts.append(line.count(" ", 0, at))
+                places.append(at)
                 base.add(label)
             at = line.find(phrase, at + 1)
+    notices = fuzzy(line)
+    begins = list(accumulate((len(w) + 1 for w in words), initial=0)) if places or notices else []  # where each word begins
+    starts = [bisect_left(begins, at) for at in places]
     spans, best = [], 1.0 if starts else 0.0
-    for label, begin, end, edits in fuzzy(line):
-        spans.append((label, line.count(" ", 0, begin), line.count(" ", begin, end) + 1, edits))
-        best = max(best, 1 - edits / (end - begin))
+    for label, begin, end, errors in notices:
+        first = bisect_left(begins, begin)
+        spans.append((label, first, bisect_left(begins, end) - first, errors))
+        best = max(best, 1 - errors / (end - begin))
     labels = base | {s[0] for s in spans}
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best, spans)
 
