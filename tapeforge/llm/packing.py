@@ -5,8 +5,9 @@ histogram of piece lengths (``length`` numbers at most) goes through shortest-pa
 first, each piece into the pack with the most room that holds it, a new pack otherwise, on counts of packs
 of one pattern. Pieces then take the patterns' places by their rank among the pieces of their length.
 
-Ranks are made in two levels, within (length, salt) and by sums over the salts, so that a length that many
-documents share is not one task's work. Texts are encoded once; what is kept of a piece is six numbers.
+Ranks are made in two levels, within (length, salt) and by sums over the salts; a length has as many salts as it has
+pieces to deal out, so that a length that many documents share, such as that of full pieces, is not one task's work at any
+size. Texts are encoded once; what is kept of a piece is six numbers.
 
 Defined results: a null or empty text is the end id alone; rows with one id are packed one by one, in the
 order of (doc_id, start, ids_crc32, doc_tokens); exact repeats are told apart by their count. Extra columns are ignored.
@@ -26,32 +27,36 @@ from pyspark.sql import functions as F
 from .common import chunks, stored
 
 LENGTH = 1024
-SALTS = 64
+#: Salts a length has at least, and the pieces that one of more salts ranks.
+SALTS, RANKED = 64, 1 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 @functools.cache
 def encoder(path: str):
-    """A function from a text to its ids, by the tokenizer file.
+    """A function from a text to its ids, as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them.
 
-    Where the same vocabulary lies beside the file as ranks, the faster library that reads those encodes; a test holds
-    both to equal ids.
+    Where the same vocabulary lies beside the file as ranks and its added tokens are plain strings, the faster library that
+    reads those encodes; a test holds both to equal ids. Added tokens that stand in a text are those tokens in either.
     """
+    import json
     from pathlib import Path
 
     ranked = Path(path).with_suffix(".tiktoken")
-    if ranked.exists():
+    added = json.loads(Path(path).read_text(encoding="utf-8"))["added_tokens"]
+    plain = not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if ranked.exists() and plain:
         import base64
 
         import public_tokenizers
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranked.read_bytes().splitlines())}
-        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        found = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={t["content"]: t["id"] for t in added})
+        return lambda text: found.encode(text, allowed_special="all")
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text, add_special_tokens=False).ids
 
 
@@ -116,15 +121,17 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 0)
     """Every piece with its sequence_id and its offset there."""
     spark = docs.sparkSession
     cut = stored(pieces(docs, tokenizer, length, end_id))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int"))
-    counts = stored(salted.groupBy("length", "salt").count())  # at most length * SALTS rows
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most length rows
+    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most length rows
     where = places(patterns(histogram, length))
+    many = {size: -(-n // RANKED) for size, n in histogram.items() if n > SALTS * RANKED}
+    salts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in many.items() for x in kv]), "length"), F.lit(SALTS)) if many else F.lit(SALTS)
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), salts).cast("long"))
+    counts = stored(salted.groupBy("length", "salt").count())  # length * SALTS rows, and one a RANKED pieces
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     ahead = counts.select("length", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead"))
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    # the lengths are few and each has SALTS rows of counts: both small sides are bounded by the pack length alone
-    ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(F.broadcast(ahead), ["length", "salt"])
+    # the pieces are dealt out by (length, salt) already: Spark's own size check decides whether the counts are broadcast
+    ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(ahead, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("own") + F.col("ahead"))
 
     lows = {}

@@ -339,8 +339,7 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path())
-    found.encode_special_tokens = True
-    texts = HARD + [prose(i, 20 * i) for i in range(60)] + ["<|endoftext|> in a text"]
+    texts = HARD + [prose(i, 20 * i) for i in range(60)] + ["<|endoftext|> in a text", "<|endoftext|><|endoftext|>", "a <|endoftext|>  b<|endoftext", "a<|endoftext|>b " * 700]
     d = table(spark, texts)
     rows = packing.pack(d, path()).collect()
     by_doc, by_sequence = {}, {}
@@ -364,6 +363,19 @@ def test_packing(spark):
     assert len(by_sequence) <= 1.1 * sum(r["length"] for r in rows) / packing.LENGTH + 2
 
 
+def test_a_length_of_many_pieces_has_more_salts(spark, monkeypatch):
+    d = table(spark, [prose(i, 5) for i in range(40)] * 10)
+    monkeypatch.setattr(packing, "SALTS", 2)
+    monkeypatch.setattr(packing, "RANKED", 3)
+    rows = packing.pack(d, path()).collect()
+    taken = Counter((r["sequence_id"], r["offset"]) for r in rows)
+    assert len(rows) == 400 and max(taken.values()) == 1
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all([o for o, _ in sorted(v)] == [sum(n for _, n in sorted(v)[:i]) for i in range(len(v))] for v in by_sequence.values())
+
+
 def test_patterns_place_every_piece():
     rng = random.Random(5)
     for _ in range(50):
