@@ -2,11 +2,13 @@
 
 A suffix automaton is built of labelled text of each language. A text is parsed greedily into the longest
 phrases that occur in that language's text; the language that needs the fewest phrases for its length wins.
-All texts of a batch walk the automata in step, one symbol a turn, cut into segments of SEGMENT code points (the last
-phrase of a segment ends there, for every language alike).
+The texts of a batch walk the automata in step, one symbol a turn, in segments of SEGMENT code points. A segment is first
+parsed as if a phrase began there; then the phrase left open by the segment before is carried on into it until both
+parses are in one state, from where they agree. So the count is that of the whole text.
 
-The fit is bounded: TRAIN_DOCS whole texts a language with at most TRAIN_CHARS code points each, those of least
-hash of their id. Languages are few; a window's group limit keeps TRAIN_DOCS rows a task before anything is shuffled.
+The fit is bounded by parameters: the LANGUAGES labels with most texts; of each whole texts of at most LONGEST code points,
+those of at most SHORT first, by least hash of their id, at most TRAIN_DOCS, none after TRAIN_CHARS code points are
+reached. A window's group limit keeps TRAIN_DOCS rows a task before anything is shuffled.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing was
 learned. Ties go to the alphabetically first language. The score is 1 - fewest / second fewest phrases, and 1 for a
@@ -22,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TRAIN_DOCS, TRAIN_CHARS = 16, 4000
+TRAIN_DOCS, TRAIN_CHARS, SHORT, LONGEST, LANGUAGES = 16, 64_000, 4000, 100_000, 100
 SEGMENT = 512
-#: Segments that walk together.
-LANES = 4096
+#: Code points that are parsed at once; a longer text by itself.
+BATCH = 1_000_000
 
 
 def normal(text: str) -> str:
@@ -86,18 +88,57 @@ class Automaton:
             p = link[p]
         return clone
 
-    def phrases(self, columns: np.ndarray, live: np.ndarray) -> np.ndarray:
-        """Phrases in each segment; ``columns`` has a row a turn, and the first ``live[t]`` segments are that long."""
-        state = np.zeros(columns.shape[1], np.int32)
-        count = np.zeros(columns.shape[1], np.int32)
-        for symbols, n in zip(columns, live.tolist(), strict=True):
-            found = self.step.take(state[:n] + symbols[:n])
-            ended = found == 0
+    def _walk(self, state: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next state of each lane, and whether a phrase ended before this symbol."""
+        found = self.step.take(state + symbols)
+        ended = found == 0
+        return np.where(ended, self.restart.take(symbols), found), ended
+
+    def phrases(self, columns: np.ndarray, live: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        """Phrases that begin in each segment; ``columns`` has a row a turn, and the first ``live[t]`` segments are longer than t.
+
+        ``before``: the segment that each one carries on, -1 for none; that one is of full length.
+        """
+        turns, lanes = columns.shape
+        states, counts = np.zeros((turns, lanes), np.int32), np.zeros((turns, lanes), np.int32)
+        state, count = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        for t, (symbols, n) in enumerate(zip(columns, live.tolist(), strict=True)):
+            state[:n], ended = self._walk(state[:n], symbols[:n])
             count[:n] += ended
-            state[:n] = np.where(ended, self.restart.take(symbols[:n]), found)
+            states[t], counts[t] = state, count
+        if before is None:
+            return count
+        last, size = state, (np.arange(turns)[:, None] < live_sizes(live, lanes)).sum(0)
+        todo = np.flatnonzero(before >= 0)
+        opened = last.copy()  # the state at the end of each segment; of those that never agree it is put right below
+        while len(todo):
+            on, now, begun = todo, opened[before[todo]], np.zeros(len(todo), np.int32)
+            was = opened[todo].copy()
+            for t in range(turns):
+                inside = size[on] > t
+                if not inside.all():  # ended before both parses agreed
+                    count[on[~inside]] = begun[~inside]
+                    on, now, begun = on[inside], now[inside], begun[inside]
+                if not len(on):
+                    break
+                now, ended = self._walk(now, columns[t, on])
+                begun = begun + ended
+                agree = now == states[t, on]
+                if agree.any():
+                    at = on[agree]
+                    count[at] = begun[agree] + counts[-1, at] - counts[t, at]
+                    opened[at] = last[at]
+                    on, now, begun = on[~agree], now[~agree], begun[~agree]
+            count[on], opened[on] = begun, now  # they never agreed
+            todo = np.flatnonzero(np.isin(before, todo[opened[todo] != was]))  # what comes after these starts from another state
         return count
 
 
+def live_sizes(live: np.ndarray, lanes: int) -> np.ndarray:
+    """How long each segment is, from how many are longer than each turn."""
+    return np.searchsorted(-live, -np.arange(lanes), side="left")
+
+
 class Model:
     """The languages' automata over one alphabet: space, the letters of the labelled texts, and any other letter."""
 
@@ -129,17 +170,18 @@ class Model:
         total = np.zeros((len(self.languages), len(texts)), np.int64)
         segments = [(len(c[s : s + SEGMENT]), i, s) for i, c in enumerate(coded) if known[i] for s in range(0, len(c), SEGMENT)]
         segments.sort(key=lambda x: -x[0])
-        for a in range(0, len(segments), LANES):
-            lanes = segments[a : a + LANES]
-            size = np.array([n for n, _, _ in lanes])
-            columns = np.zeros((len(lanes), size[0]), np.int32)
-            for row, (n, i, s) in enumerate(lanes):
+        if segments:
+            size = np.array([n for n, _, _ in segments])
+            columns = np.zeros((len(segments), size[0]), np.int32)
+            for row, (n, i, s) in enumerate(segments):
                 columns[row, :n] = coded[i][s : s + n]
             columns = np.ascontiguousarray(columns.T)
             live = np.searchsorted(-size, -np.arange(len(columns)), side="left")
-            owner = np.array([i for _, i, _ in lanes])
+            owner = np.array([i for _, i, _ in segments])
+            place = {(i, s): row for row, (_, i, s) in enumerate(segments)}
+            before = np.array([place.get((i, s - SEGMENT), -1) for _, i, s in segments])
             for k, automaton in enumerate(self.automata):
-                np.add.at(total[k], owner, automaton.phrases(columns, live))
+                np.add.at(total[k], owner, automaton.phrases(columns, live, before))
         if not self.languages:
             return ["und"] * len(texts), [0.0] * len(texts)
         best = total.argmin(0)
@@ -162,12 +204,14 @@ def _model(texts: dict[str, list[str]]) -> Model:
 
 def training(docs: DataFrame) -> dict[str, list[str]]:
     """The labelled texts to learn from; ``docs`` has doc_id, text and lang of those that may be used."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    long = F.char_length("text") > TRAIN_CHARS  # where a language has no shorter ones, a long text's excerpt must do
-    order = Window.partitionBy("lang").orderBy(long, F.xxhash64("doc_id"), "text")
-    rows = usable.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_DOCS)
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.char_length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
+    labels = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    order = Window.partitionBy("lang").orderBy(F.char_length("text") > SHORT, F.xxhash64("doc_id"), "text")
+    rows = usable.select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_DOCS)
+    sofar = F.sum(F.char_length("text")).over(Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("sofar", F.coalesce(sofar, F.lit(0))).filter(F.col("sofar") < TRAIN_CHARS).join(F.broadcast(labels), "lang", "left_semi")  # LANGUAGES rows
     out: dict[str, list[str]] = {}
-    for r in rows.select("lang", F.substring("text", 1, TRAIN_CHARS).alias("text")).orderBy("lang", "rank").collect():  # bounded: TRAIN_DOCS a language
+    for r in rows.select("lang", "text").orderBy("lang", "rank").collect():  # bounded: TRAIN_DOCS a language, of LANGUAGES
         out.setdefault(r["lang"], []).append(r["text"])
     return out
 
@@ -180,10 +224,10 @@ def predict(docs: DataFrame, texts: dict[str, list[str]]) -> DataFrame:
         for batch in batches:
             ids, text = batch.column("doc_id"), batch.column("text")
             start = 0
-            while start < batch.num_rows:  # about two million code points at once
+            while start < batch.num_rows:
                 held, end = 0, start
                 own = []
-                while end < batch.num_rows and (held < 2_000_000 or end == start):
+                while end < batch.num_rows and (held < BATCH or end == start):
                     own.append(text[end].as_py())
                     held += len(own[-1] or "")
                     end += 1

@@ -453,6 +453,43 @@ def test_automaton_against_substrings():
         assert a.phrases(np.array(query, np.int32)[:, None], np.ones(20, int))[0] == count
 
 
+def test_phrases_run_on_across_segments(monkeypatch):
+    """Whole texts, cut or not, have the phrases that a plain parse of them has."""
+    rng = random.Random(9)
+    model = lang_id.Model({k: ["".join(rng.choice(v) for _ in range(400))] for k, v in {"aa": "abc ", "bb": "abcd "}.items()})
+    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(1, 400))) for _ in range(60)] + ["a" * 300, "abab" * 100]
+    for segment in (2, 3, 7, 64, 1000):
+        monkeypatch.setattr(lang_id, "SEGMENT", segment)
+        counts = []
+        phrases = lang_id.Automaton.phrases
+        monkeypatch.setattr(lang_id.Automaton, "phrases", lambda *a: counts.append(phrases(*a)) or counts[-1])
+        langs, scores = model.predict(texts)
+        monkeypatch.setattr(lang_id.Automaton, "phrases", phrases)
+        segments = sorted(((len(t[s : s + segment]), i, s) for i, t in enumerate(texts) for s in range(0, len(t), segment)), key=lambda x: -x[0])
+        for automaton, found in zip(model.automata, counts, strict=True):
+            got = [0] * len(texts)
+            for (_, i, _), n in zip(segments, found.tolist(), strict=True):
+                got[i] += n
+            for i, t in enumerate(texts):
+                state = want = 0
+                for c in model.symbols(t).tolist():
+                    state = int(automaton.step[state + c])
+                    if state == 0:
+                        want, state = want + 1, int(automaton.restart[c])
+                assert got[i] == want, (segment, i)
+
+
+def test_training_takes_whole_texts_within_bounds(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "TRAIN_CHARS", 1000)
+    monkeypatch.setattr(lang_id, "LANGUAGES", 2)
+    monkeypatch.setattr(lang_id, "LONGEST", 5000)
+    texts = [prose(i, 60) for i in range(10)] + ["x" * 4500] * 3 + ["y" * 6000] * 5 + ["z"]
+    rows = [(i, t, "en" if i < 10 else {"x": "xx", "y": "yy", "z": "zz"}[t[0]], "s", 0) for i, t in enumerate(texts)]
+    found = lang_id.training(spark.createDataFrame(rows, HEAD))
+    assert set(found) == {"en", "xx"} and found["xx"] == ["x" * 4500] and set(found["en"]) <= set(texts)
+    assert sum(map(len, found["en"][:-1])) < 1000 <= sum(map(len, found["en"]))
+
+
 def test_language_of_held_out_texts(spark):
     rng = random.Random(4)
     parts = {"aa": ["ka", "lo", "mi", "tu", "ren"], "bb": ["scho", "ber", "und", "eit", "ge"], "cc": ["ción", "que", "llo", "ado", "es"]}
