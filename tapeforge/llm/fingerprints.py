@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, text_bytes
+from .common import chunks, mix, stored, text_bytes
 
 WINDOW = 32
 #: Texts of fewer bytes also give features of the short window.
@@ -222,26 +222,40 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 _LEAST = -(1 << 63)
+#: Rows of a range, about; and how many quantiles of the ids are taken, each cut into equal ranges.
+RANGE_ROWS, QUANTILES = 20_000, 500
 
 
-def in_order(docs: DataFrame, parts: int) -> DataFrame:
+def in_order(docs: DataFrame) -> DataFrame:
     """All rows dealt into ranges of ascending id, sorted, each range followed by the first row of the next.
 
-    Columns: part, follower (the row belongs to the next range), doc_id, text. Only quantiles of the ids and
-    the least id of each range, a few hundred numbers, come to the driver.
+    Columns: part, follower (the row belongs to the next range), doc_id, text. Their number follows that of the rows. Only QUANTILES
+    numbers come to the driver; of texts only the first of each range is handed on.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = sorted({int(b) for b in docs.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)})
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
+    wanted = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // RANGE_ROWS)
+    coarse = min(wanted, QUANTILES)
+    bounds = sorted({int(b) for b in docs.stat.approxQuantile("doc_id", [i / coarse for i in range(coarse + 1)], 0.1 / coarse)})
+    fine = -(-wanted // coarse)
+    at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)  # that many bounds lie below
+    if fine > 1 and bounds:
+        low, high = (F.coalesce(F.get(F.array(*[F.lit(float(b)) for b in bounds]), k), F.col("doc_id").cast("double")) for k in (at - 1, at))
+        step = F.floor(fine * (F.col("doc_id").cast("double") - low) / F.greatest(high - low, F.lit(1.0)))
+        part = at.cast("long") * fine + F.least(F.greatest(step, F.lit(0)), F.lit(fine - 1))
+    else:
+        part = at.cast("long")
     dealt = docs.withColumn("part", part)
-    least = dict(dealt.groupBy("part").agg(F.min("doc_id")).collect())  # a number a range
-    starts = sorted(least)
-    before = dict(zip(starts[1:] + starts[:1], starts, strict=True))  # after the last comes the first
-    follow = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.lit(None).cast("map<int,int>")
-    heads = dealt.filter(F.col("doc_id").isin(list(least.values()))).groupBy("part", "doc_id").agg(F.min("text").alias("text"))
-    tails = heads.select(F.try_element_at(follow, "part").alias("part"), F.lit(1).alias("follower"), "doc_id", "text")
+    # a row a range: its first id, and the range before it; after the last range comes the first
+    least = dealt.groupBy("part").agg(F.min("doc_id").alias("doc_id"))
+    order = Window.orderBy("part")
+    least = least.select("part", "doc_id", F.lag("part").over(order).alias("before"), F.max("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last"))
+    least = stored(least.select("part", "doc_id", F.coalesce("before", "last").alias("before")))
+    firsts = F.broadcast(least)  # 24 bytes for RANGE_ROWS documents
+    heads = dealt.join(firsts, ["part", "doc_id"]).groupBy("before", "doc_id").agg(F.min("text").alias("text"))
+    tails = heads.select(F.col("before").alias("part"), F.lit(1).alias("follower"), "doc_id", "text")
     rows = dealt.select("part", F.lit(0).alias("follower"), "doc_id", "text").unionByName(tails)
-    return rows.repartition(max(1, len(starts) // 4), "part").sortWithinPartitions("part", "follower", "doc_id", "text")
+    return rows.repartition(max(1, wanted // 4), "part").sortWithinPartitions("part", "follower", "doc_id", "text")
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -252,9 +266,6 @@ def fingerprint_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
 
     A task streams its ranges in order and keeps one row back, so a range may be of any size.
     """
-    spark = docs.sparkSession
-    parts = min(1000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (part, follower, id, text, filters)
         for batch in batches:
@@ -281,7 +292,7 @@ def fingerprint_edits(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-    return in_order(docs, parts).mapInArrow(run, SCHEMA)
+    return in_order(docs).mapInArrow(run, SCHEMA)
 
 
 def fingerprints(docs: DataFrame, ranks: np.ndarray) -> DataFrame:

@@ -106,6 +106,20 @@ def test_fingerprints(spark):
     assert all(alone[r["doc_id"]] == r["fingerprint"] for r in rows)
 
 
+def test_ranges_of_ids(spark, monkeypatch):
+    """Any number of ranges, with ids far apart, repeated and null, gives the same rows."""
+    ids = [None, None, -(10**15), *range(0, 40), 7, 7, 10**12, 10**18]
+    d = spark.createDataFrame([(i, prose(k, 40), "en", "s", 0) for k, i in enumerate(ids)], HEAD)
+    ranks = fingerprints.rarity(fingerprints.entropy_counts(d))
+    want = sorted(map(str, fingerprints.fingerprint_edits(d, ranks).collect()))
+    texts = sorted(((i is not None, i or 0), prose(k, 40)) for k, i in enumerate(ids))
+    edited = {hashlib.sha256((a[: len(a) - len(a) // 4] + b[: len(a) // 4]).encode()).hexdigest() for (_, a), (_, b) in zip(texts, texts[1:] + texts[:1])}
+    assert len(want) == len(ids) and all(any(e in w for w in want) for e in edited)
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 1)
+    monkeypatch.setattr(fingerprints, "QUANTILES", 3)
+    assert sorted(map(str, fingerprints.fingerprint_edits(d, ranks).collect())) == want
+
+
 # 2 html
 
 
