@@ -2,56 +2,99 @@
 
 Entities are found by one pattern; each gets a replacement of its own kind, made from a keyed digest: letters become
 letters of the same script and case, digits digits, marks stay. E-mail addresses keep their top-level domain, phone and card
-numbers their first digit (a card number that passes the Luhn check still does), IP numbers the digits of each part,
-IBANs their country. Known first names turn into others of the same gender and script, surnames into
+numbers their first digit (a card number that passes the Luhn check still does), IP numbers of version 4 the digits of each
+part, IBANs their country. Known first names turn into others of the same gender and script, surnames into
 names of the same length, script and case.
 
 Coreference: the digest is of the entity without case and marks, so all spellings of one entity get one surrogate, each in its
-own format; a name's parts are replaced one by one. Distinctness: over the whole corpus no two entities of a kind
+own format; a name's parts are replaced one by one. Once a name is found in a text, its parts are replaced wherever they stand
+alone in that text, too. Distinctness: over the whole corpus no two entities of a kind
 share a surrogate and none is another real entity; where the first digest would, that entity gets a salt, again until
-there is no collision. Only these exceptions, if any, are joined back to the documents that hold them.
+there is no collision, and after GROW salts a longer surrogate, so that every kind has room. Only these exceptions, if any, are joined
+back to the documents that hold them.
+
+The key makes surrogates unguessable; it comes from the session's configuration (KEY_SETTING) or the caller, and there is none
+in this module.
 
 Main path in DataFrame functions only. Defined results: a null text stays null, an empty one empty; repeated rows are
-replaced alike; all other columns pass through.
+replaced alike; a column n_entities of the input is replaced; all other columns pass through.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
 
+#: The session's setting that holds the key.
+KEY_SETTING = "spark.tapeforge.surrogates.key"
+
 #: First names by gender and script.
 FIRST_NAMES = {
-    "f": "Anna Barbara Carmen Charlotte Claire Elena Elizabeth Emma Jennifer Julia Laura Linda Lucia Maria Marie Mary Patricia Sarah Sofia Susan",
-    "m": "Andreas Carlos Charles David Hans James Jean John Jorge Juan Klaus Luis Michael Miguel Paul Peter Pierre Robert Thomas William",
-    "f-cyrillic": "Анна Екатерина Елена Ирина Мария Наталья Ольга Светлана",
-    "m-cyrillic": "Александр Алексей Дмитрий Иван Михаил Николай Павел Сергей",
+    "f": "Amelia Andrea Anna Barbara Carmen Catherine Charlotte Chloe Christine Claire Clara Claudia Elena Elizabeth Emily Emma Hannah Ingrid Isabel Jane Jennifer Jessica Julia "
+    "Karen Katharina Laura Lena Linda Lisa Lucia Lucy Margaret Maria Marie Marta Mary Michelle Monica Nancy Nicole Olivia Patricia Paula Petra Rebecca Ruth Sandra Sarah Sofia Sophie Susan Teresa",
+    "m": "Alexander Andreas Andrew Antonio Benjamin Bernard Carlos Charles Christian Daniel David Diego Edward Fernando Francisco Frank George Hans Henri Henry Jacques Jakob James Jan Javier Jean "
+    "Johannes John Jonas Jorge Joseph Juan Julien Kevin Klaus Louis Lukas Luis Manuel Martin Matthew Michael Miguel Nicolas Noah Oliver Pablo Patrick Paul Pedro Peter Philippe Pierre Richard Robert Stefan Thomas Tobias William",
+    "f-cyrillic": "Анна Екатерина Елена Ирина Мария Наталья Ольга Светлана Татьяна Юлия",
+    "m-cyrillic": "Александр Алексей Андрей Дмитрий Иван Михаил Николай Павел Сергей Юрий",
 }
-#: Forms of address before names.
+#: Forms of address before names, small words inside names, family names and forms of address of Han script.
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr Sra Don Doña Господин Госпожа".split()
-
-_NAME = r"\p{Lu}\p{Ll}+(?:[-']\p{Lu}\p{Ll}+)*"
-_FIRST = "|".join(sorted((n for v in FIRST_NAMES.values() for n in v.split()), key=lambda n: (-len(n), n)))
-#: Kind and pattern, in order of precedence. Each pattern starts where no letter or digit goes before.
+PARTICLES = "al ben bin da de del della den der di dos du ibn la le ten ter van von zu".split()
+HAN_NAMES, HAN_TITLES = "王李张刘陈杨赵吴周徐孙朱胡郭何林罗", "先生 女士 小姐 博士 教授".split()
+
+
+def _one_of(names: list[str]) -> str:
+    """A pattern of any of the names, branching by the first letter; longer ones first."""
+    by: dict[str, list[str]] = {}
+    for n in sorted(names, key=lambda n: (-len(n), n)):
+        by.setdefault(n[0], []).append(n[1:])
+    return "(?:" + "|".join(f"{k}(?:{'|'.join(v)})" for k, v in sorted(by.items())) + ")"
+
+
+#: A name's part: Smith, O'Neil, McKay, Meyer-Lutz; or all in capitals.
+_PART = r"(?:(?:\p{Lu}['’]|Mc|Mac)?\p{Lu}\p{Ll}+(?:['’-]\p{Lu}\p{Ll}+)*|(?:\p{Lu}['’])?\p{Lu}{2,}(?:-\p{Lu}{2,})*)"
+_SMALL = rf"(?:(?:{'|'.join(PARTICLES)}) )*"
+_FIRST = _one_of([x for v in FIRST_NAMES.values() for n in v.split() for x in (n, n.upper())])
+_TITLE = _one_of(sorted({*TITLES, *(t.upper() for t in TITLES if t not in ("Ms", "Miss", "Sr", "Don"))}))
+_LATIN_NAME = rf"(?:{_TITLE}\.? {_PART}(?: {_SMALL}{_PART})?|{_FIRST} (?:\p{{Lu}}\. )?{_SMALL}{_PART})(?![\p{{L}}\p{{N}}])"
+_HAN_NAME = rf"[{HAN_NAMES}](?<!\p{{IsHan}}.)(?:\p{{IsHan}}{{1,2}}(?={'|'.join(HAN_TITLES)})|\p{{IsHan}}{{2}}(?!\p{{IsHan}}))"
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Kind and pattern, in order of precedence. An entity starts where no letter, digit or underscore goes before.
 PATTERNS = {
-    "secret": r"(?<![\p{L}\p{N}_])(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,})(?![\p{L}\p{N}_])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![\p{L}\p{N}])",
-    "ip": r"(?<![\p{N}.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\p{N})",
-    "card": r"(?<![\p{N}+.-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\p{N})",
-    "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
-    "phone": r"(?<![\p{N}+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\p{N})",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(TITLES)})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST}) {_NAME})(?![\p{{L}}\p{{N}}])",
+    "secret": r"(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,})(?![\p{L}\p{N}_])",
+    "email": r"(?<![.%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![\p{L}\p{N}])",
+    "ip6": rf"(?<![:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{1,5}}::(?:{_HEX}(?::{_HEX}){{0,4}})?|[0-9A-Fa-f]{{3,4}}::{_HEX}(?::{_HEX}){{0,5}})(?![\p{{L}}\p{{N}}:])",
+    "ip": rf"(?<![.])(?<![Vv]ersion )(?<!v\. ){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[\p{{L}}\p{{N}}])",
+    "card": r"(?<![+.-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\p{N})",
+    "ssn": r"(?<!-)\d{3}-\d{2}-\d{4}(?![\p{N}-])",
+    "phone": r"(?<!\+)(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\p{N})",
+    "name": f"{_LATIN_NAME}|{_HAN_NAME}",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these has no entity: a cheap test before the pattern.
-HINT = rf"[0-9]|@|AKIA|gh[pousr]_|(?:{'|'.join(TITLES)})\.? \p{{Lu}}|(?:{_FIRST}) \p{{Lu}}|sk-|xox"
-#: Rounds of new salts after which a surrogate grows by a letter or digit.
-GROW = 8
+#: Inside a word nothing starts, which one look back tells; Han script has no spaces.
+_START = r"(?<![\p{L}\p{N}_&&[^\p{IsHan}]])"
+#: Which kinds may start with which character, in order of precedence, so that most alternatives aren't tried at most words.
+_BY_FIRST = {"[0-9]": "secret email ip6 ip card ssn phone", "[+(]": "email phone", r"\p{Lu}": "secret email iban ip6 name", r"[^0-9+(\p{Lu}]": "secret email ip6 name"}
+
+
+def entity(kinds: list[str]) -> str:
+    """The pattern of an entity of any of the kinds."""
+    branches = []
+    for first, may in _BY_FIRST.items():
+        if own := [_HAN_NAME if k == "name" and "^" in first else _LATIN_NAME if k == "name" else PATTERNS[k] for k in may.split() if k in kinds]:
+            branches.append(f"(?={first})(?:{'|'.join(own)})")
+    return f"{_START}(?:{'|'.join(branches)})"
+
+
+#: Rounds of new salts after which a surrogate grows by a letter or digit, and rounds at most.
+GROW, ROUNDS = 8, 120
+#: Between the pieces of a text; the text's own first characters of it are told apart by what follows.
+_MARK, _OWN = "\x01\x03", "\x01\x02"
 
 _ALPHABETS = (  # pattern of a character, and what it may become
     (r"[0-9]", "0123456789"),
@@ -73,13 +116,18 @@ def kind_of(entity: Column) -> Column:
 
 
 def names_in(name: Column) -> Column:
-    """The parts of a name that are replaced: all but a title."""
-    return F.filter(F.split(name, " "), lambda p: ~F.regexp_replace(p, r"\.$", "").isin(TITLES))
+    """The parts of a name that are replaced: all but titles, initials and small words."""
+    return F.filter(F.split(name, " "), lambda p: ~_stays(p))
+
+
+def _stays(part: Column) -> Column:
+    """Whether a word of a name stays."""
+    return F.lower(F.regexp_replace(part, r"\.$", "")).isin([t.lower() for t in TITLES] + PARTICLES) | part.rlike(r"^\p{Lu}\.$")
 
 
 def _norm(kind: Column, entity: Column) -> Column:
-    """Equal for all spellings of an entity; the dots of an IP number count."""
-    return F.when(kind == "ip", entity).otherwise(F.regexp_replace(F.lower(entity), r"[^\p{L}\p{N}]", ""))
+    """Equal for all spellings of an entity; the dots and colons of an IP number count."""
+    return F.when(kind.isin("ip", "ip6"), F.lower(entity)).otherwise(F.regexp_replace(F.lower(entity), r"[^\p{L}\p{N}]", ""))
 
 
 def _luhn(digits: Column) -> Column:
@@ -129,7 +177,7 @@ def _first_names(key: str) -> dict[str, str]:
     out = {}
     for names in FIRST_NAMES.values():
         order = sorted(names.split(), key=lambda n: hashlib.sha256(f"{key}\x01{n}".encode()).digest())
-        out |= dict(zip(order, order[1:] + order[:1], strict=True))
+        out |= {a.lower(): b for a, b in zip(order, order[1:] + order[:1], strict=True)}
     return out
 
 
@@ -162,17 +210,33 @@ def _made(key: str, kind: Column, entity: Column, salt: Column, digits: Column)
         card = F.when(_luhn(F.regexp_replace(entity, r"\D", "")), checked(longer)).otherwise(longer)
         known = F.create_map(*[F.lit(x) for pair in sorted(_first_names(key).items()) for x in pair])
         grown = F.concat(changed, more("[0-9]"))
-        return F.when(kind == "email", F.concat(more("[0-9]"), changed, tld)).when(kind == "card", card).when(kind == "name", F.coalesce(F.try_element_at(known, entity), grown)).otherwise(longer)
+        first = F.try_element_at(known, F.lower(entity))
+        first = F.when((entity == F.upper(entity)) & (F.char_length(entity) > 1), F.upper(first)).otherwise(first)
+        return F.when(kind == "email", F.concat(more("[0-9]"), changed, tld)).when(kind == "card", card).when(kind == "name", F.coalesce(first, grown)).otherwise(longer)
 
     body = F.when(kind == "email", head).otherwise(entity)
     keep = F.when(kind.isin("phone", "card"), 1).when(kind == "iban", 2).otherwise(0)
-    letters = _letters(body, digits, (kind == "secret") & entity.rlike("^[0-9a-fA-F]+$"), keep)
+    letters = _letters(body, digits, (kind == "ip6") | (kind == "secret") & entity.rlike("^[0-9a-fA-F]+$"), keep)
     return F.when(kind == "ip", F.array_join(F.transform(F.split(entity, r"\."), octet), ".")).otherwise(_let(letters, finished))
 
 
-def found(text: Column) -> Column:
-    """The entities of a text in order."""
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def pieces(text: Column) -> Column:
+    """What stands between entities and the entities, in turn, the former first; null for a text without any. One scan of the text."""
+    own = F.replace(text, F.lit("\x01"), F.lit(_OWN))
+    numbers = {"iban", "ip6", "ip", "card", "ssn", "phone"}
+
+    def mark(without: set[str]) -> Column:
+        return F.regexp_replace(own, entity([k for k in PATTERNS if k not in without]), f"{_MARK}$0{_MARK}")
+
+    # kinds that need a digit or an at sign aren't looked for in a text that has none
+    digit, at = text.rlike("[0-9]"), text.contains("@")
+    marked = F.when(digit & at, mark(set())).when(digit, mark({"email"})).when(at, mark(numbers)).otherwise(mark({"email", *numbers}))
+    return _let(marked, lambda m: F.when(m.contains(_MARK), F.split(m, _MARK)))
+
+
+def found(pieces: Column) -> Column:
+    """The entities among the pieces."""
+    return F.filter(pieces, lambda p, i: i % 2 == 1)
 
 
 def _parts(entities: Column) -> Column:
@@ -183,33 +247,58 @@ def _parts(entities: Column) -> Column:
     )
 
 
-def exceptions(docs: DataFrame, key: str, rounds: int = 60) -> DataFrame:
-    """kind, norm, salt of the entities that need a salt other than 0: the collision check over the whole corpus."""
-    entities = docs.select(F.explode(_parts(found(F.col("text")))).alias("x")).select("x.kind", "x.norm", "x.part")
+def bare_names(entities: Column) -> Column:
+    """A pattern of the parts of all names among the entities, where they stand as words by themselves; null without names."""
+    parts = F.array_distinct(F.flatten(F.transform(entities, lambda e: F.when(kind_of(e) == "name", names_in(e)).otherwise(F.array().cast("array<string>")))))
+    spelled = F.array_distinct(F.flatten(F.transform(F.filter(parts, lambda p: F.char_length(p) > 1), lambda p: F.array(p, F.upper(p), F.initcap(F.lower(p))))))
+    quoted = F.transform(spelled, lambda p: F.concat(F.lit(r"\Q"), p, F.lit(r"\E")))
+    return F.when(F.size(quoted) > 0, F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?=\p{Lu}|\p{Lo})(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}_])")))
+
+
+def exceptions(docs: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
+    """kind, norm, salt of the entities that need a salt other than 0: the collision check over the whole corpus.
+
+    Spaces grow, so that the loop ends; should entities of a kind be as many as there can be surrogates (all IP numbers),
+    those left after ``rounds`` keep the surrogate of their last salt.
+    """
+    entities = docs.select(F.explode(_parts(found(pieces(F.col("text"))))).alias("x")).select("x.kind", "x.norm", "x.part")
     known = [n.lower() for v in FIRST_NAMES.values() for n in v.split()]  # permuted among themselves: no collision
     real = stored(entities.filter(~((F.col("kind") == "name") & F.col("part").isin(known))).groupBy("kind", "norm").agg(F.min("part").alias("part")))
-    now = real.withColumn("salt", F.lit(0))
+
+    def made(salt: Column) -> Column:
+        return _norm(F.col("kind"), surrogate(key, F.col("kind"), F.col("part"), salt))
+
+    now = real.select("*", F.lit(0).alias("salt"), made(F.lit(0)).alias("made"))
     for _ in range(rounds):
-        made = now.withColumn("made", _norm(F.col("kind"), surrogate(key, F.col("kind"), F.col("part"), F.col("salt"))))
-        first = made.groupBy("kind", "made").agg(F.min(F.struct(-F.col("salt"), "norm")).alias("first"))  # who has a salt keeps its surrogate
+        now = stored(now)
+        first = now.groupBy("kind", "made").agg(F.min(F.struct(-F.col("salt"), "norm")).alias("first"))  # who has a salt keeps its surrogate
         taken = real.select("kind", F.col("norm").alias("made"), F.lit(True).alias("taken"))
-        checked = made.join(first, ["kind", "made"]).join(taken, ["kind", "made"], "left")
-        checked = checked.withColumn("again", (F.col("first.norm") != F.col("norm")) | F.col("taken").isNotNull())
-        checked = stored(checked.select("kind", "norm", "part", (F.col("salt") + F.col("again").cast("int")).alias("salt"), "again"))
-        now = checked.drop("again")
+        checked = now.join(first, ["kind", "made"]).join(taken, ["kind", "made"], "left")
+        checked = stored(checked.select("kind", "norm", "part", "salt", "made", ((F.col("first.norm") != F.col("norm")) | F.col("taken").isNotNull()).alias("again")))
         if checked.filter("again").isEmpty():
-            return now.filter("salt > 0").select("kind", "norm", "salt")
-    raise ValueError(f"more entities than surrogates of a kind: collisions are left after {rounds} rounds")
+            break
+        now = checked.withColumn("salt", F.col("salt") + F.col("again").cast("int"))
+        now = now.withColumn("made", F.when(F.col("again"), made(F.col("salt"))).otherwise(F.col("made"))).drop("again")
+    return now.filter("salt > 0").select("kind", "norm", "salt")
+
+
+def configured_key(spark: SparkSession, otherwise: str | None = None) -> str:
+    """The key of the session's configuration."""
+    found = spark.conf.get(KEY_SETTING, otherwise)
+    if not found:
+        raise ValueError(f"surrogates need a secret key: set {KEY_SETTING}")
+    return found
 
 
-def replace(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
-    """docs with surrogates in ``text``, and a column n_entities."""
+def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """docs with surrogates in ``text``, and a column n_entities. Without ``key`` that of the configuration."""
+    key = key or configured_key(docs.sparkSession)
     odd = stored(exceptions(docs, key))
-    rows = docs.withColumn("_found", found(F.col("text")))
+    rows = docs.withColumn("_pieces", pieces(F.col("text")))
     salts = F.create_map().cast("map<string,int>")
     if not odd.isEmpty():
         # only documents that hold an exception get salts, by a join on a digest of their text
-        held = rows.select(F.xxhash64("text").alias("_text"), F.explode(F.array_distinct(_parts(F.col("_found")))).alias("x")).select("_text", "x.kind", "x.norm").distinct()
+        held = rows.select(F.xxhash64("text").alias("_text"), F.explode(F.array_distinct(_parts(found(F.col("_pieces"))))).alias("x")).select("_text", "x.kind", "x.norm").distinct()
         own = held.join(odd, ["kind", "norm"]).groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "norm"), "salt"))).alias("_salts"))
         own = stored(own)
         rows = rows.withColumn("_text", F.xxhash64("text")).join(own, "_text", "left").drop("_text")
@@ -218,16 +307,21 @@ def replace(docs: DataFrame, key: str = "surrogates-1") -> DataFrame:
     def one(kind: Column, part: Column) -> Column:
         return surrogate(key, kind, part, F.coalesce(F.try_element_at(salts, F.concat_ws(":", kind, _norm(kind, part))), F.lit(0)))
 
-    def whole(e: Column) -> Column:
-        def parts(kind: Column) -> Column:
-            each = F.when(kind == "name", F.split(e, " ")).otherwise(F.array(e))
-            title = lambda p: (kind == "name") & F.regexp_replace(p, r"\.$", "").isin(TITLES)
-            return F.array_join(F.transform(each, lambda p: F.when(title(p), p).otherwise(one(kind, p))), " ")
-
-        return _let(kind_of(e), parts)
-
-    made = F.transform("_found", whole)
-    between = F.split("text", ENTITY, -1)
-    rows = rows.withColumn("_made", F.when(F.size("_found") > 0, made)).withColumn("_between", F.when(F.size("_found") > 0, between))
-    text = F.array_join(F.transform("_between", lambda p, i: F.concat(p, F.coalesce(F.get("_made", i), F.lit("")))), "")
-    return rows.withColumn("n_entities", F.size("_found").cast("long")).withColumn("text", F.when(F.size("_found") > 0, text).otherwise(F.col("text"))).select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
+    def whole(e: Column, bare: bool) -> Column:
+        if bare:
+            return one(F.lit("name"), e)
+        return _let(kind_of(e), lambda kind: F.array_join(F.transform(F.when(kind == "name", F.split(e, " ")).otherwise(F.array(e)), lambda p: F.when((kind == "name") & _stays(p), p).otherwise(one(kind, p))), " "))
+
+    def between(p: Column) -> Column:
+        """A piece between entities: its bare names, if the text has names."""
+        cut = F.split(F.regexp_replace(p, F.col("_bare"), F.lit(f"{_MARK}$0{_MARK}")), _MARK)
+        return F.when(F.col("_bare").isNull(), F.array(p)).otherwise(cut)
+
+    rows = rows.withColumn("_bare", bare_names(found(F.col("_pieces"))))
+    cut = F.transform("_pieces", lambda p, i: F.when(i % 2 == 1, F.array(p)).otherwise(between(p)))
+    rows = rows.withColumn("_cut", F.when(F.col("_pieces").isNotNull(), cut))
+    text = F.array_join(F.flatten(F.transform("_cut", lambda c, i: F.transform(c, lambda p, j: F.when(i % 2 == 1, whole(p, False)).when(j % 2 == 1, whole(p, True)).otherwise(p)))), "")
+    text = F.replace(text, F.lit(_OWN), F.lit("\x01"))
+    count = F.aggregate("_cut", F.lit(0), lambda n, c: n + F.floor(F.size(c) / 2).cast("int")) + F.floor(F.size("_cut") / 2).cast("int")
+    rows = rows.withColumn("n_entities", F.coalesce(count, F.lit(0)).cast("long")).withColumn("text", F.when(F.col("_cut").isNotNull(), text).otherwise(F.col("text")))
+    return rows.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")

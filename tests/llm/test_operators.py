@@ -48,7 +48,7 @@ RUNS = {
     "lang_id": lambda d: lang_id.predict(d, lang_id.training(d)),
     "licenses": licenses.licenses,
     "mixing": mixing.mix,
-    "pii": pii.replace,
+    "pii": lambda d: pii.replace(d, "k"),
 }
 
 
@@ -247,7 +247,7 @@ def test_raking_ends_alike_on_both_paths(spark, monkeypatch):
 
 def test_surrogates(spark):
     text = "Mr. John Smith met Anna Schmidt; Mr Smith wrote a.b@x-y.org and A.B@X-Y.ORG, +1 (017) 555-7713 or +1 017 555 7713. 4111 1111 1111 1111 is 4111111111111111. Мария Иванова, 10.0.0.1, DE89 3704 0044 0532 0130 00, 078-05-1120, token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\"."
-    rows = {r["doc_id"]: r for r in pii.replace(table(spark, [text, None, "", "nothing 12 here", text])).collect()}
+    rows = {r["doc_id"]: r for r in pii.replace(table(spark, [text, None, "", "nothing 12 here", text]), "k").collect()}
     out = rows[0]["text"]
     assert out == rows[4]["text"] and rows[1]["text"] is None and rows[2]["text"] == "" and rows[3]["text"] == "nothing 12 here"
     for secret in ("John", "Smith", "Anna", "Schmidt", "x-y", "555-7713", "4111 1111", "41111111", "Мария", "Иванова", "10.0.0.1", "3704 0044", "078-05", "24be6443"):
@@ -264,6 +264,46 @@ def test_surrogates(spark):
     assert sum(d if i % 2 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
 
 
+def replaced(spark, *texts):
+    return [r["text"] for r in sorted(pii.replace(table(spark, list(texts)), "k").collect(), key=lambda r: r["doc_id"])]
+
+
+def test_names_stay_one_person(spark):
+    """Parts of a name that stand alone in its text are replaced like the whole name."""
+    one, two, three, four = replaced(
+        spark,
+        "John Smith met Smith. Smith said hi; Olivia Brown and Mr. Brown, Brown. SMITH!",
+        "Dr. Conor O'Neil saw MR SMITH and Jan de Vries, O'Neil's friend; De Vries, Vries.",
+        "Smith stays where no name is found. Vries too.",
+        "李小龙，王明先生。电话13800138000",
+    )
+    m = re.fullmatch(r"(\w+) (\w+) met (\w+)\. (\w+) said hi; (\w+) (\w+) and Mr\. (\w+), (\w+)\. (\w+)!", one)
+    assert m and m[2] == m[3] == m[4] == m[9].capitalize() and m[6] == m[7] == m[8] and m[2] != m[6]
+    assert not {"John", "Smith", "Olivia", "Brown", "SMITH"} & set(re.findall(r"\w+", one))
+    m = re.fullmatch(r"Dr\. (\w+) (\w'\w+) saw MR ([A-Z]+) and (\w+) de (\w+), (\w'\w+)'s friend; De (\w+), (\w+)\.", two)
+    assert m and m[2] == m[6] and m[5] == m[7] == m[8] and m[3] != "SMITH" and m[4] != "Jan" and m[5] != "Vries"
+    assert three == "Smith stays where no name is found. Vries too."
+    assert "李小龙" not in four and "王明" not in four and re.fullmatch(r"\p{Han}{3}，\p{Han}{2}先生。电话\d{11}".replace(r"\p{Han}", "[\u4e00-\u9fff]"), four)
+
+
+def test_addresses_and_versions(spark):
+    texts = ["from 2001:db8::ff00:42:8329 and 2001:0db8:0000:0000:0000:ff00:0042:8329.", "v1.2.3.4 and version 1.2.3.4, a::b, 12:30:45, 999.1.2.3, 1.2.3.4.5", "at 10.1.2.3:80"]
+    one, two, three = replaced(spark, *texts)
+    m = re.fullmatch(r"from ([0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4}) and ((?:[0-9a-f]{4}:){7}[0-9a-f]{4})\.", one)
+    assert m and not {m[1], m[2]} & set(re.findall(r"[0-9a-f:]+", texts[0]))
+    assert two == texts[1] and re.fullmatch(r"at \d\d\.\d\.\d\.\d:80", three) and "10.1.2.3" not in three
+
+
+def test_marks_of_its_own_stay(spark):
+    assert replaced(spark, "a\x01\x03b \x01\x02 \x01", "\x01 a@b.org \x01\x03")[0] == "a\x01\x03b \x01\x02 \x01"
+    assert re.fullmatch("\x01 \\S@\\S\\.org \x01\x03", replaced(spark, "\x01 a@b.org \x01\x03")[0])
+
+
+def test_a_key_is_asked_for(spark):
+    with pytest.raises(ValueError, match=pii.KEY_SETTING):
+        pii.replace(table(spark, ["a"]))
+
+
 def test_surrogates_stay_distinct(spark):
     """One-digit parts leave 6561 surrogates: 400 entities collide among themselves and with real ones."""
     ips = [f"{a}.{b}.{c}.{d}" for a, b, c, d in itertools.islice(itertools.product(range(1, 10), repeat=4), 400)]
