@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tapeforge.llm import mixing, near_dup, packing, pii, quality
 from tapeforge.llm.common import read, stored
+from tapeforge.llm.queries import TEST_KEY
 
 #: The file of the tokenizer that counts and packs.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with surrogates for personal data; n_chars follows the text."""
-    return pii.replace(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Texts with surrogates for personal data; n_chars follows the text. The key is the session's; TEST_KEY is for synthetic tables."""
+    return pii.replace(docs, pii.configured_key(spark, TEST_KEY)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
