@@ -116,18 +116,24 @@ LEAST = 150.0
 
 
 def best_candidate(candidates: list[dict], name: str, symbol: str, least: float = LEAST) -> str | None:
-    """The symbol of the quote that fits: candidates are viable and in order of rank, null for an absent name."""
+    """The symbol of the quote that fits: candidates are viable and in order of rank, null for an absent name.
+
+    By long names, then by short ones: a key that no candidate has a name under is passed over, one name under it decides,
+    else the best sum of the likeness of symbols and of names, if it is good enough.
+    """
     if not candidates:
         return None
     if len(candidates) == 1:
         return candidates[0]["symbol"]
     for key in ("longname", "shortname"):
-        named = [c for c in candidates if c[key] is not None]
-        if named and len({c[key] for c in named}) == 1 and all(c[key] for c in named):
+        named = [c for c in candidates if c[key]]
+        if not named:
+            continue
+        if len({c[key] for c in named}) == 1:
             return named[0]["symbol"]
         best, score = None, -1.0
         for c in candidates:
-            own = ratio(c["symbol"], symbol) + weighted_ratio(MISSING_NAME if c[key] is None else c[key], name)
+            own = ratio(simplified(c["symbol"]), simplified(symbol)) + weighted_ratio(MISSING_NAME if c[key] is None else c[key], name)
             if own > score:
                 best, score = c["symbol"], own
         if score >= least:
@@ -138,6 +144,6 @@ def best_candidate(candidates: list[dict], name: str, symbol: str, least: float
 @F.pandas_udf(StructType([StructField("long", DoubleType()), StructField("short", DoubleType())]))
 def candidate_scores(quote: pd.Series, longname: pd.Series, shortname: pd.Series, name: pd.Series, symbol: pd.Series) -> pd.DataFrame:
     """The scores of :func:`best_candidate` by long and by short name, one row a candidate of an attempt."""
-    like = [ratio(q, s or "") for q, s in zip(quote, symbol, strict=True)]
+    like = [ratio(simplified(q), simplified(s or "")) for q, s in zip(quote, symbol, strict=True)]
     by = lambda names: [x + weighted_ratio(MISSING_NAME if c is None else c, n or "") for x, c, n in zip(like, names, name, strict=True)]
     return pd.DataFrame({"long": by(longname), "short": by(shortname)}, dtype=float)

@@ -34,14 +34,18 @@ def viable(quotes: DataFrame) -> DataFrame:
 
 
 def _decided(found: DataFrame) -> DataFrame:
-    """query, only, named and short of viable quotes: the first symbol where a query has one quote, one long name, one short name."""
+    """Of the viable quotes of a query: ``only``, the symbol where there is one quote; ``long`` and ``short``, the first symbol where all such
+    names are one; ``has_long`` and ``has_short``, whether there is such a name. Blank names are none.
+    """
     place = F.struct("rank", "symbol", "longname", "shortname")
+    has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
 
     def one_name(c: str) -> Column:
-        named = F.min_by(F.when(F.col(c).isNotNull(), F.col("symbol")), F.when(F.col(c).isNotNull(), place))
-        return F.when((F.min(c) == F.max(c)) & (F.min(c) != ""), named)
+        name = F.when(has(c), F.col(c))
+        return F.when(F.min(name) == F.max(name), F.min_by(F.when(has(c), F.col("symbol")), F.when(has(c), place)))
 
-    return found.groupBy("query").agg(F.when(F.count("*") == 1, F.min("symbol")).alias("only"), one_name("longname").alias("named"), one_name("shortname").alias("short"))
+    named = [x for kind, c in (("long", "longname"), ("short", "shortname")) for x in (one_name(c).alias(kind), F.bool_or(has(c)).alias(f"has_{kind}"))]
+    return found.groupBy("query").agg(F.when(F.count("*") == 1, F.min("symbol")).alias("only"), *named)
 
 
 def chosen_quotes(tried: DataFrame, quotes: DataFrame, key: str = "share_class_figi") -> DataFrame:
@@ -52,14 +56,15 @@ def chosen_quotes(tried: DataFrame, quotes: DataFrame, key: str = "share_class_f
     """
     found = viable(quotes).select("query", "rank", F.col("symbol").alias("quote"), "longname", "shortname")
     known = tried.join(_decided(found.withColumnRenamed("quote", "symbol")), "query")
-    first = F.coalesce("only", "named")
+    first = F.coalesce("only", "long", F.when(~F.col("has_long"), F.col("short")))
     alone = known.filter(first.isNotNull()).select(key, "rung", first.alias("quote"))
     pairs = known.filter(first.isNull()).join(found, "query")
     scored = pairs.withColumn("s", candidate_scores("quote", "longname", "shortname", "name", "symbol"))
     place = F.struct("rank", "quote", "longname", "shortname")
     best = [F.min_by(F.struct("quote", F.col(f"s.{c}").alias("score")), F.struct((-F.col(f"s.{c}")).alias("score"), place.alias("place"))).alias(c) for c in ("long", "short")]
-    each = scored.groupBy(key, "rung", "query", "name", "symbol").agg(F.first("short").alias("one_short"), *best)
-    fits = lambda c: F.when(F.col(f"{c}.score") >= LEAST, F.col(f"{c}.quote"))
+    scored = scored.withColumnRenamed("short", "one_short").drop("long")
+    each = scored.groupBy(key, "rung", "query", "name", "symbol").agg(F.first("one_short").alias("one_short"), F.first("has_long").alias("has_long"), F.first("has_short").alias("has_short"), *best)
+    fits = lambda c: F.when(F.col(f"has_{c}") & (F.col(f"{c}.score") >= LEAST), F.col(f"{c}.quote"))
     out = each.select(key, "rung", F.coalesce(fits("long"), "one_short", fits("short")).alias("quote"))
     return alone.unionByName(out).filter("quote is not null")
 
@@ -77,10 +82,53 @@ def cascade(chosen: DataFrame, summaries: DataFrame, key: str = "share_class_fig
     return found.groupBy(key).agg(best.alias("x")).select(key, "x.*")
 
 
+#: A quote's value for each field; of several the first that isn't empty. The other six fields a quote doesn't have.
+QUOTE_FIELDS = {
+    "name": "longName shortName",
+    "currency": "currency",
+    "last_price": "currentPrice",
+    "market_cap": "marketCap",
+    "fifty_two_week_min": "fiftyTwoWeekLow",
+    "fifty_two_week_max": "fiftyTwoWeekHigh",
+    "dividend_yield": "dividendYield",
+    "market_volume": "volume",
+    "held_insiders": "heldPercentInsiders",
+    "held_institutions": "heldPercentInstitutions",
+    "short_interest": "shortPercentOfFloat",
+    "share_float": "floatShares",
+    "shares_outstanding": "sharesOutstanding",
+    "revenue_per_share": "revenuePerShare",
+    "profit_margin": "profitMargins",
+    "gross_margin": "grossMargins",
+    "operating_margin": "operatingMargins",
+    "free_cash_flow": "freeCashflow",
+    "operating_cash_flow": "operatingCashflow",
+    "return_on_equity": "returnOnEquity",
+    "return_on_assets": "returnOnAssets",
+    "total_debt": "totalDebt",
+    "revenue": "totalRevenue",
+    "ebitda": "ebitda",
+    "trailing_pe": "trailingPE",
+    "price_to_book": "priceToBook",
+    "trailing_eps": "trailingEps",
+    "analyst_rating": "recommendationKey",
+    "industry": "industry",
+    "sector": "sector",
+}
+
+
 def quote_fields(summary: DataFrame, flat: str = "m") -> DataFrame:
-    """Of a map of a quote's values: name from longName, else shortName; symbol from underlyingSymbol, else symbol."""
-    get = lambda k: F.nullif(F.try_element_at(F.col(flat), F.lit(k)), F.lit(""))
-    return summary.withColumns({"name": F.coalesce(get("longName"), get("shortName")), "symbol": F.coalesce(get("underlyingSymbol"), get("symbol"))})
+    """symbol, which the quote was asked by, and its fields from the map of its values; ``summary_symbol`` is its own symbol.
+
+    What :func:`enrich` takes as summaries, of what ``read_quote_summary`` reads.
+    """
+    get = lambda k: F.try_element_at(F.col(flat), F.lit(k))
+
+    def first(keys: str) -> Column:
+        own = keys.split()
+        return get(own[0]) if len(own) == 1 else F.coalesce(*[F.nullif(get(k), F.lit("")) for k in own[:-1]], get(own[-1]))
+
+    return summary.select("symbol", first("underlyingSymbol symbol").alias("summary_symbol"), *[first(keys).alias(f) for f, keys in QUOTE_FIELDS.items()])
 
 
 def fill(df: DataFrame, enriched: DataFrame, key: str = "share_class_figi", fields: list[str] | None = None) -> DataFrame:
@@ -92,7 +140,7 @@ def fill(df: DataFrame, enriched: DataFrame, key: str = "share_class_figi", fiel
 
 
 def enrich(df: DataFrame, quotes: DataFrame, summaries: DataFrame, rates: DataFrame, known: DataFrame | None = None, key: str = "share_class_figi", reuse_key: str | None = None) -> DataFrame:
-    """df with missing fields filled. ``summaries``: symbol and raw fields; ``known``: earlier enrichment by key.
+    """df with missing fields filled. ``summaries``: symbol and raw fields, as of :func:`quote_fields`; ``known``: earlier enrichment by key.
 
     Complete rows are not looked up. Known enrichment goes before any search. An invalid summary or one whose currency
     has no rate gives nothing.
@@ -100,7 +148,8 @@ def enrich(df: DataFrame, quotes: DataFrame, summaries: DataFrame, rates: DataFr
     gaps, complete = df.filter(missing_fields()), df.filter(~missing_fields())
     reuse_key = reuse_key or key
     search = gaps if known is None else gaps.join(known.select(reuse_key), reuse_key, "left_anti")
-    found = cascade(chosen_quotes(attempts(search, key), quotes, key), summaries.withColumn("summary_symbol", F.col("symbol")), key)
+    own = summaries if "summary_symbol" in summaries.columns else summaries.withColumn("summary_symbol", F.col("symbol"))
+    found = cascade(chosen_quotes(attempts(search, key), quotes, key), own, key)
     found = found.withColumnRenamed("summary_symbol", "symbol")
     raw = found.select(F.col(key).alias("_key"), *[F.col(f) if f in found.columns and f != key else F.lit(None).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
     usable = quality.valid(stored(quality.validate(raw, ["_key"])))

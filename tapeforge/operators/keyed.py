@@ -79,37 +79,3 @@ def one_key(df: DataFrame, group: str | list[str], key: str) -> DataFrame:
     bad = df.groupBy(*_keys(group)).agg(F.count_distinct(key).alias("n")).filter("n <> 1").agg(F.count("*").alias("n"))
     check = F.when(F.col("_bad") > 0, F.raise_error(F.concat(F.lit("groups without exactly one key: "), F.col("_bad").cast("string")))).otherwise(F.lit(True))
     return df.crossJoin(F.broadcast(bad.withColumnRenamed("n", "_bad"))).filter(check).drop("_bad")  # a single row is joined
-
-
-# The same on ordered arrays, for groups that are rows already
-
-
-def each(array: str | Column, field: str) -> Column:
-    """One field of an array's structs."""
-    return F.transform(array, lambda x: x[field])
-
-
-def tallies(values: Column) -> Column:
-    """(first, value, n) of an array's distinct values in order of first appearance, without nulls."""
-    v = F.filter(values, lambda x: x.isNotNull())
-    return F.transform(F.array_distinct(v), lambda x: F.struct(F.array_position(v, x).alias("first"), x.alias("value"), F.size(F.filter(v, lambda y: y == x)).cast("long").alias("n")))
-
-
-def mode_of(counted: Column) -> Column:
-    """The value with the greatest n of an array of tallies, on ties the first."""
-    return F.array_max(F.transform(counted, lambda t: F.struct(t["n"].alias("n"), (-t["first"]).alias("at"), t["value"].alias("value"))))["value"]
-
-
-def median_of(counted: Column) -> Column:
-    """The median of the values of an array of tallies."""
-    ordered = F.array_sort(F.transform(counted, lambda t: F.struct(t["value"].alias("value"), t["n"].alias("n"))))
-    total = F.aggregate(counted, F.lit(0).cast("long"), lambda s, t: s + t["n"])
-    none = F.get(F.transform(F.slice(ordered, 1, 1), lambda t: t["value"]), F.lit(1))
-
-    def step(s: Column, t: Column) -> Column:
-        seen = s["seen"] + t["n"]
-        pick = lambda kept, at: F.when(kept.isNull() & (seen > at), t["value"]).otherwise(kept)
-        return F.struct(seen.alias("seen"), pick(s["low"], F.floor((total - 1) / 2)).alias("low"), pick(s["high"], F.floor(total / 2)).alias("high"))
-
-    middle = F.aggregate(ordered, F.struct(F.lit(0).cast("long").alias("seen"), none.alias("low"), none.alias("high")), step)
-    return (middle["low"] + middle["high"]) / 2

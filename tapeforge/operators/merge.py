@@ -1,12 +1,14 @@
 """Merging all listings of one security.
 
-A group's rows become, for each field, its distinct values with counts and first places; the rules work on these. Small groups
-are collected as rows; groups of more than ``hot_rows`` listings are counted by (key, field, value) first, and their modes
-and medians are aggregates of these counts. Only codes and spellings of such a group are gathered.
+Nothing gathers a group's rows: listings become cells (key, field, value, place), which are counted by (key, field, value) first.
+Modes and medians are aggregates of these counts; only a key's codes, which are the result, and the distinct spellings of its names are
+gathered. So a key with a third of all listings is no task's work, and fields that are null cost nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,75 +17,45 @@ from ..functions.similarity import fuzzy_representative
 from ..schemas import AMOUNT, AMOUNTS, FIELDS, FUZZY, MODES, field_type
 from ..sources.lineage import stored
 from . import keyed
-from .keyed import each, median_of, mode_of, tallies
-
 
-def _of_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    rest = [f for f in FIELDS if f != key]
-    rows = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("ord"), F.struct(*rest).alias("r")))).alias("rows"))
-    own = each("rows", "r")
-    counted = {f: tallies(each(own, f)) for f in rest if f != "mics"}
-    counted["mics"] = tallies(F.flatten(F.transform(own, lambda r: F.coalesce(r["mics"], F.array().cast("array<string>")))))
-    return rows.select(key, *[c.alias(f) for f, c in counted.items()])
 
-
-def _long(df: DataFrame, key: str, order: list[str], fields: list[str], kind) -> DataFrame:
+def cells(df: DataFrame, key: str, order: list[str], fields: list[str], kind) -> DataFrame:
     """key, field, value, ord: a row for each value that isn't null."""
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast(kind).alias("value")) for f in fields])
-    return df.select(key, F.struct(*order).alias("ord"), F.explode(cells).alias("x")).select(key, "x.*", "ord").filter("value is not null")
-
-
-def _wide(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """One column a field, of one value a (key, field)."""
-    return df.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).cast(field_type(f)).alias(f) for f in fields])
-
-
-def hot_lists(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Of hot keys the tallies that rules need whole: the codes, which are the result, and the spellings."""
-    at = F.struct(*order, F.lit(0).alias("at"))
-    names = [f for f in FUZZY if f != key]
-    plain = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), at.alias("ord")) for f in names])
-    codes = F.transform(F.coalesce("mics", F.array().cast("array<string>")), lambda m, i: F.struct(F.lit("mics").alias("field"), m.alias("value"), F.struct(*order, i.cast("int").alias("at")).alias("ord")))
-    each = df.select(key, F.explode(F.concat(plain, codes)).alias("x")).select(key, "x.*").filter("value is not null")
-    counts = each.groupBy(key, "field", "value").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
-    lists = counts.groupBy(key, "field").agg(F.array_sort(F.collect_list(F.struct("ord", "value", "n"))).alias("t"))
-    by_field = lists.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field", "t"))).alias("m"))
-
-    def placed(f: str) -> Column:
-        kind = "string" if f == "mics" else field_type(f)
-        return F.coalesce(F.transform(F.try_element_at("m", F.lit(f)), lambda t, i: F.struct((i + 1).cast("long").alias("first"), t["value"].cast(kind).alias("value"), t["n"].alias("n"))), F.array())
-
-    return by_field.select(key, *[placed(f).alias(f) for f in [*names, "mics"]])
-
-
-def merged_hot(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The merged rows of hot keys: modes and medians are aggregates over (key, field, value), never lists."""
-    modes, amounts = [f for f in MODES if f != key], list(AMOUNTS)
-    most = keyed.mode_first_seen(_long(df, key, order, modes, "string"), [key, "field"], "value", "ord")
-    middle = keyed.median_exact(_long(df, key, order, amounts, AMOUNT), [key, "field"], "value")
-    lists = hot_lists(df, key, order)
-    out = df.select(key).distinct()
-    for part in (_wide(most, key, modes), _wide(middle, key, amounts), lists.select(key, *[_rule(f).alias(f) for f in lists.columns if f != key])):
-        out = out.join(part, key, "left")
-    return out.select(*FIELDS)
-
-
-def _rule(field: str) -> Column:
-    if field in MODES:
-        return mode_of(F.col(field))
-    if field in AMOUNTS:
-        return median_of(F.col(field)).cast(AMOUNT)
-    if field in FUZZY:
-        return fuzzy_representative(F.col(field))
-    codes = F.filter(each(field, "value"), lambda v: F.trim(v) != "")
-    return F.when(F.size(codes) > 0, codes)
-
-
-def merge_listings(df: DataFrame, key: str = "share_class_figi", order: list[str] = ["feed_rank", "row_ord"], hot_rows: int = 100) -> DataFrame:  # noqa: B006
-    """One row a security with all 37 fields, names normalised again after identification."""
-    rows = stored(df.select(*order, *FIELDS).filter(F.col(key).isNotNull()))  # it is read three times
-    # keys of many rows are at most rows / hot_rows; the aggregate behind this is of one number a key
-    hot = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select(key)
-    cold = _of_rows(rows.join(hot, key, "left_anti"), key, order).select(*[F.col(f) if f == key else _rule(f).alias(f) for f in FIELDS])
-    out = cold.unionByName(merged_hot(stored(rows.join(hot, key, "left_semi")), key, order))  # it is read four times
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast(kind).alias("value")) for f in fields])
+    full = F.filter(each, lambda x: x["value"].isNotNull())
+    return df.select(key, F.struct(*order).alias("ord"), F.explode(full).alias("x")).select(key, "x.*", "ord")
+
+
+def spellings(df: DataFrame, key: str, order: list[str], fields: list[str]) -> DataFrame:
+    """key, field, and the distinct values with their counts in order of first appearance."""
+    counts = cells(df, key, order, fields, "string").groupBy(key, "field", "value").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+    return counts.groupBy(key, "field").agg(F.array_sort(F.collect_list(F.struct("first", "value", "n"))).alias("values"))
+
+
+def codes(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """key and its codes in order of first appearance, without null and blank ones."""
+    each = df.select(key, F.struct(*order).alias("ord"), F.posexplode("mics").alias("at", "code")).filter(F.trim("code") != "")
+    firsts = each.groupBy(key, "code").agg(F.min(F.struct("ord", "at")).alias("first"))
+    return firsts.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "code"))), lambda x: x["code"]).alias("codes"))
+
+
+def merge_listings(df: DataFrame, key: str = "share_class_figi", order: list[str] = ["feed_rank", "row_ord"]) -> DataFrame:  # noqa: B006
+    """One row a security with all 37 fields, names normalised again after identification. A group without values has a row too."""
+    rows = stored(df.select(*order, *FIELDS).filter(F.col(key).isNotNull()))  # it is read five times
+    modes, names = [f for f in MODES if f != key], [f for f in FUZZY if f != key]
+    none, text = F.lit(None).cast("array<string>").alias("codes"), F.col("value").cast("string").alias("value")
+    most = keyed.mode_first_seen(cells(rows, key, order, modes, "string"), [key, "field"], "value", "ord").select(key, "field", text, none)
+    middle = keyed.median_exact(cells(rows, key, order, list(AMOUNTS), AMOUNT), [key, "field"], "value")
+    middle = middle.select(key, "field", F.col("value").cast(AMOUNT).cast("string").alias("value"), none)
+    leaders = spellings(rows, key, order, names).select(key, "field", fuzzy_representative("values").alias("value"), none)
+    listed = codes(rows, key, order).select(key, F.lit("mics").alias("field"), F.lit(None).cast("string").alias("value"), "codes")
+    alone = rows.select(key, F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"), none)
+    found = reduce(DataFrame.unionByName, [most, middle, leaders, listed, alone])
+
+    def field(f: str) -> Column:
+        if f == "mics":
+            return F.max("codes").alias(f)
+        return F.max(F.when(F.col("field") == f, F.col("value"))).cast(field_type(f)).alias(f)
+
+    out = found.groupBy(key).agg(*[field(f) for f in FIELDS if f != key])
     return out.withColumns({f: norm_text(F.col(f)) for f in ("name", "symbol")}).select(*FIELDS)

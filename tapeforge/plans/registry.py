@@ -384,19 +384,29 @@ def part_cascade(part: DataFrame) -> DataFrame:
     return enrich.cascade(enrich.chosen_quotes(enrich.attempts(rows), _quotes(part)), summaries)
 
 
+@query("select p_partkey, 'P' || p_partkey as symbol from part where (p_size % 3 <> 0 and p_name <> '') or p_type <> ''")
+def viable_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quotes with a symbol and a name of either kind."""
+    found = enrich.viable(_quotes(_read(spark, sf_dir, "part")))
+    return found.select(F.col("rank").alias("p_partkey"), "symbol")
+
+
 @query()
 def quote_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part searched for in two rungs; the first with a summary gives the data. Parts of size 10 and less have no summary."""
     return part_cascade(_read(spark, sf_dir, "part"))
 
 
-def _order_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_listings(spark: SparkSession, sf_dir: str, keys: int | None = None) -> DataFrame:
+    """Orders as listings of their customer, or of one of a few keys."""
     rows = _listed_orders(spark, sf_dir)
-    given = {"share_class_figi": _figi(F.col("o_custkey")), "name": F.concat(F.lit("Holder "), F.col("o_custkey").cast("string")), "symbol": F.col("o_orderpriority"), "mics": F.array(F.col("o_orderstatus")), "currency": F.lit("USD"), "last_price": F.col("last_price"), "market_cap": F.col("last_price") * 2}
+    key = F.col("o_custkey") % keys if keys else F.col("o_custkey")
+    given = {"share_class_figi": _figi(key), "name": F.concat(F.lit("Holder "), key.cast("string")), "symbol": F.col("o_orderpriority"), "mics": F.array(F.col("o_orderstatus")), "currency": F.lit("USD"), "last_price": F.col("last_price"), "market_cap": F.col("last_price") * 2}
     return rows.select(F.lit("orders").alias("feed"), F.lit(0).alias("feed_rank"), F.col("o_orderkey").alias("row_ord"), *[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
 
 
-_SQL_MERGED = """with counts as (select o_custkey, o_orderpriority, count(*) as n, min(o_orderkey) as first from orders group by all),
+_SQL_MERGED = """with orders as (select * replace (KEY as o_custkey) from orders),
+counts as (select o_custkey, o_orderpriority, count(*) as n, min(o_orderkey) as first from orders group by all),
 modes as (select o_custkey, arg_max(o_orderpriority, (n, -first)) as symbol from counts group by all),
 firsts as (select o_custkey, o_orderstatus, min(o_orderkey) as first from orders group by all),
 lists as (select o_custkey, string_agg(o_orderstatus, ',' order by first) as mics from firsts group by all),
@@ -409,26 +419,37 @@ def _merged_columns(out: DataFrame) -> DataFrame:
     return out.select("share_class_figi", "name", "symbol", F.array_join("mics", ",").alias("mics"), "currency", *[F.col(c).cast("decimal(18,4)").alias(c) for c in ("last_price", "market_cap")])
 
 
-@query(_SQL_MERGED)
+@query(_SQL_MERGED.replace("KEY", "o_custkey"))
 def merge_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_columns(merge.merge_listings(_order_listings(spark, sf_dir)))
 
 
-@query(_SQL_MERGED)
+@query(_SQL_MERGED.replace("KEY", "o_custkey % 7"))
 def merge_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every key of more than five listings counted by value first."""
-    return _merged_columns(merge.merge_listings(_order_listings(spark, sf_dir), hot_rows=5))
+    """The same with seven keys, each of which holds a seventh of all listings."""
+    return _merged_columns(merge.merge_listings(_order_listings(spark, sf_dir, 7)))
 
 
-@query()
+_LISTING = "(l_orderkey * 8 + l_linenumber) * 1000000000 + l_partkey"
+
+
+@query(
+    f"""with listed as (
+  select l_partkey, {_LISTING} as ord, rpad(l_returnflag || l_linestatus, 4, 'X') as mic, list_value({", ".join(f"'{c}'" for c in _CURRENCIES)})[l_linenumber % 5 + 1] as currency, (l_extendedprice::decimal(18,2) * 100)::bigint::hugeint as cents from lineitem
+), usd as (select l_partkey // 4 as k, 'P' || l_partkey as symbol, mic, ord, (case when currency = 'USD' then cents else {_SQL_CENTS} end)::decimal(28,2) as usd from listed join {_SQL_RATES} using (currency) where l_partkey in (select p_partkey from part)
+), symbols as (select k, arg_max(symbol, (n, -first)) as symbol from (select k, symbol, count(*) as n, min(ord) as first from usd group by all) group by k
+), codes as (select k, string_agg(mic, ',' order by first) as mics from (select k, mic, min(ord) as first from usd group by all) group by k
+), prices as (select k, (median(usd)::decimal(28,2) * 0.01)::decimal(18,2) as last_price from usd group by k)
+select upper(substr(md5(k::varchar), 1, 12)) as share_class_figi, 'GROUP ' || k as name, symbol, null::varchar as isin, mics, last_price, null::varchar as sector from symbols join codes using (k) join prices using (k)"""
+)
 def seed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation, conversion, identification, merge and publication of line items as listings."""
+    """Validation, conversion, identification, merge and canonical form of line items as listings; four parts are one security."""
     part = F.col("l_partkey")
     text = F.concat(F.lit("P"), part.cast("string"))
     given = {"name": F.concat(F.lit("Part "), part.cast("string")), "symbol": text, "mics": F.array(F.rpad(F.concat("l_returnflag", "l_linestatus"), 4, "X")), "currency": F.get(F.array(*[F.lit(c) for c in _CURRENCIES]), F.col("l_linenumber") % 5), "last_price": F.col("l_extendedprice").cast("decimal(18,2)")}
-    raw = _read(spark, sf_dir, "lineitem").select(F.lit("sec").alias("feed"), F.lit(3).alias("feed_rank"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("row_ord"), *[given.get(f, F.lit(None)).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
-    kind = F.lit("TICKER")
-    answers = _read(spark, sf_dir, "part").select(kind.alias("id_type"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("id_value"), _figi(F.floor(F.col("p_partkey") / 4)).alias("figi"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("ticker"), F.lit(0).alias("ord"))
+    raw = _read(spark, sf_dir, "lineitem").select(F.lit("sec").alias("feed"), F.lit(3).alias("feed_rank"), F.expr(_LISTING).cast("long").alias("row_ord"), *[given.get(f, F.lit(None)).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
+    own, group = F.col("p_partkey"), F.floor(F.col("p_partkey") / 4)
+    answers = _read(spark, sf_dir, "part").select(F.lit("TICKER").alias("id_type"), F.concat(F.lit("P"), own.cast("string")).alias("id_value"), _figi(group).alias("figi"), F.concat(F.lit("Group "), group.cast("string")).alias("name"), F.lit(None).cast("string").alias("ticker"), F.lit(0).alias("ord"))
     return _flattened(jobs.seed(raw, _rates(spark), answers).canonical)
 
 

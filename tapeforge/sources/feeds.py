@@ -1,17 +1,22 @@
 """Landed feed pages to listings in one layout.
 
-Pages are JSON files with explicit schemas; numbers are read as their text. A listing's order is its place: file, then
-position in the page.
+Pages are JSON files with explicit schemas; numbers are read as their text. A listing's order is its place: the number in
+its page's file name (1.json, page-10.json), then its position in the page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import logging
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalise as N
 from ..operators.keyed import first_wins
 from ..schemas import FEEDS, FIELDS
+from .lineage import stored
+
+log = logging.getLogger(__name__)
 
 #: Exchanges of one feed by code.
 SEC_MICS = {"Nasdaq": "XNAS", "NYSE": "XNYS", "CBOE": "XCBO", "OTC": "XOTC"}
@@ -30,14 +35,16 @@ SEC = "data array<array<string>>"
 
 
 def _pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A row a page with the order of pages: by file, then the page's place in its file as a hash would lose it."""
+    """A row a page, with the name of its file."""
     return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("page", F.input_file_name())
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
-    """row_ord from page and position: pages are numbered by name; there are few of them beside the rows."""
-    pages = rows.select("page").distinct().withColumn("page_no", F.row_number().over(Window.orderBy("page")) - 1)
-    return rows.join(F.broadcast(pages), "page").withColumn("row_ord", F.col("page_no").cast("long") * F.lit(1 << 32) + F.col("pos")).drop("page", "page_no", "pos")
+    """row_ord from the page's number, below 2**30, and the position; pages without a number come last, by a digest of their name."""
+    name = F.element_at(F.split("page", "/"), -1)
+    number = F.regexp_extract(name, r"(\d{1,9})\D*$", 1).try_cast("long")
+    page = F.coalesce(number, F.lit(1 << 30) + F.pmod(F.crc32(name.cast("binary")), F.lit(1 << 30)))
+    return rows.withColumn("row_ord", page * F.lit(1 << 32) + F.col("pos")).drop("page", "pos")
 
 
 def _listing(rows: DataFrame, feed: str, fields: dict[str, Column], keys: dict[str, Column]) -> DataFrame:
@@ -90,10 +97,10 @@ def normalise_lse(rows: DataFrame) -> DataFrame:
 
 
 def read_lse(spark: SparkSession, path: str) -> DataFrame:
-    """Items of the first block named priceexplorersearch; a page without it has none."""
+    """Items of the first block named priceexplorersearch of a file's first element; a page without it has none."""
     block = F.get(F.filter("content", lambda c: c["name"] == "priceexplorersearch"), F.lit(0))
-    # each page file is an array with the page as its first element: later elements are other parts
-    pages = _pages(spark, path, LSE).select("page", block["value"]["content"].alias("items")).filter("items is not null")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("page"), F.get(F.from_json("value", f"array<struct<{LSE}>>"), F.lit(0)).alias("first"))
+    pages = files.select("page", "first.content").select("page", block["value"]["content"].alias("items")).filter("items is not null")
     return normalise_lse(_ordered(pages.select("page", F.posexplode("items").alias("pos", "d"))))
 
 
@@ -116,7 +123,7 @@ def read_sec(spark: SparkSession, path: str, keep_cik: bool = False) -> DataFram
 
 
 def union_feeds(spark: SparkSession, paths: dict[str, str], strict: bool = True) -> DataFrame:
-    """All feeds, the first row of each feed's key only. Without ``strict`` a feed that can't be read is left out."""
+    """All feeds, the first row of each feed's key only. Without ``strict`` each feed is read and written at once, and one that fails is logged and left out."""
     readers = {"euronext": read_euronext, "xetra": read_xetra, "lse": read_lse, "sec": read_sec}
     out = None
     for feed in FEEDS:
@@ -124,9 +131,11 @@ def union_feeds(spark: SparkSession, paths: dict[str, str], strict: bool = True)
             continue
         try:
             rows = first_wins(readers[feed](spark, paths[feed]), "feed_key", "row_ord").drop("feed_key")
+            rows = rows if strict else stored(rows)
         except Exception:
             if strict:
                 raise
+            log.exception("feed %s can't be read and is left out", feed)
             continue
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     if out is None:

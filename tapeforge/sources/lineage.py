@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder of spark.checkpoint.dir; in a temporary folder only where none is set."""
+    """A new path in the folder of spark.checkpoint.dir; beside the warehouse where none is set, which all share too."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tapeforge-"))
-        base = sc.getCheckpointDir()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -1,12 +1,12 @@
 """The published table and its files: versions of Parquet, sorted JSON lines, lookups and snapshots.
 
-A table is a folder of versions with a pointer file; a new version is written whole before the pointer moves, so that readers
-and a failed job never see half of one.
+A table is a folder of numbered versions; the newest that was written to its end holds, which its _SUCCESS file says. Nothing is
+overwritten, so that readers, failed jobs and crashes between two steps never see half of one.
 """
 
 from __future__ import annotations
 
-import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,25 +19,36 @@ from ..operators.keyed import last_wins
 KEY = "identity.share_class_figi"
 
 
-def _pointer(spark: SparkSession, path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
+_VERSION = re.compile(r"version-(\d{10})-[0-9a-f]+$")
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The folders of all whole versions, oldest first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = sorted(x.getPath().getName() for x in fs.listStatus(folder) if _VERSION.match(x.getPath().getName()))
+    return [f"{path.rstrip('/')}/{n}" for n in names if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"{n}/_SUCCESS"))]
 
 
 def current(spark: SparkSession, path: str) -> str | None:
     """The folder of the newest version, if there is one."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_pointer(spark, path))
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return None
-    return json.loads(spark.read.text(_pointer(spark, path)).first()["value"])["version"]
+    return (versions(spark, path) or [None])[-1]
 
 
 def publish(df: DataFrame, path: str, sort: Column | str = KEY) -> None:
-    """A new version, range-sorted by key; then the pointer to it."""
-    spark = df.sparkSession
-    version = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
-    df.repartitionByRange(sort).sortWithinPartitions(sort).write.parquet(version)
-    spark.createDataFrame([(json.dumps({"version": version}),)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(spark, path))
+    """A new version, range-sorted by key, which holds from the moment it is whole."""
+    last = current(df.sparkSession, path)
+    number = int(_VERSION.search(last)[1]) + 1 if last else 0
+    df.repartitionByRange(sort).sortWithinPartitions(sort).write.parquet(f"{path.rstrip('/')}/version-{number:010d}-{uuid.uuid4().hex}")
+
+
+def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes all but the newest versions; jobs that still read an older one need it kept."""
+    for old in versions(spark, path)[: -max(1, keep)]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def merged(existing: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -91,8 +102,11 @@ def export_ndjson(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def parse_ndjson(lines: DataFrame) -> DataFrame:
-    """Records of JSON lines in a column value: blank lines are skipped, of equal keys the last line holds."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")) if "ord" not in lines.columns else F.col("ord")
+    """Records of JSON lines in a column value: blank lines are skipped, of equal keys the last line holds.
+
+    The order is that of a column ``ord``, else of files by name, parts of a file by where they begin, and lines as a task reads them.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")) if "ord" not in lines.columns else F.col("ord")
     rows = lines.select(place.alias("ord"), F.trim("value").alias("value")).filter("value <> ''")
     rows = rows.select("ord", from_json(F.col("value")).alias("r"))
     key = F.col("r.identity.share_class_figi")

@@ -101,3 +101,21 @@ def test_best_candidate():
     same = [dict(q, longname="Same") for q in quotes]
     assert best_candidate(same, "other", "other") == "WRNG"
     assert best_candidate(quotes, "ZZZZ", "QQQQ") is None
+
+
+def quote(symbol, longname=None, shortname=None):
+    return {"symbol": symbol, "longname": longname, "shortname": shortname}
+
+
+@pytest.mark.parametrize(
+    "quotes, name, symbol, chosen",
+    [
+        ([quote("brk.b", "Berkshire Hathaway Inc"), quote("XX", "Other Works")], "BERKSHIRE HATHAWAY INC", "BRK-B", "brk.b"),  # symbols without case and marks
+        ([quote("A", "", "x"), quote("B", "Foo Holdings", "y")], "QUUX", "Z", "B"),  # a blank name is none: one name is left
+        ([quote("A", None, "Foo Holdings"), quote("B", None, "Foo Holdings")], "QUUX", "Z", "A"),  # no long name at all: short ones decide
+        ([quote("A", "", "Foo"), quote("B", "", "Bar")], "BAR", "B", "B"),
+        ([quote("A", "Foo", None), quote("B", "Bar", None)], "QUUX", "Z", None),
+    ],
+)
+def test_choice_of_quotes(quotes, name, symbol, chosen):
+    assert best_candidate(quotes, name, symbol) == chosen

@@ -18,7 +18,6 @@ from tapeforge.streaming import incremental
 
 
 #: Whole jobs over all 37 fields compile for minutes on a busy machine.
-slow = pytest.mark.skipif(not os.environ.get("TAPEFORGE_SLOW"), reason="set TAPEFORGE_SLOW=1 to run whole jobs")
 
 
 def listings(spark, rows):
@@ -46,10 +45,9 @@ MERGE_CASES = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [100, 0])
-def test_merge_rules(spark, hot_rows):
+def test_merge_rules(spark):
     rows = [{field: v, "share_class_figi": f"{k:012d}"} for k, (field, values, _) in enumerate(MERGE_CASES) for v in values]
-    found = {int(r["share_class_figi"]): r for r in merge.merge_listings(listings(spark, rows), hot_rows=hot_rows).collect()}
+    found = {int(r["share_class_figi"]): r for r in merge.merge_listings(listings(spark, rows)).collect()}
     assert len(found) == len(MERGE_CASES)
     for k, (field, _, expected) in enumerate(MERGE_CASES):
         got = found[k][field]
@@ -61,13 +59,17 @@ def test_hot_key_gathers_no_amounts(spark):
     fields = ["share_class_figi", "name", "symbol", "mics", "last_price", "market_cap"]
     given = {"share_class_figi": F.when(F.col("id") == 0, "B" * 12).otherwise("A" * 12), "name": F.lit("N"), "symbol": F.when(F.col("id") % 3 == 1, "X").otherwise("Y"), "mics": F.array(F.lit("XNYS")), "last_price": F.col("id") * 7 % 3001, "market_cap": F.when(F.col("id") % 2 == 0, F.col("id"))}
     rows = spark.range(3001).select(F.lit(0).alias("feed_rank"), F.col("id").alias("row_ord"), *[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
-    lists = merge.hot_lists(rows, "share_class_figi", ["feed_rank", "row_ord"])
-    assert set(lists.columns) == {"share_class_figi", "mics", *FUZZY}
-    row = {r["share_class_figi"]: r for r in merge.merged_hot(rows, "share_class_figi", ["feed_rank", "row_ord"]).select(*fields).collect()}
+    merged = merge.merge_listings(rows)
+    row = {r["share_class_figi"]: r for r in merged.select(*fields).collect()}
     assert tuple(row["A" * 12]) == ("A" * 12, "N", "Y", ["XNYS"], Decimal("1500.5"), 1501)
     assert tuple(row["B" * 12]) == ("B" * 12, "N", "Y", ["XNYS"], 0, 0)
 
 
+def test_group_without_values_has_a_row(spark):
+    rows = spark.range(3).select(F.lit(0).alias("feed_rank"), F.col("id").alias("row_ord"), *[F.lit("A" * 12 if f == "share_class_figi" else None).cast(field_type(f)).alias(f) for f in FIELDS])
+    assert [tuple(r) for r in merge.merge_listings(rows).collect()] == [tuple("A" * 12 if f == "share_class_figi" else None for f in FIELDS)]
+
+
 def test_keyed_against_python(spark):
     rng = random.Random(3)
     rows = [(rng.randrange(8), rng.choice("abc"), Decimal(rng.randrange(20)) / 4, i) for i in rng.sample(range(300), 300)]
@@ -210,7 +212,8 @@ def test_feeds(spark, tmp_path):
     item = {"name": {"originalValue": "Foo Corp"}, "wkn": "FOO", "isin": "ISIN1", "overview": {"lastPrice": "50.00"}, "keyData": {"marketCapitalisation": 5000}, "performance": {"weeks52Low": 1.5}}
     xetra = write(tmp_path / "x" / "1.json", {"recordsTotal": 1, "data": [item]})
     row = {"issuername": "Foo", "tidm": "F", "currency": "GBX", "lastprice": "123,45", "marketcapitalization": "2000"}
-    lse = write(tmp_path / "l" / "1.json", [{"content": [{"name": "other"}, {"name": "priceexplorersearch", "value": {"content": [row], "totalPages": 7}}]}])
+    block = lambda r: {"content": [{"name": "other"}, {"name": "priceexplorersearch", "value": {"content": [r], "totalPages": 7}}]}
+    lse = write(tmp_path / "l" / "1.json", [block(row), block(row | {"tidm": "LATER"})])  # the first element counts
     write(tmp_path / "l" / "2.json", [{"content": []}])
     sec = write(tmp_path / "s" / "1.json", {"data": [[1, "Foo Inc", "FOO", "Nasdaq"], [1, "Foo again", "FOO", "NYSE"], [2, "Bar", "BAR", "UNKNOWN"], [3, "", "X", "NYSE"], [4, "Short", "S"]]})
     out = feeds.union_feeds(spark, {"euronext": euronext, "xetra": xetra, "lse": lse, "sec": sec})
@@ -226,6 +229,102 @@ def test_feeds(spark, tmp_path):
     assert feeds.union_feeds(spark, {"sec": sec, "lse": str(tmp_path / "none")}, strict=False).count() == 2
 
 
+def test_order_of_pages(spark, tmp_path):
+    """Page 10 goes after page 2, and pages without a number come last."""
+    for page in ("10", "2", "page-1", "notes"):
+        path = write(tmp_path / "s" / f"{page}.json", {"data": [[1, f"{page} a", "A", "NYSE"], [2, f"{page} b", "B", "NYSE"]]})
+    rows = feeds.read_sec(spark, path).orderBy("row_ord").collect()
+    assert [r["name"] for r in rows] == [f"{p} {x}" for p in ("page-1", "2", "10", "notes") for x in "ab"]
+    assert len({r["row_ord"] for r in rows}) == 8
+
+
+def test_feed_that_fails_while_read_is_left_out(spark, tmp_path, caplog):
+    sec = write(tmp_path / "s" / "1.json", {"data": [[1, "Foo Inc", "FOO", "Nasdaq"]]})
+    bad = write(tmp_path / "l" / "1.json", {})
+    (tmp_path / "l" / "2.json.gz").write_bytes(b"no gzip")
+    with pytest.raises(Exception):
+        feeds.union_feeds(spark, {"sec": sec, "lse": bad}).collect()
+    assert [r["symbol"] for r in feeds.union_feeds(spark, {"sec": sec, "lse": bad}, strict=False).collect()] == ["FOO"]
+    assert "lse can't be read" in caplog.text
+
+
+def test_landed_answers(spark, tmp_path):
+    ok = write(tmp_path / "fx" / "1.json", {"result": "success", "conversion_rates": {"USD": 1, "EUR": 0.92130001}})
+    assert {r["currency"]: str(r["rate"]) for r in lookups.read_fx_rates(spark, ok).collect()} == {"USD": "1.00000000", "EUR": "0.92130001"}
+    failed = write(tmp_path / "fx2" / "1.json", {"result": "error", "error-type": "quota-reached"})
+    with pytest.raises(Exception, match="quota-reached"):
+        lookups.read_fx_rates(spark, failed).collect()
+    figis = tmp_path / "figi"
+    figis.mkdir()
+    (figis / "1.json").write_text('{"query_number": 0, "shareClassFIGI": "BBG001S5N8V8", "ticker": "FOO", "name": "Foo Inc"}\n{"queryId": "1", "shareClassFIGI": null, "ticker": "B"}\n{"query_number": 9, "shareClassFIGI": "BBG000000009"}\n')
+    queries = spark.createDataFrame([(0, "ID_ISIN", "I0"), (1, "TICKER", "B")], "query_no long, id_type string, id_value string")
+    rows = {r["id_value"]: (r["figi"], r["name"], r["ticker"]) for r in lookups.read_figi_responses(spark, str(figis), queries).collect()}
+    assert rows == {"I0": ("BBG001S5N8V8", "Foo Inc", "FOO"), "B": (None, None, "B")}
+    found = tmp_path / "search"
+    found.mkdir()
+    (found / "1.json").write_text(json.dumps({"query": "q", "quotes": [{"symbol": "A", "quoteType": "EQUITY", "longname": "L"}, {"symbol": "B", "quoteType": "ETF"}, {"symbol": "C", "quoteType": "EQUITY"}]}))
+    assert [tuple(r) for r in lookups.read_quote_search(spark, str(found)).collect()] == [("q", 0, "A", "L", None), ("q", 2, "C", None, None)]
+
+
+def test_quote_summary_to_fields(spark, tmp_path):
+    """Modules of a quote to the fields of a security, later modules first, and on into the merge of missing fields."""
+    folder = tmp_path / "summary"
+    folder.mkdir()
+    modules = {"price": {"longName": "", "shortName": "Foo Short", "currency": "EUR", "marketCap": "100", "symbol": "FOO"}, "summaryProfile": {"sector": "Tech", "industry": "Chips"}, "financialData": {"currentPrice": "7", "recommendationKey": "buy", "currency": None}}
+    (folder / "1.json").write_text(json.dumps({"symbol": "FOO.X", "quoteSummary": {"result": [modules]}}))
+    row = enrich.quote_fields(lookups.read_quote_summary(spark, str(folder), list(modules))).first()
+    assert (row["symbol"], row["summary_symbol"], row["name"], row["currency"], row["market_cap"], row["last_price"], row["analyst_rating"], row["sector"]) == ("FOO.X", "FOO", "Foo Short", None, "100", "7", "buy", "Tech")
+    assert set(row.asDict()) - {"symbol", "summary_symbol"} == set(FIELDS) - {"symbol", "share_class_figi", "isin", "cusip", "cik", "mics", "performance_1_year"}
+
+
+def test_known_enrichment_goes_before_a_search(spark):
+    df = listings(spark, [{"share_class_figi": "A" * 12, "isin": "I1", "symbol": "FOO"}, {"share_class_figi": "B" * 12, "isin": "I2", "symbol": "BAR"}]).drop("feed", "feed_rank", "row_ord")
+    quotes = spark.createDataFrame([("I1", 0, "FOO", "Foo", None), ("I2", 0, "BAR", "Bar", None)], "query string, rank int, symbol string, longname string, shortname string")
+    summaries = spark.createDataFrame([("FOO", "Foo", "USD", "1", "searched"), ("BAR", "Bar", "USD", "2", "searched")], "symbol string, name string, currency string, market_cap string, sector string")
+    known = spark.createDataFrame([("A" * 12, "KNOWN")], "share_class_figi string, sector string")
+    rates = spark.createDataFrame([("EUR", "0.5")], "currency string, rate string")
+    out = {r["share_class_figi"][0]: (r["sector"], r["market_cap"]) for r in enrich.enrich(df, quotes, summaries, rates, known).collect()}
+    assert out == {"A": ("KNOWN", None), "B": ("SEARCHED", 2)}
+
+
+def test_contradictory_rates_are_an_error(spark):
+    df = spark.createDataFrame([("EUR", 2)], "currency string, last_price int").withColumn("market_cap", F.lit(None).cast("int"))
+    rates = spark.createDataFrame([("EUR", "0.5"), ("EUR", "0.5")], "currency string, rate string")
+    assert fx.to_usd(df, rates).first()["last_price"] == 4
+    with pytest.raises(Exception, match="two rates for EUR"):
+        fx.to_usd(df, rates.unionByName(spark.createDataFrame([("EUR", "0.6")], "currency string, rate string"))).collect()
+
+
+def test_a_version_counts_once_it_is_whole(spark, tmp_path):
+    rows = [{"share_class_figi": f"{k:012d}", "name": f"N{k}"} for k in range(3)]
+    made = canonical.canonicalise(listings(spark, rows).drop("feed", "feed_rank", "row_ord"))
+    table = str(tmp_path / "t")
+    assert store.current(spark, table) is None
+    for _ in range(3):
+        store.upsert_canonical(made.limit(2), table)
+    first, second, third = store.versions(spark, table)
+    (tmp_path / "t" / third.rsplit("/", 1)[1] / "_SUCCESS").unlink()  # a crash before the end of the third
+    assert store.current(spark, table) == second
+    store.upsert_canonical(made, table)
+    assert store.load_canonical(spark, table).count() == 3
+    store.prune(spark, table, keep=1)
+    assert len(store.versions(spark, table)) == 1 and store.load_canonical(spark, table).count() == 3
+
+
+def test_rebuild_keeps_the_last_line_of_split_files(spark, tmp_path):
+    made = canonical.canonicalise(listings(spark, [{"share_class_figi": "A" * 12, "name": "N"}]).drop("feed", "feed_rank", "row_ord"))
+    line = store.payloads(made).first()["payload"]
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "1.json").write_text("".join(line.replace('"N"', f'"N{k}"') + "\n" for k in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        lines = spark.read.text(str(tmp_path / "lines"))
+        assert lines.rdd.getNumPartitions() > 1
+        assert [r["identity"]["name"] for r in store.parse_ndjson(lines).collect()] == ["N2999"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_validation(spark):
     raw = listings(spark, [{}, {"name": "  "}, {"isin": "bad"}]).select("feed", "feed_rank", "row_ord", *[F.col(f) if f == "mics" else F.col(f).cast("string").alias(f) for f in FIELDS])
     valid, rejected = jobs.parse(raw)
@@ -233,7 +332,6 @@ def test_validation(spark):
     assert sorted(r["errors"] for r in rejected.collect()) == [["isin: wrong form"], ["name: missing"]]
 
 
-@slow
 def test_seed_with_enrichment(spark):
     raw = listings(spark, [{"isin": "US0378331005", "currency": "EUR", "last_price": 2, "share_class_figi": None}, {"isin": "US0378331005", "currency": "USD", "last_price": 6, "share_class_figi": None}])
     raw = raw.select("feed", "feed_rank", "row_ord", *[F.col(f) if f == "mics" else F.col(f).cast("string").alias(f) for f in FIELDS])
@@ -302,7 +400,6 @@ def test_cascade(spark):
     assert [tuple(r) for r in enrich.cascade(chosen, summaries).collect()] == [("k", 2, "B", "b")]
 
 
-@slow
 def test_streams(spark, tmp_path):
     source, table, rows = (str(tmp_path / n) for n in ("in", "table", "rows"))
     schema = listings(spark, []).drop("share_class_figi").schema
