@@ -33,10 +33,23 @@ def validate(df: DataFrame, keep: list[str], fields: list[str] = FIELDS) -> Data
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text"), F.lit(f in UNSIGNED).alias("unsigned")) for f in amounts])
     numbers = N.decimals(cells) if amounts else F.array()
     first = df.select(*keep, *[F.col("mics")] * ("mics" in fields), texts.alias("_texts"), numbers.alias("_numbers"), F.to_json(F.struct(*fields)).alias("raw"))
-    place = {f: F.col("_numbers")[i] for i, f in enumerate(amounts)} | {f: checked(f, F.col("_texts")[i]) for i, f in enumerate(plain)} | {"mics": checked("mics", F.col("mics")) if "mics" in fields else None}
-    inner = first.select(*keep, *[place[f].alias(f) for f in fields], "raw")
-    errors = F.array_compact(F.array(*[F.col(f)["error"] for f in fields]))
-    return inner.select(*keep, *[F.col(f)["value"].alias(f) for f in fields], errors.alias("errors"), "raw")
+    values = {f: F.col("_numbers")[i]["value"] for i, f in enumerate(amounts)} | {f: checked(f, F.col("_texts")[i])["value"] for i, f in enumerate(plain)}
+    if "mics" in fields:
+        values["mics"] = checked("mics", F.col("mics"))["value"]
+
+    # each array is named once in the errors: a filter on them, which Spark moves below the arrays, then computes each once more only
+    def text_error(t: Column, i: Column) -> Column:
+        found = F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("error"))
+        for k, f in reversed(list(enumerate(plain))):
+            found = F.when(i == k, F.struct(F.lit(fields.index(f)).alias("at"), checked(f, t)["error"].alias("error"))).otherwise(found)
+        return found
+
+    at = F.array(*[F.lit(fields.index(f)) for f in amounts])
+    found = [F.transform("_texts", text_error)] if plain else []
+    found += [F.transform("_numbers", lambda n, i: F.struct(F.get(at, i).alias("at"), n["error"].alias("error")))] if amounts else []
+    found += [F.array(F.struct(F.lit(fields.index("mics")).alias("at"), checked("mics", F.col("mics"))["error"].alias("error")))] if "mics" in fields else []
+    errors = F.transform(F.array_sort(F.filter(F.concat(*found), lambda e: e["error"].isNotNull())), lambda e: e["error"])
+    return first.select(*keep, *[values[f].alias(f) for f in fields], errors.alias("errors"), "raw")
 
 
 def valid(df: DataFrame) -> DataFrame:
