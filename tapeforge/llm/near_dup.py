@@ -161,8 +161,19 @@ def _with_planes(classes: DataFrame) -> DataFrame:
     return rows.select("id", "size", "sig", *PLANES, *[F.get("odd", F.lit(k)).alias(c) for k, c in enumerate(ODDS)])
 
 
+def left_out(signature: np.ndarray) -> np.ndarray:
+    """The symbol that each key leaves out, -1 for the first of a chunk.
+
+    Two signatures that share a key and whose symbols left out are equal have the whole chunk in common; then they share all its keys,
+    and the first stands for them.
+    """
+    out = signature.astype(np.int32)
+    out[:, [a for a, _ in chunk_bounds()]] = -1
+    return out
+
+
 def _keyed(classes: DataFrame) -> DataFrame:
-    """key, id, size: SYMBOLS rows a class."""
+    """key, id, size, own (the symbol left out, null for the first of a chunk): SYMBOLS rows a class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +181,10 @@ def _keyed(classes: DataFrame) -> DataFrame:
                 part = batch.slice(i, 500)
                 sig = part.column("sig").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint16).reshape(-1, SYMBOLS)
                 ids, sizes = (np.repeat(part.column(c).to_numpy(zero_copy_only=False), SYMBOLS) for c in ("id", "size"))
-                yield pa.RecordBatch.from_arrays([pa.array(keys(sig).ravel().view(np.int64)), pa.array(ids), pa.array(sizes)], names=["key", "id", "size"])
+                own = left_out(sig).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(keys(sig).ravel().view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(own, mask=own < 0)], names=["key", "id", "size", "own"])
 
-    return classes.select("id", "size", "sig").mapInArrow(run, "key long, id long, size int")
+    return classes.select("id", "size", "sig").mapInArrow(run, "key long, id long, size int, own int")
 
 
 def _similar(a: Column, b: Column) -> Column:
@@ -233,9 +245,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, id, size, component, main, sketches: the rows of buckets of several components; main is a bucket's largest."""
+    """key, id, size, own, component, main, sketches: the rows of buckets of several components; main is a bucket's largest."""
     known = classes.select("id", *SKETCH).join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = stored(rows.select("key", "id", "size").join(known.hint("merge"), "id"))
+    rest = stored(rows.select("key", "id", "size", "own").join(known.hint("merge"), "id"))
     sizes = rest.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
     return stored(rest.join(sizes.filter("n > 1").select("key", F.col("most.component").alias("main")).hint("merge"), "key"))
 
@@ -254,7 +266,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
 
     w = Window.partitionBy("key").orderBy("id")
     entry = F.struct("id", "size")
-    rows = _keyed(classes).select("key", "id", "size", F.first(entry).over(w).alias("head"), F.lag(entry).over(w).alias("prev"), F.lead("id").over(w).alias("next"))
+    rows = _keyed(classes).select("key", "id", "size", "own", F.first(entry).over(w).alias("head"), F.lag(entry).over(w).alias("prev"), F.lead("id").over(w).alias("next"))
     rows = stored(rows.filter("prev is not null or next is not null").drop("next"))  # buckets of one are done
     tried = rows.select(F.col("id").alias("b"), "size", F.posexplode(F.array("head", "prev")).alias("kind", "other"))
     tried = tried.filter((F.col("other.id") < F.col("b")) & _similar(F.col("size"), F.col("other.size"))).groupBy("b", "kind", F.col("other.id").alias("a")).count()
@@ -282,10 +294,11 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
 
     # then every pair that is left: rows outside the largest component of a bucket meet all its rows, copies of one text never
     rest = _mixed(rows, classes, labels)
-    p, q = (rest.select("key", "main", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "size", "component", *SKETCH)]) for x in "pq")
-    fits = (F.col("p_component") != F.col("q_component")) & _fit("p", "q")
+    p, q = (rest.select("key", "main", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "size", "own", "component", *SKETCH)]) for x in "pq")
+    once = F.coalesce(F.col("p_own") != F.col("q_own"), F.lit(True))  # a chunk in common counts once, not by each of its keys
+    fits = (F.col("p_component") != F.col("q_component")) & once & _fit("p", "q")
     left = p.drop("main").join(q.filter("q_component <> main").hint("merge"), "key").filter(fits).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).distinct()
-    more = stored(left.join(pairs, ["a", "b"], "left_anti"))
+    more = stored(stored(left).join(pairs, ["a", "b"], "left_anti"))  # written first: else Spark moves the join below the distinct
     if not more.isEmpty():
         labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_confirmed(docs, more, size)))
 

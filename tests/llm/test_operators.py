@@ -378,7 +378,11 @@ def test_pairs_within_the_distance_share_a_key():
         b = a.copy()
         at = rng.choice(near_dup.SYMBOLS, near_dup.DISTANCE, replace=False)
         b[0, at] ^= rng.integers(1, 1 << 16, len(at), dtype=np.uint16)
-        assert set(near_dup.keys(a)[0].tolist()) & set(near_dup.keys(b)[0].tolist())
+        shared = np.flatnonzero(near_dup.keys(a)[0] == near_dup.keys(b)[0])
+        own = [x[0, shared] for x in (near_dup.left_out(a), near_dup.left_out(b))]
+        once = shared[(own[0] != own[1]) | (own[0] < 0)]  # where a pair is made
+        chunk = np.searchsorted([c for c, _ in near_dup.chunk_bounds()], [shared, shared], side="right")[0]
+        assert len(shared) and set(np.searchsorted([c for c, _ in near_dup.chunk_bounds()], once, side="right")) == set(chunk) and len(once) == len(set(chunk))
 
 
 def test_few_pairs_of_similar_sets_lie_beyond_the_distance():
