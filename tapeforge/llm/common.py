@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -21,13 +20,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or one in the warehouse where none is set."""
     sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-        found = sc.getCheckpointDir()
-    return found
+    return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def stored(df: DataFrame) -> DataFrame:
