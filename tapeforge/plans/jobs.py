@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import canonical, enrich, fx, identify, merge, quality
 from ..sources import feeds, store
@@ -23,6 +24,7 @@ class Seeded:
     failed: DataFrame
     merged: DataFrame
     identified: DataFrame
+    filled: DataFrame
 
 
 def parse(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,7 +50,23 @@ def seed(raw: DataFrame, rates: DataFrame, responses: DataFrame, quotes: DataFra
     if quotes is not None:
         merged = stored(merged)
     full = merged if quotes is None else enrich.enrich(merged, quotes, summaries, rates, known)
-    return Seeded(canonical.canonicalise(full), rejected, identify.unidentified(dollars, responses), merged, found)
+    return Seeded(canonical.canonicalise(full), rejected, identify.unidentified(dollars, responses), merged, found, full)
+
+
+def stage_figures(made: Seeded, key: str = "share_class_figi") -> DataFrame:
+    """A row a stage of a seed job: rows, distinct keys, duplicates and rows with a missing field.
+
+    Rejected and unidentified rows have no key: their other figures are null. Each figure is one aggregate, so ask for them once the job has run.
+    """
+    kept = {"identified": made.identified, "merged": made.merged, "filled": made.filled}
+    gaps = None
+    for stage, df in kept.items():
+        own = df.agg(F.count_if(enrich.missing_fields()).alias("n_incomplete")).select(F.lit(stage).alias("stage"), "n_incomplete")
+        gaps = own if gaps is None else gaps.unionByName(own)
+    out = quality.run_metrics(kept, key).join(gaps, "stage")
+    for stage, df in {"rejected": made.rejected, "unidentified": made.failed}.items():
+        out = out.unionByName(df.agg(F.count("*").alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows"), allowMissingColumns=True)
+    return out
 
 
 def seed_to(spark: SparkSession, paths: dict[str, str], rates: DataFrame, responses: DataFrame, table: str, quarantine: str, **more) -> None:

@@ -339,9 +339,12 @@ def test_seed_with_enrichment(spark):
     answers = spark.createDataFrame([("ID_ISIN", "US0378331005", "BBG001S5N8V8", "Foo Inc", "FOO", 0)], "id_type string, id_value string, figi string, name string, ticker string, ord int")
     quotes = spark.createDataFrame([("US0378331005", 0, "FOO", "Foo Inc", None)], "query string, rank int, symbol string, longname string, shortname string")
     summaries = spark.createDataFrame([("FOO", "Foo Incorporated", "EUR", "100", "Technology")], "symbol string, name string, currency string, market_cap string, sector string")
-    row = jobs.seed(raw, rates, answers, quotes, summaries).canonical.first()
+    made = jobs.seed(raw, rates, answers, quotes, summaries)
+    row = made.canonical.first()
     assert row["identity"]["share_class_figi"] == "BBG001S5N8V8" and row["identity"]["name"] == "FOO INC"
     assert row["financials"]["last_price"] == 5 and row["financials"]["market_cap"] == 200 and row["financials"]["sector"] == "TECHNOLOGY"
+    figures = {r["stage"]: (r["n_rows"], r["n_keys"], r["n_duplicates"], r["n_incomplete"]) for r in jobs.stage_figures(made).collect()}
+    assert figures == {"identified": (2, 1, 1, 2), "merged": (1, 1, 0, 1), "filled": (1, 1, 0, 1), "rejected": (0, None, None, None), "unidentified": (0, None, None, None)}
 
 
 def parts_of(n):
