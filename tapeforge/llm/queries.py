@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import read
 
 
@@ -82,8 +83,29 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.licenses(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_main_text, op3_mixing, op4_surrogates, op5_near_dup, op6_packing, op7_quality, op8_language, op9_chat, op10_licenses)}
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import merkle as op
+
+    return op.manifest(read(spark, sf_dir, "documents"))
+
+
+def op12_exact_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import exact_dup as op
+
+    return op.exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repair as op
+
+    return op.repair(read(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_main_text, op3_mixing, op4_surrogates, op5_near_dup, op6_packing, op7_quality, op8_language, op9_chat, op10_licenses, op11_manifest, op12_exact_dup, op13_repair)}
 QUERY_SQL: dict[str, str] = {
+    "op11_manifest": oracles.OP11_SQL,
+    "op12_exact_dup": oracles.OP12_SQL,
+    "op13_repair": oracles.OP13_SQL,
     # the text is split and unescaped again by the query; here it is taken from the table
     "op9_chat": r"""
 with t as (
