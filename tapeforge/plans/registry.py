@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import normalise as N
 from ..functions.similarity import fuzzy_representative
 from ..operators import canonical, enrich, fx, identify, keyed, merge, quality
-from ..schemas import AMOUNT, FIELDS, field_type
-from ..sources import lookups, store
+from ..schemas import AMOUNT, FIELDS, FINANCIALS, IDENTITY, field_type
+from ..sources import buckets, lookups, store
 from ..sources.lineage import scratch, stored
 from . import jobs
 
@@ -329,6 +329,20 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.merged(old, new, "key", "ord")
 
 
+@query(f"""with last as (select upper(substr(md5(o_custkey::varchar), 1, 12)) as share_class_figi, o_totalprice::decimal(18,2) as price from orders qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1)
+select c.* replace (coalesce(price, last_price) as last_price, case when price is null then name else name || ' AGAIN' end as name) from ({_SQL_CUSTOMERS}) c left join last using (share_class_figi)""")
+def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of buckets is published, changed by a batch with repeated keys, of which the last holds, and read."""
+    at = scratch(spark)
+    store.publish(_canonical_customers(spark, sf_dir), at, 16)
+    orders = _read(spark, sf_dir, "orders").join(_read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    given = {"share_class_figi": _figi(F.col("c_custkey")), "name": F.concat(F.upper("c_name"), F.lit(" AGAIN")), "symbol": F.concat(F.lit("C"), F.col("c_custkey").cast("string")), "mics": F.array(F.lit("XNYS"), F.lit("XLON")), "last_price": _money("o_totalprice"), "sector": F.col("c_mktsegment")}
+    own = orders.select("o_orderkey", *[given.get(f, F.lit(None)).cast(field_type(f)).alias(f) for f in FIELDS])
+    records = own.select("o_orderkey", F.struct(*IDENTITY).alias("identity"), F.struct(*FINANCIALS).alias("financials"))
+    store.upsert_canonical(records, at, "o_orderkey")
+    return _flattened(store.load_canonical(spark, at))
+
+
 @query(f"select * from ({_SQL_CUSTOMERS}) where share_class_figi in (select upper(substr(md5(o_custkey::varchar), 1, 12)) from orders where o_orderstatus = 'P')")
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = _read(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(_figi(F.col("o_custkey")).alias("figi"))
@@ -462,6 +476,6 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     rows = source.select(F.col("event_type").alias("feed"), F.col("user_id").alias("feed_key"), F.col("event_id").alias("row_ord"))
-    started = rows.writeStream.foreachBatch(incremental.running_first(f"{at}/rows")).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    started = rows.writeStream.foreachBatch(incremental.running_first(f"{at}/rows", n_buckets=16)).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     started.awaitTermination()
-    return spark.read.parquet(f"{at}/rows").select(F.col("feed").alias("event_type"), F.col("feed_key").alias("user_id"), F.col("row_ord").alias("event_id"))
+    return buckets.read(spark, f"{at}/rows").select(F.col("feed").alias("event_type"), F.col("feed_key").alias("user_id"), F.col("row_ord").alias("event_id"))

@@ -1,54 +1,39 @@
-"""The published table and its files: versions of Parquet, sorted JSON lines, lookups and snapshots.
+"""The published table and its files: versions in buckets by key, sorted JSON lines, lookups and snapshots.
 
-A table is a folder of numbered versions; the newest that was written to its end holds, which its _SUCCESS file says. Nothing is
-overwritten, so that readers, failed jobs and crashes between two steps never see half of one.
+The table is one of :mod:`buckets`: an upsert rewrites the buckets that hold its keys, a lookup reads those, and a version holds
+from the moment that its manifest has its number, whoever else writes meanwhile.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalise import is_blank
 from ..operators.canonical import from_json, to_json
 from ..operators.keyed import last_wins
+from . import buckets
 
 KEY = "identity.share_class_figi"
 
 
-_VERSION = re.compile(r"version-(\d{10})-[0-9a-f]+$")
-
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of all versions, oldest first."""
+    return buckets.versions(spark, path)
 
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """The folders of all whole versions, oldest first."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    names = sorted(x.getPath().getName() for x in fs.listStatus(folder) if _VERSION.match(x.getPath().getName()))
-    return [f"{path.rstrip('/')}/{n}" for n in names if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"{n}/_SUCCESS"))]
 
-
-def current(spark: SparkSession, path: str) -> str | None:
-    """The folder of the newest version, if there is one."""
+def current(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest version, if there is one."""
     return (versions(spark, path) or [None])[-1]
 
 
-def publish(df: DataFrame, path: str, sort: Column | str = KEY) -> None:
-    """A new version, range-sorted by key, which holds from the moment it is whole."""
-    last = current(df.sparkSession, path)
-    number = int(_VERSION.search(last)[1]) + 1 if last else 0
-    df.repartitionByRange(sort).sortWithinPartitions(sort).write.parquet(f"{path.rstrip('/')}/version-{number:010d}-{uuid.uuid4().hex}")
+def publish(df: DataFrame, path: str, n_buckets: int = buckets.BUCKETS) -> None:
+    """The whole table anew, of one row a key."""
+    buckets.replace(df, path, [KEY], n_buckets)
 
 
 def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Deletes all but the newest versions; jobs that still read an older one need it kept."""
-    for old in versions(spark, path)[: -max(1, keep)]:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    buckets.prune(spark, path, keep)
 
 
 def merged(existing: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -58,19 +43,29 @@ def merged(existing: DataFrame, new: DataFrame, key: str, order: str | None = No
     return existing.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def upsert_canonical(new: DataFrame, path: str) -> None:
-    """Insert or replace by share_class_figi; one row a key is expected of ``new``."""
-    spark = new.sparkSession
-    at = current(spark, path)
-    if at is not None:
-        old = spark.read.parquet(at)
-        new = old.join(new.select(F.col(KEY).alias("_key")), F.col(KEY) == F.col("_key"), "left_anti").unionByName(new)
-    publish(new, path)
+def one_a_key(new: DataFrame, order: str | list[str] | None = None) -> DataFrame:
+    """identity and financials: of repeated keys the last by ``order``, and of equals, or without an order, that of the greatest JSON."""
+    places = [order] if isinstance(order, str) else list(order or [])
+    place = F.struct(*places, to_json(F.col("identity"), F.col("financials")).alias("_text"))
+    return new.groupBy(F.col(KEY).alias("_key")).agg(F.max_by(F.struct("identity", "financials"), place).alias("_row")).select("_row.identity", "_row.financials")
+
+
+def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """old with the rows of new in place of those with their keys, one row a key in each."""
+    return old.join(new.select(F.col(KEY).alias("_key")), F.col(KEY) == F.col("_key"), "left_anti").unionByName(new)
+
+
+def upsert_canonical(new: DataFrame, path: str, order: str | list[str] | None = None, n_buckets: int = buckets.BUCKETS) -> list[int]:
+    """Insert or replace by share_class_figi, the last of repeated keys by ``order``; returns the buckets that were rewritten."""
+    return buckets.change(one_a_key(new, order), path, [KEY], replaced, n_buckets)
 
 
 def load_canonical(spark: SparkSession, path: str) -> DataFrame:
-    """All records in order of their key."""
-    return spark.read.parquet(current(spark, path)).filter("identity is not null").orderBy(KEY)
+    """All records in order of their key; LookupError where nothing has been published."""
+    found = buckets.read(spark, path)
+    if found is None:
+        raise LookupError(f"no table has been published at {path}")
+    return found.filter("identity is not null").orderBy(KEY)
 
 
 def lookup_canonical(df: DataFrame, figi: str) -> DataFrame:
@@ -79,8 +74,12 @@ def lookup_canonical(df: DataFrame, figi: str) -> DataFrame:
 
 
 def get_canonical(spark: SparkSession, path: str, figi: str):
-    """The record as a row, or LookupError."""
-    rows = lookup_canonical(spark.read.parquet(current(spark, path)), figi).collect()
+    """The record as a row, or LookupError; one bucket is read."""
+    found = buckets.manifest(spark, path)
+    if found is None:
+        raise LookupError(f"no table has been published at {path}")
+    at = spark.range(1).select(buckets.bucket_of([F.lit(figi)], found.buckets)).first()[0]
+    rows = lookup_canonical(buckets.read(spark, path, [at], found.number), figi).collect()
     if not rows:
         raise LookupError(f"no security {figi}")
     return rows[0]

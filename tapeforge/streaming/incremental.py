@@ -1,20 +1,20 @@
 """The jobs on streams of new feed files.
 
-Parsing, conversion and identification have no state. Rows seen before are recognised against the table of listings, and only
-securities that a batch touches are merged again; a batch that runs twice leaves the same tables.
+Parsing, conversion and identification have no state. What earlier batches left is in tables of buckets by key, of which a batch reads
+those that its own keys fall into; only securities that a batch touches are merged again. A batch that runs twice leaves the same tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import canonical, merge
 from ..operators.keyed import first_wins
 from ..plans.jobs import PLACE, listings
 from ..schemas import FIELDS
-from ..sources import store
+from ..sources import buckets, store
+from ..sources.lineage import stored
 
 SEEN = ["feed", "feed_key"]
 
@@ -38,19 +38,24 @@ def new_only(batch: DataFrame, seen: DataFrame | None, keys: list[str] = SEEN, o
     return first.join(seen.select(*keys).distinct(), match, "left_anti")
 
 
-def upsert_batch(table: str, listings_path: str):
-    """A function for foreachBatch: appends the batch's listings, merges the securities touched, publishes them."""
+def upsert_batch(table: str, listings_path: str, n_buckets: int = buckets.BUCKETS):
+    """A function for foreachBatch: adds the batch's listings, merges the securities touched, publishes them.
+
+    Both tables are in buckets by security: of either only the buckets of the batch's securities are read, listings are added in
+    files of their own, and the published table has those buckets rewritten. A batch that runs again adds nothing.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        part = f"{listings_path}/batch={batch_id}"
-        batch.select(*PLACE, *FIELDS).write.mode("overwrite").parquet(part)  # the same batch again replaces itself
-        touched = spark.read.parquet(part).select("share_class_figi").distinct()
-        if touched.isEmpty():
+        rows = stored(batch.select(*PLACE, *FIELDS).filter("share_class_figi is not null"))
+        if rows.isEmpty():
             return
-        everything = spark.read.option("basePath", listings_path).parquet(listings_path).drop("batch")
-        merged = merge.merge_listings(everything.join(touched, "share_class_figi", "left_semi"))
-        store.upsert_canonical(canonical.canonicalise(merged), table)
+        key = ["share_class_figi"]
+        buckets.change(rows, listings_path, key, None, n_buckets, "stream", batch_id)
+        touched = rows.select(*key).distinct()
+        everything = buckets.read_of_keys(spark, listings_path, touched)
+        merged = merge.merge_listings(everything.join(touched, key, "left_semi"))
+        store.upsert_canonical(canonical.canonicalise(merged), table, n_buckets=n_buckets)
 
     return run
 
@@ -60,14 +65,15 @@ def upsert_stream(identified: DataFrame, table: str, listings_path: str, checkpo
     return identified.writeStream.foreachBatch(upsert_batch(table, listings_path)).option("checkpointLocation", checkpoint)
 
 
-def running_first(path: str):
-    """A function for foreachBatch: appends the rows whose key no earlier batch had, as Parquet by batch."""
+def running_first(path: str, keys: list[str] = SEEN, order: str = "row_ord", n_buckets: int = buckets.BUCKETS):
+    """A function for foreachBatch: adds the rows whose key no earlier batch had to the table of buckets at ``path``.
+
+    A batch reads the keys of the buckets that its own keys fall into, and writes new rows only.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        seen = spark.read.parquet(path).filter(F.col("batch") < batch_id) if fs.exists(hadoop) else None
-        new_only(batch, seen).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        first = stored(first_wins(batch, keys, order))
+        seen = buckets.read_of_keys(batch.sparkSession, path, first)
+        buckets.change(new_only(first, seen, keys, order), path, keys, None, n_buckets, "stream", batch_id)
 
     return run

@@ -300,11 +300,13 @@ def test_a_version_counts_once_it_is_whole(spark, tmp_path):
     made = canonical.canonicalise(listings(spark, rows).drop("feed", "feed_rank", "row_ord"))
     table = str(tmp_path / "t")
     assert store.current(spark, table) is None
+    with pytest.raises(LookupError):
+        store.load_canonical(spark, table)
     for _ in range(3):
         store.upsert_canonical(made.limit(2), table)
-    first, second, third = store.versions(spark, table)
-    (tmp_path / "t" / third.rsplit("/", 1)[1] / "_SUCCESS").unlink()  # a crash before the end of the third
-    assert store.current(spark, table) == second
+    assert store.versions(spark, table) == [0, 1, 2]
+    (tmp_path / "t" / "manifests" / "0000000002.json").rename(tmp_path / "t" / "manifests" / "_draft-0")  # a crash before the end of the third
+    assert store.current(spark, table) == 1
     store.upsert_canonical(made, table)
     assert store.load_canonical(spark, table).count() == 3
     store.prune(spark, table, keep=1)
