@@ -13,6 +13,10 @@ from ..sources.lineage import stored
 from . import fx, quality
 
 
+#: How long known enrichment is fresh.
+TTL_MINUTES = 1440
+
+
 def missing_fields(fields: list[str] = FIELDS) -> Column:
     """Whether any of the fields is null."""
     return reduce(lambda a, b: a | b, [F.col(f).isNull() for f in fields])
@@ -128,34 +132,80 @@ def quote_fields(summary: DataFrame, flat: str = "m") -> DataFrame:
         own = keys.split()
         return get(own[0]) if len(own) == 1 else F.coalesce(*[F.nullif(get(k), F.lit("")) for k in own[:-1]], get(own[-1]))
 
-    return summary.select("symbol", first("underlyingSymbol symbol").alias("summary_symbol"), *[first(keys).alias(f) for f, keys in QUOTE_FIELDS.items()])
+    more = [c for c in ("refused",) if c in summary.columns]
+    return summary.select("symbol", *more, first("underlyingSymbol symbol").alias("summary_symbol"), *[first(keys).alias(f) for f, keys in QUOTE_FIELDS.items()])
 
 
-def fill(df: DataFrame, enriched: DataFrame, key: str = "share_class_figi", fields: list[str] | None = None) -> DataFrame:
-    """Every field of df that is null from the enriched row of its key."""
+def fill(df: DataFrame, enriched: DataFrame, key: str = "share_class_figi", fields: list[str] | None = None, found: str | None = None) -> DataFrame:
+    """Every field of df that is null from the enriched row of its key; ``found``: a column that says whether there is such a row, or was before."""
     fields = [f for f in (fields or FIELDS) if f != key and f in enriched.columns and f in df.columns]
-    other = enriched.select(key, *[F.col(f).alias(f"_{f}") for f in fields])
+    other = enriched.select(key, F.lit(True).alias("_found"), *[F.col(f).alias(f"_{f}") for f in fields])
     out = df.join(other, key, "left")
-    return out.select(*[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in fields else F.col(c) for c in df.columns])
+    more = [] if found is None else [(F.col("_found").isNotNull() | (F.col(found) if found in df.columns else F.lit(False))).alias(found)]
+    return out.select(*[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in fields else F.col(c) for c in df.columns if c != found], *more)
+
 
+def reusable(df: DataFrame, known: DataFrame, on: str, now: Column | None = None, ttl_minutes: int = TTL_MINUTES) -> DataFrame:
+    """Of each of df's keys the newest known enrichment that isn't older than ``ttl_minutes`` at ``now``; 0 for no limit.
 
-def enrich(df: DataFrame, quotes: DataFrame, summaries: DataFrame, rates: DataFrame, known: DataFrame | None = None, key: str = "share_class_figi", reuse_key: str | None = None) -> DataFrame:
+    ``known`` has ``fetched_at`` in seconds; ``now``, a column of df in seconds or a literal, may differ from row to row of a key: the latest
+    counts. The age is a range condition of the join, so old snapshots end there. Without ``fetched_at`` everything known is fresh.
+    """
+    if ttl_minutes < 0:
+        raise ValueError("ttl_minutes is negative")
+    if "fetched_at" not in known.columns:
+        return known
+    if now is None:
+        raise ValueError("known enrichment has an age: say what time it is")
+    asked = df.groupBy(F.col(on).alias("_on")).agg(F.max(now).alias("_now"))
+    age = F.col("_now") - F.col("fetched_at")
+    near = (F.col(on) == F.col("_on")) & (age >= 0)
+    if ttl_minutes:
+        near = near & (age <= 60 * ttl_minutes)
+    fresh = known.join(asked, near)
+    rest = [c for c in known.columns if c != "fetched_at"]
+    # of snapshots of one second any would do; the greatest is the same one each time
+    newest = fresh.groupBy("_on").agg(F.max(F.struct("fetched_at", *rest)).alias("_row"))
+    return newest.select(*[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
+def answered(summaries: DataFrame, flat: DataFrame | None) -> DataFrame:
+    """The summaries that were answered, and of symbols whose every answer was refused the flat records.
+
+    ``summaries`` may have a column ``refused``; only its symbols are looked for in ``flat``.
+    """
+    if "refused" not in summaries.columns:
+        return summaries
+    got = summaries.filter(~F.col("refused")).drop("refused")
+    if flat is None:
+        return got
+    wanted = summaries.filter("refused").select("symbol").distinct().join(got.select("symbol"), "symbol", "left_anti")
+    return got.unionByName(flat.drop("refused").join(wanted, "symbol", "left_semi"), allowMissingColumns=True)
+
+
+def enrich(
+    df: DataFrame, quotes: DataFrame, summaries: DataFrame, rates: DataFrame, known: DataFrame | None = None, key: str = "share_class_figi", reuse_key: str | None = None,
+    flat: DataFrame | None = None, now: Column | None = None, ttl_minutes: int = TTL_MINUTES, found: str | None = None,
+) -> DataFrame:
     """df with missing fields filled. ``summaries``: symbol and raw fields, as of :func:`quote_fields`; ``known``: earlier enrichment by key.
 
-    Complete rows are not looked up. Known enrichment goes before any search. An invalid summary or one whose currency
-    has no rate gives nothing.
+    Complete rows are not looked up. Known enrichment that is fresh (:func:`reusable`) goes before any search, older is searched anew.
+    ``flat`` has the records for symbols whose summary was refused. An invalid summary or one whose currency has no rate gives nothing.
+    ``found``: a column that says which rows were enriched.
     """
     gaps, complete = df.filter(missing_fields()), df.filter(~missing_fields())
     reuse_key = reuse_key or key
+    if known is not None:
+        known = stored(reusable(gaps, known, reuse_key, now, ttl_minutes))
     search = gaps if known is None else gaps.join(known.select(reuse_key), reuse_key, "left_anti")
+    summaries = answered(summaries, flat)
     own = summaries if "summary_symbol" in summaries.columns else summaries.withColumn("summary_symbol", F.col("symbol"))
-    found = cascade(chosen_quotes(attempts(search, key), quotes, key), own, key)
-    found = found.withColumnRenamed("summary_symbol", "symbol")
-    raw = found.select(F.col(key).alias("_key"), *[F.col(f) if f in found.columns and f != key else F.lit(None).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
+    chosen = cascade(chosen_quotes(attempts(search, key), quotes, key), own, key).withColumnRenamed("summary_symbol", "symbol")
+    raw = chosen.select(F.col(key).alias("_key"), *[F.col(f) if f in chosen.columns and f != key else F.lit(None).cast("array<string>" if f == "mics" else "string").alias(f) for f in FIELDS])
     usable = quality.valid(stored(quality.validate(raw, ["_key"])))
     usable = fx.to_usd(usable, rates, on_missing_rate="quarantine").filter(~F.col("rate_missing")).drop("rate_missing")
     fresh = usable.drop(key).withColumnRenamed("_key", key)
-    out = fill(gaps, fresh, key)
+    out = fill(gaps, fresh, key, found=found)
     if known is not None:
-        out = fill(out, known, reuse_key)
-    return out.unionByName(complete)
+        out = fill(out, known, reuse_key, found=found)
+    return out.unionByName(complete if found is None else complete.withColumn(found, F.lit(False)))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalise as N
-from ..schemas import AMOUNTS, FIELDS, REQUIRED, UNSIGNED
+from ..schemas import AMOUNT, AMOUNTS, FIELDS, REQUIRED, UNSIGNED
 
 
 def checked(field: str, text: Column) -> Column:
@@ -23,42 +25,48 @@ def checked(field: str, text: Column) -> Column:
 
 
 def validate(df: DataFrame, keep: list[str], fields: list[str] = FIELDS) -> DataFrame:
-    """All fields normalised, the ``keep`` columns as they are, and ``errors``: an array, empty for a valid row.
+    """All fields normalised, the ``keep`` columns as they are, ``errors``, an array in order of the fields, empty for a valid row, and of
+    other rows ``raw``, what they were as JSON.
 
-    All texts are normalised by one expression over an array, and so are all amounts: 37 trees of expressions take minutes to
-    compile, two don't.
+    Every field is a column of generated code: its text once normalised, then its value and its error. A number in plain form is
+    cast; only texts that a cast refuses go, all of a row in one array, through the parser of other forms, whose steps are thus
+    compiled once and run for rows that need them.
     """
     amounts, plain = [f for f in fields if f in AMOUNTS], [f for f in fields if f not in AMOUNTS and f != "mics"]
-    texts = F.transform(F.array(*[F.col(f).cast("string") for f in plain]), N.norm_text) if plain else F.array()
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text"), F.lit(f in UNSIGNED).alias("unsigned")) for f in amounts])
-    numbers = N.decimals(cells) if amounts else F.array()
-    first = df.select(*keep, *[F.col("mics")] * ("mics" in fields), texts.alias("_texts"), numbers.alias("_numbers"), F.to_json(F.struct(*fields)).alias("raw"))
-    values = {f: F.col("_numbers")[i]["value"] for i, f in enumerate(amounts)} | {f: checked(f, F.col("_texts")[i])["value"] for i, f in enumerate(plain)}
-    if "mics" in fields:
-        values["mics"] = checked("mics", F.col("mics"))["value"]
-
-    # each array is named once in the errors: a filter on them, which Spark moves below the arrays, then computes each once more only
-    def text_error(t: Column, i: Column) -> Column:
-        found = F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("error"))
-        for k, f in reversed(list(enumerate(plain))):
-            found = F.when(i == k, F.struct(F.lit(fields.index(f)).alias("at"), checked(f, t)["error"].alias("error"))).otherwise(found)
-        return found
-
-    at = F.array(*[F.lit(fields.index(f)) for f in amounts])
-    found = [F.transform("_texts", text_error)] if plain else []
-    found += [F.transform("_numbers", lambda n, i: F.struct(F.get(at, i).alias("at"), n["error"].alias("error")))] if amounts else []
-    found += [F.array(F.struct(F.lit(fields.index("mics")).alias("at"), checked("mics", F.col("mics"))["error"].alias("error")))] if "mics" in fields else []
-    errors = F.transform(F.array_sort(F.filter(F.concat(*found), lambda e: e["error"].isNotNull())), lambda e: e["error"])
-    return first.select(*keep, *[values[f].alias(f) for f in fields], errors.alias("errors"), "raw")
+    text = {f: F.col(f).cast("string") for f in amounts}
+    first = df.select(
+        *keep, *[F.col("mics")] * ("mics" in fields), F.struct(*fields).alias("_raw"),
+        *[N.norm_text(F.col(f).cast("string")).alias(f"_{f}") for f in plain],
+        *[text[f].alias(f"_{f}") for f in amounts], *[text[f].try_cast(AMOUNT).alias(f"_plain_{f}") for f in amounts],
+    )
+    odd = {f: F.col(f"_{f}").isNotNull() & (F.col(f"_plain_{f}").isNull() | ((F.col(f"_plain_{f}") < 0) & F.lit(f in UNSIGNED))) for f in amounts}
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.when(odd[f], F.col(f"_{f}")).alias("text"), F.lit(f in UNSIGNED).alias("unsigned")) for f in amounts])
+    if amounts:
+        first = first.withColumn("_odd", F.when(reduce(lambda x, y: x | y, odd.values()), N.decimals(cells)))
+    number = {f: F.get("_odd", F.lit(i)) for i, f in enumerate(amounts)}
+    pairs = {f: checked(f, F.col("mics" if f == "mics" else f"_{f}")) for f in fields if f not in AMOUNTS}
+    values = {f: p["value"] for f, p in pairs.items()} | {f: F.when(odd[f], number[f]["value"]).otherwise(F.col(f"_plain_{f}")) for f in amounts}
+    errors = {f: p["error"] for f, p in pairs.items()} | {f: number[f]["error"] for f in amounts}
+    out = first.select(*keep, *[values[f].alias(f) for f in fields], *[errors[f].alias(f"_error_{f}") for f in fields], "_raw")
+    found = [F.col(f"_error_{f}") for f in fields]
+    bad = F.coalesce(*found).isNotNull()
+    none = F.array().cast("array<string>")
+    return out.select(*keep, *fields, F.when(bad, F.array_compact(F.array(*found))).otherwise(none).alias("errors"), F.when(bad, F.to_json("_raw")).alias("raw"))
+
+
+def _n_errors() -> Column:
+    """How many errors a row has. The task's number, which changes nothing, keeps Spark from moving a filter on it below the
+    validation, where all that the errors are made of would be computed, and compiled, once more."""
+    return F.size("errors") + F.lit(0) * F.spark_partition_id()
 
 
 def valid(df: DataFrame) -> DataFrame:
-    return df.filter(F.size("errors") == 0).drop("errors", "raw")
+    return df.filter(_n_errors() == 0).drop("errors", "raw")
 
 
 def rejected(df: DataFrame, keep: list[str]) -> DataFrame:
     """The quarantine: where each row stood, why, and what it was."""
-    return df.filter(F.size("errors") > 0).select(*keep, "errors", "raw")
+    return df.filter(_n_errors() > 0).select(*keep, "errors", "raw")
 
 
 def feed_quality(df: DataFrame, feed: str = "feed", key: str = "isin", needed: list[str] = ["isin", "name", "currency"]) -> DataFrame:  # noqa: B006

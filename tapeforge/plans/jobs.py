@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import canonical, enrich, fx, identify, merge, quality
 from ..sources import feeds, store
 from ..sources.lineage import stored
-from ..schemas import FIELDS
+from ..schemas import FEEDS, FIELDS
 
 PLACE = ["feed", "feed_rank", "row_ord"]
 
 
+class Watch:
+    """Figures of the stages of a job, counted while the job's own tables are written: no job of its own."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def stage(self, name: str, df: DataFrame, **counts: Column) -> DataFrame:
+        """df, whose rows, and those for which each condition holds, are counted once it is written."""
+        self._seen[name] = Observation()
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(n) for n, c in counts.items()])
+
+    def figures(self) -> dict[str, dict[str, int]]:
+        """By stage; waits for a stage that is still being written, so ask once the result has been written."""
+        return {name: seen.get for name, seen in self._seen.items()}
+
+
 @dataclass
 class Seeded:
     """What a seed job made."""
@@ -25,6 +41,17 @@ class Seeded:
     merged: DataFrame
     identified: DataFrame
     filled: DataFrame
+    watch: Watch
+
+    def figures(self) -> dict[str, dict[str, int]]:
+        """By stage, from one pass; ask once ``canonical`` has been written.
+
+        ``parse``: rows, valid ones, and skipped ones by feed; ``convert``: rows, and converted ones; ``identify``: rows with an identifier, and
+        those without; ``merge``: securities, and those with a missing field; ``enrich``: securities, and enriched ones; ``canonical``: records.
+        """
+        out = self.watch.figures()
+        out["identify"]["n_unidentified"] = out["convert"]["n_rows"] - out["identify"]["n_rows"]
+        return out
 
 
 def parse(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,19 +65,29 @@ def listings(raw: DataFrame, rates: DataFrame, responses: DataFrame, on_missing_
     return identify.identify(fx.to_usd(parse(raw)[0], rates, on_missing_rate=on_missing_rate), responses).select(*PLACE, *FIELDS)
 
 
-def seed(raw: DataFrame, rates: DataFrame, responses: DataFrame, quotes: DataFrame | None = None, summaries: DataFrame | None = None, known: DataFrame | None = None) -> Seeded:
+def seed(raw: DataFrame, rates: DataFrame, responses: DataFrame, quotes: DataFrame | None = None, summaries: DataFrame | None = None, known: DataFrame | None = None, **more) -> Seeded:
     """Raw listings to canonical records: conversion goes before the merge, so that medians are in dollars.
 
-    Listings in dollars and, where there is enrichment, merged rows are written before they are read more than once.
+    Validated listings, listings in dollars and, where there is enrichment, merged rows are written before they are read more than once.
+    ``more``: what else :func:`enrich.enrich` takes.
     """
-    valid, rejected = parse(raw)
+    watch = Watch()
+    bad = F.size("errors") > 0
+    skipped = {f"skipped_{f}": bad & (F.col("feed") == f) for f in FEEDS}
+    checked = stored(watch.stage("parse", quality.validate(raw, PLACE), n_valid=~bad, **skipped, skipped_others=bad & ~F.coalesce(F.col("feed").isin(*FEEDS), F.lit(False))))
+    valid, rejected = quality.valid(checked), quality.rejected(checked, PLACE)
+    valid = watch.stage("convert", valid, n_converted=~fx.skips_conversion(["last_price", "market_cap"]))
     dollars = stored(fx.to_usd(valid, rates))
     found = identify.identify(dollars, responses).select(*PLACE, *FIELDS)
-    merged = merge.merge_listings(found)
+    merged = merge.merge_listings(watch.stage("identify", found))
+    gaps = enrich.missing_fields()
+    merged = watch.stage("merge", merged, n_incomplete=gaps)
+    full = merged
     if quotes is not None:
         merged = stored(merged)
-    full = merged if quotes is None else enrich.enrich(merged, quotes, summaries, rates, known)
-    return Seeded(canonical.canonicalise(full), rejected, identify.unidentified(dollars, responses), merged, found, full)
+        full = watch.stage("enrich", enrich.enrich(merged, quotes, summaries, rates, known, found="_enriched", **more), n_enriched=F.col("_enriched"), n_incomplete=gaps).drop("_enriched")
+    made = watch.stage("canonical", canonical.canonicalise(full))
+    return Seeded(made, rejected, identify.unidentified(dollars, responses), merged, found, full, watch)
 
 
 def stage_figures(made: Seeded, key: str = "share_class_figi") -> DataFrame:
@@ -69,11 +106,16 @@ def stage_figures(made: Seeded, key: str = "share_class_figi") -> DataFrame:
     return out
 
 
-def seed_to(spark: SparkSession, paths: dict[str, str], rates: DataFrame, responses: DataFrame, table: str, quarantine: str, **more) -> None:
-    """From landed pages to the published table; rejected rows are written beside it."""
-    made = seed(feeds.union_feeds(spark, paths), rates, responses, **more)
+def seed_to(spark: SparkSession, paths: dict[str, str], rates: DataFrame, responses: DataFrame, table: str, quarantine: str, strict: bool = False, after_broken: str = "stop", **more) -> dict[str, dict]:
+    """From landed pages to the published table; rejected rows are written beside it. Returns the figures of all stages and feeds.
+
+    A broken page costs its feed what comes after it, or with ``after_broken='skip'`` that page only; with ``strict`` it ends the job.
+    """
+    reports: dict[str, feeds.FeedReport] = {}
+    made = seed(feeds.union_feeds(spark, paths, strict, after_broken, reports), rates, responses, **more)
     made.rejected.write.mode("overwrite").parquet(quarantine)
     store.upsert_canonical(made.canonical, table)
+    return made.figures() | {"feeds": {feed: asdict(r) for feed, r in reports.items()}}
 
 
 def export(spark: SparkSession, table: str, files: str) -> None:

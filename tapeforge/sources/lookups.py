@@ -49,9 +49,27 @@ def flatten_modules(modules: list[Column]) -> Column:
     return out
 
 
-def read_quote_summary(spark: SparkSession, path: str, modules: list[str]) -> DataFrame:
-    """symbol and the flattened map m of a quote's modules, from lines of {symbol, quoteSummary: {result: [{module: {...}}]}}."""
-    schema = "symbol string, quoteSummary struct<result:array<map<string,map<string,string>>>>"
+#: The statuses of a refused answer, for which the flat record is asked.
+REFUSED = (401, 500, 502)
+
+
+def read_quote_summary(spark: SparkSession, path: str, modules: list[str], keep_refused: bool = False) -> DataFrame:
+    """symbol and the flattened map m of a quote's modules, from lines of {symbol, status, quoteSummary: {result: [{module: {...}}]}}.
+
+    An answer without results gives nothing. With ``keep_refused`` a line with a refusing status, or with neither status nor answer, is a
+    row with an empty map whose column ``refused`` is true.
+    """
+    schema = "symbol string, status int, quoteSummary struct<result:array<map<string,map<string,string>>>>"
     raw = spark.read.schema(schema).json(path)
     first = F.get(F.col("quoteSummary.result"), F.lit(0))
-    return raw.select("symbol", flatten_modules([F.try_element_at(first, F.lit(m)) for m in modules]).alias("m"))
+    refused = F.coalesce(F.col("status").isin(*REFUSED), F.col("quoteSummary").isNull())
+    rows = raw.select("symbol", (refused & first.isNull()).alias("refused"), first.alias("first"), flatten_modules([F.try_element_at(first, F.lit(m)) for m in modules]).alias("m"))
+    if keep_refused:
+        return rows.filter("refused or first is not null").drop("first")
+    return rows.filter("first is not null").drop("first", "refused")
+
+
+def read_flat_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """symbol and the map m of the first flat record, from lines of {symbol, quoteResponse: {result: [{...}]}}; answers without one give nothing."""
+    raw = spark.read.schema("symbol string, quoteResponse struct<result:array<map<string,string>>>").json(path)
+    return raw.select("symbol", F.get(F.col("quoteResponse.result"), F.lit(0)).alias("m")).filter("m is not null")

@@ -238,14 +238,60 @@ def test_order_of_pages(spark, tmp_path):
     assert len({r["row_ord"] for r in rows}) == 8
 
 
-def test_feed_that_fails_while_read_is_left_out(spark, tmp_path, caplog):
-    sec = write(tmp_path / "s" / "1.json", {"data": [[1, "Foo Inc", "FOO", "Nasdaq"]]})
-    bad = write(tmp_path / "l" / "1.json", {})
-    (tmp_path / "l" / "2.json.gz").write_bytes(b"no gzip")
-    with pytest.raises(Exception):
-        feeds.union_feeds(spark, {"sec": sec, "lse": bad}).collect()
-    assert [r["symbol"] for r in feeds.union_feeds(spark, {"sec": sec, "lse": bad}, strict=False).collect()] == ["FOO"]
-    assert "lse can't be read" in caplog.text
+def sec_page(*rows):
+    return {"data": [[i, f"Foo {i}", f"S{i}", "Nasdaq"] for i in rows]}
+
+
+@pytest.mark.parametrize("bad", [b"no gzip", b'{"data": [[1, "cut", "off"', b'{"data": "other"}', b""])
+def test_a_broken_page_costs_that_page(spark, tmp_path, caplog, bad):
+    """Of three pages the second is broken: the first is what the feed gave before, the third comes by option."""
+    sec = write(tmp_path / "s" / "1.json", sec_page(1, 2))
+    (tmp_path / "s" / ("2.json.gz" if bad == b"no gzip" else "2.json")).write_bytes(bad)
+    write(tmp_path / "s" / "3.json", sec_page(2, 3))
+    xetra = write(tmp_path / "x" / "1.json", {"data": []})
+    reports = {}
+    symbols = lambda **how: sorted(r["symbol"] for r in feeds.union_feeds(spark, {"sec": sec, "xetra": xetra, "lse": str(tmp_path / "none")}, strict=False, reports=reports, **how).collect())
+    assert symbols() == ["S1", "S2"]
+    assert reports["sec"] == feeds.FeedReport(3, 1, 2) and reports["xetra"] == feeds.FeedReport(1, 0, 0) and reports["lse"].failure
+    assert symbols(after_broken="skip") == ["S1", "S2", "S3"] and reports["sec"] == feeds.FeedReport(3, 1, 1)
+    assert "feed sec: 1 of 3 pages can't be read, 2 are left out" in caplog.text and "/2.json" in caplog.text and "feed lse can't be read" in caplog.text
+    if bad:
+        with pytest.raises(Exception):
+            feeds.union_feeds(spark, {"sec": sec}).collect()
+    with pytest.raises(ValueError):
+        symbols(after_broken="other")
+
+
+def test_pages_of_one_number_stand_by_name(spark, tmp_path):
+    for name in ("b-1", "a-1", "c-0"):
+        path = write(tmp_path / "s" / f"{name}.json", {"data": [[1, name, "A", "NYSE"], [2, name, "B", "NYSE"]]})
+    rows = feeds.read_sec(spark, path).orderBy("row_ord").collect()
+    assert [r["name"] for r in rows] == ["c-0", "c-0", "a-1", "a-1", "b-1", "b-1"] and len({r["row_ord"] for r in rows}) == 6
+
+
+def test_seed_to_counts_while_it_writes(spark, tmp_path):
+    """From pages of which one is broken to the published table; figures equal counts of the results and take no job of their own."""
+    sec = write(tmp_path / "s" / "1.json", {"data": [[1, "Foo", "FOO", "Nasdaq"], [2, "Bar", "BAR", "NYSE"], [3, "Gone", "GONE", "NYSE"]]})
+    (tmp_path / "s" / "2.json").write_text("{")
+    item = {"name": {"originalValue": "Foo Corp"}, "wkn": "FOO", "overview": {"lastPrice": "50.00"}}
+    xetra = write(tmp_path / "x" / "1.json", {"data": [item, item | {"wkn": "BAD", "isin": "short"}, item | {"wkn": None, "isin": "US0378331005"}]})
+    rates = spark.createDataFrame([("EUR", "0.5")], "currency string, rate string")
+    answers = spark.createDataFrame([("TICKER", "FOO", "BBG001S5N8V8", "Foo Inc", "FOO", 0), ("TICKER", "BAR", "BBG001S5N8V9", "Bar", "BAR", 0)], "id_type string, id_value string, figi string, name string, ticker string, ord int")
+    quotes = spark.createDataFrame([("BAR", 0, "BAR", "Bar", None)], "query string, rank int, symbol string, longname string, shortname string")
+    summaries = spark.createDataFrame([("BAR", "Bar", "EUR", "100")], "symbol string, name string, currency string, market_cap string")
+    table, aside = str(tmp_path / "t"), str(tmp_path / "q")
+    got = jobs.seed_to(spark, {"sec": sec, "xetra": xetra}, rates, answers, table, aside, quotes=quotes, summaries=summaries)
+    assert got["feeds"]["sec"] == {"pages": 2, "broken": 1, "left_out": 1, "failure": None}
+    assert got["parse"] == {"n_rows": 6, "n_valid": 4, "skipped_euronext": 0, "skipped_xetra": 2, "skipped_lse": 0, "skipped_sec": 0, "skipped_others": 0}
+    assert got["parse"]["skipped_xetra"] == spark.read.parquet(aside).count()
+    assert got["convert"] == {"n_rows": 4, "n_converted": 1} and got["identify"] == {"n_rows": 3, "n_unidentified": 1}
+    assert got["merge"] == {"n_rows": 2, "n_incomplete": 2} and got["enrich"] == {"n_rows": 2, "n_enriched": 1, "n_incomplete": 2}
+    assert got["canonical"]["n_rows"] == store.load_canonical(spark, table).count() == 2
+    made = jobs.seed(feeds.union_feeds(spark, {"sec": sec, "xetra": xetra}, strict=False), rates, answers)
+    made.canonical.write.format("noop").mode("overwrite").save()
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert made.figures()["canonical"] == {"n_rows": 2}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs_before
 
 
 def test_landed_answers(spark, tmp_path):
@@ -287,6 +333,42 @@ def test_known_enrichment_goes_before_a_search(spark):
     assert out == {"A": ("KNOWN", None), "B": ("SEARCHED", 2)}
 
 
+def test_known_enrichment_ages(spark):
+    """Fresh, old and later snapshots: the newest fresh one is used, securities without one are searched anew."""
+    keys = [c * 12 for c in "ABCD"]
+    df = listings(spark, [{"share_class_figi": k, "isin": f"I{k[0]}"} for k in keys]).drop("feed", "feed_rank", "row_ord")
+    quotes = spark.createDataFrame([(f"I{k[0]}", 0, k[0], "N", None) for k in keys], "query string, rank int, symbol string, longname string, shortname string")
+    summaries = spark.createDataFrame([(k[0], "N", "searched") for k in keys], "symbol string, name string, sector string")
+    rates = spark.createDataFrame([("EUR", "0.5")], "currency string, rate string")
+    known = [("A" * 12, "NEWER", 5000), ("A" * 12, "OLDER", 4000), ("A" * 12, "FUTURE", 7000), ("B" * 12, "OLD", 2399), ("C" * 12, "EDGE", 2400)]
+    known = spark.createDataFrame(known, "share_class_figi string, sector string, fetched_at long")
+    sectors = lambda ttl: {r["share_class_figi"][0]: r["sector"] for r in enrich.enrich(df, quotes, summaries, rates, known, now=F.lit(6000), ttl_minutes=ttl).collect()}
+    assert sectors(60) == {"A": "NEWER", "B": "SEARCHED", "C": "EDGE", "D": "SEARCHED"}
+    assert sectors(0) == {"A": "NEWER", "B": "OLD", "C": "EDGE", "D": "SEARCHED"}
+    for bad in ({"now": F.lit(1), "ttl_minutes": -1}, {}):
+        with pytest.raises(ValueError):
+            enrich.enrich(df, quotes, summaries, rates, known, **bad)
+
+
+def test_refused_summaries_fall_back_to_flat_records(spark, tmp_path):
+    """Modules go first; a refused answer gives the flat record, an empty answer and one that came too often nothing."""
+    own = {"shortName": "N", "symbol": "S"}
+    lines = [{"symbol": "A", "quoteSummary": {"result": [{"price": {"sector": "modules", **own}}]}}, {"symbol": "B", "status": 500}, {"symbol": "C", "status": 200, "quoteSummary": {"result": []}}]
+    lines += [{"symbol": "D", "status": 429}, {"symbol": "E"}, {"symbol": "F", "status": 401}, {"symbol": "F", "status": 200, "quoteSummary": {"result": [{"price": {"sector": "later", **own}}]}}, {"symbol": "G", "status": 502}]
+    flat = [{"symbol": s, "quoteResponse": {"result": [{"sector": f"flat {s}", "marketCap": 7, **own}, {"sector": "second"}]}} for s in "ABCDEF"] + [{"symbol": "G", "quoteResponse": {"result": []}}]
+    for name, rows in (("summary", lines), ("flat", flat)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "1.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    summaries = enrich.quote_fields(lookups.read_quote_summary(spark, str(tmp_path / "summary"), ["price"], keep_refused=True))
+    records = enrich.quote_fields(lookups.read_flat_quotes(spark, str(tmp_path / "flat")))
+    assert sorted(r["symbol"] for r in lookups.read_quote_summary(spark, str(tmp_path / "summary"), ["price"]).collect()) == ["A", "F"]
+    df = listings(spark, [{"share_class_figi": s * 12, "isin": f"I{s}"} for s in "ABCDEFG"]).drop("feed", "feed_rank", "row_ord")
+    quotes = spark.createDataFrame([(f"I{s}", 0, s, "N", None) for s in "ABCDEFG"], "query string, rank int, symbol string, longname string, shortname string")
+    rates = spark.createDataFrame([("EUR", "0.5")], "currency string, rate string")
+    sectors = {r["share_class_figi"][0]: r["sector"] for r in enrich.enrich(df, quotes, summaries, rates, flat=records).collect()}
+    assert sectors == {"A": "MODULES", "B": "FLAT B", "C": None, "D": None, "E": "FLAT E", "F": "LATER", "G": None}
+
+
 def test_contradictory_rates_are_an_error(spark):
     df = spark.createDataFrame([("EUR", 2)], "currency string, last_price int").withColumn("market_cap", F.lit(None).cast("int"))
     rates = spark.createDataFrame([("EUR", "0.5"), ("EUR", "0.5")], "currency string, rate string")
