@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import LEAST, candidate_scores
+from ..functions.similarity import LEAST, MISSING_NAME, candidate_score, common, outlined, ratio_bound, shared, weighted_bound
 from ..schemas import FIELDS
 from ..sources.lineage import stored
 from . import fx, quality
@@ -52,25 +52,56 @@ def _decided(found: DataFrame) -> DataFrame:
     return found.groupBy("query").agg(F.when(F.count("*") == 1, F.min("symbol")).alias("only"), *named)
 
 
+#: What a bound of a score is raised by, for the rounding of either.
+_SLACK = 1e-6
+
+
+def _best_scored(able: DataFrame, attempt: list[str]) -> DataFrame:
+    """attempt and quote: the candidate of the best exact score, if that fits; of equals the first.
+
+    The candidate of the greatest bound of an attempt is scored first; then only those are whose bound reaches that score.
+    """
+    score = candidate_score("quote", "symbol", "theirs", "name").alias("score")
+    lead = able.groupBy(*attempt).agg(F.min_by(F.struct("quote", "symbol", "theirs", "name", "place"), F.struct((-F.col("bound")).alias("b"), "place")).alias("x"))
+    lead = stored(lead.select(*attempt, "x.*").withColumn("score", score).select(*attempt, "quote", "place", "score"))
+    first = lead.select(*attempt, F.col("score").alias("least"), F.col("place").alias("led"))
+    rest = able.join(first, attempt).filter((F.col("bound") >= F.col("least")) & ~F.col("place").eqNullSafe(F.col("led")))
+    scored = lead.unionByName(rest.withColumn("score", score).select(*attempt, "quote", "place", "score"))
+    best = scored.groupBy(*attempt).agg(F.min_by(F.struct("quote", "score"), F.struct((-F.col("score")).alias("s"), "place")).alias("x"))
+    return best.filter(F.col("x.score") >= LEAST).select(*attempt, F.col("x.quote").alias("quote"))
+
+
 def chosen_quotes(tried: DataFrame, quotes: DataFrame, key: str = "share_class_figi") -> DataFrame:
     """key, rung, quote: the best candidate of each attempt that has one. ``quotes``: query, rank, symbol, longname, shortname.
 
     As :func:`best_candidate`, with a row for each attempt and candidate: the best score is an aggregate, and no row holds
-    a query's quotes. Where the quotes alone decide nothing is scored.
+    a query's quotes. Where the quotes alone decide nothing is scored; else bounds of the scores, of DataFrame functions, say which
+    candidates may win at all, and short names are looked at only for attempts that no long name fits.
     """
     found = viable(quotes).select("query", "rank", F.col("symbol").alias("quote"), "longname", "shortname")
     known = tried.join(_decided(found.withColumnRenamed("quote", "symbol")), "query")
     first = F.coalesce("only", "long", F.when(~F.col("has_long"), F.col("short")))
     alone = known.filter(first.isNotNull()).select(key, "rung", first.alias("quote"))
-    pairs = known.filter(first.isNull()).join(found, "query")
-    scored = pairs.withColumn("s", candidate_scores("quote", "longname", "shortname", "name", "symbol"))
-    place = F.struct("rank", "quote", "longname", "shortname")
-    best = [F.min_by(F.struct("quote", F.col(f"s.{c}").alias("score")), F.struct((-F.col(f"s.{c}")).alias("score"), place.alias("place"))).alias(c) for c in ("long", "short")]
-    scored = scored.withColumnRenamed("short", "one_short").drop("long")
-    each = scored.groupBy(key, "rung", "query", "name", "symbol").agg(F.first("one_short").alias("one_short"), F.first("has_long").alias("has_long"), F.first("has_short").alias("has_short"), *best)
-    fits = lambda c: F.when(F.col(f"has_{c}") & (F.col(f"{c}.score") >= LEAST), F.col(f"{c}.quote"))
-    out = each.select(key, "rung", F.coalesce(fits("long"), "one_short", fits("short")).alias("quote"))
-    return alone.unionByName(out).filter("quote is not null")
+    attempt = [key, "rung"]
+    open_ = known.filter(first.isNull()).select(key, "rung", "query", "name", "symbol", "has_long", "has_short", F.col("short").alias("one_short"))
+    drawn = outlined(open_, _name=F.coalesce("name", F.lit("")), _symbol=F.coalesce("symbol", F.lit("")))
+    # a row for each kind of name: one bound's generated code is short enough to be compiled, that of two isn't
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}name").alias("theirs")) for k in ("long", "short")])).alias("x")
+    named = found.select("*", kinds).select(*found.columns, "x.*")
+    # each quote makes as many pairs as it is searched for: dealt out evenly, and not drawn together again for being small, they are no few tasks' work
+    tasks = int(tried.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = drawn.join(outlined(named.repartition(tasks, "query", "rank"), _quote=F.col("quote"), _theirs=F.coalesce("theirs", F.lit(MISSING_NAME))), "query")
+    pairs = pairs.filter(F.when(F.col("kind") == "long", F.col("has_long")).otherwise(F.col("has_short")))
+    pairs = pairs.withColumns({"_like": common(F.col("_quote"), F.col("_symbol")), "_m": common(F.col("_theirs"), F.col("_name")), "_w": shared(F.col("_theirs"), F.col("_name"))})
+    bound = ratio_bound(F.col("_quote"), F.col("_symbol"), F.col("_like")) + weighted_bound(F.col("_theirs"), F.col("_name"), F.col("_m"), F.col("_w")) + _SLACK
+    pairs = pairs.select(*attempt, "kind", "name", "symbol", "quote", "theirs", "one_short", F.struct("rank", "quote", "longname", "shortname").alias("place"), bound.alias("bound"))
+    # the task's number changes nothing, but keeps Spark from moving the filter into the join with all that the bound is made of
+    pairs = stored(pairs.filter(F.col("bound") + F.lit(0) * F.spark_partition_id() >= LEAST))
+    by_long = stored(_best_scored(pairs.filter("kind = 'long'"), attempt))
+    left = open_.select(*attempt, "one_short").join(by_long.select(*attempt), attempt, "left_anti")
+    by_one = left.filter("one_short is not null").select(*attempt, F.col("one_short").alias("quote"))
+    by_short = _best_scored(stored(pairs.filter("kind = 'short' and one_short is null").join(by_long.select(*attempt), attempt, "left_anti")), attempt)
+    return alone.unionByName(by_long).unionByName(by_one).unionByName(by_short)
 
 
 def cascade(chosen: DataFrame, summaries: DataFrame, key: str = "share_class_figi") -> DataFrame:
