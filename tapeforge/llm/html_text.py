@@ -10,7 +10,11 @@ and the last one stays, and what is mostly links goes. Short lines inside a regi
 Left out before are only elements whose tag says so (scripts, forms, menus, footers, asides, headers outside an article)
 and those whose class, id or role says nothing else (:func:`marked`: ``ad`` or ``site-header``, not ``ad-hoc`` or
 ``related-work``). Such a name doesn't count where the ratios disagree: where the element holds nearly all
-selected text (HOLDS) of a page without an article or main, unless it says comments.
+selected text (HOLDS) of a page without an article or main, unless it says comments. A form or nav that holds nearly all
+of a page's text (a body in one form, a nav that was never closed) is judged like such a name too.
+
+Elements may be nested as deep as a page likes, and a declaration that is none ends where browsers let it end: time grows with the
+page, and no page ends the job.
 
 Defined results: null or empty html gives an empty text. White space inside a block is one space, blocks are joined by a
 newline, nothing else is dropped or cut off. Unclosed and stray tags are allowed. Repeated rows get equal texts.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,6 +46,8 @@ SPACED = frozenset("br td th img".split())
 APART = frozenset(
     "head title script style noscript template nav footer aside form menu dialog select option textarea input iframe object svg canvas audio video".split()
 )
+#: Of these the ones that may hold a whole page: by mistake, where one isn't closed, or by an old habit.
+WRAPPING = frozenset("form nav".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset("article main section div td body html".split())
 LAYOUT = frozenset("page html body".split())
@@ -65,6 +72,8 @@ SIGMA = 2.0
 #: The clusters count as two where the mean of one is this many times that of the other.
 APART_BY = 2.0
 HOLDS = 0.9
+#: Characters outside links from which a form or nav with HOLDS of all text is taken for the page's wrapper.
+WRAPPED = 200
 
 
 @functools.lru_cache(1 << 16)
@@ -94,23 +103,31 @@ class Line:
 class Lines(HTMLParser):
     """The lines of a page; ``open`` is the line that further text joins."""
 
-    def __init__(self):
+    def __init__(self, wrapping: bool = False):
+        """``wrapping``: forms and navs are judged by the ratios, as elements with such names are."""
         super().__init__(convert_charrefs=True)
+        self.wrapping = wrapping
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, tuple[int, ...]]] = []  # element, whether a tag leaves it out, the marked elements around
+        self.stack: list[tuple[str, int, tuple[int, ...]]] = []  # element, 1 within a form or nav and 2 within others of APART, the marked elements around
+        self.many: Counter[str] = Counter()  # open elements by name
+        self.headings: list[str] = []  # open ones
         self.regions: list[tuple[str, int]] = [("page", -1)]  # (element, outer region)
+        self.named = [False]  # whether a region is in an article or main
         self.marked: list[str] = []  # what each marked element says
         self.inside = [0]
         self.open: Line | None = None
+        self.lost = 0  # characters outside links that a form or nav alone leaves out
 
-    def _apart(self) -> bool:
-        return bool(self.stack) and self.stack[-1][1]
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A declaration of no known kind ends at the next sign of its end, as browsers read it; the parser gives up at some."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return len(self.rawdata) if end < 0 else end + 1
 
-    def named(self, region: int) -> bool:
-        """Whether the region is in an article or main."""
-        while region > 0 and self.regions[region][0] not in ("article", "main"):
-            region = self.regions[region][1]
-        return region > 0
+    def _apart(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
 
     def _says(self, tag: str, attrs: list) -> str:
         """What the names of an element say; a heading's are made of its own text."""
@@ -122,7 +139,7 @@ class Lines(HTMLParser):
                 out = max(out, marked(v))  # comments goes before apart by its order
             elif v and k == "role" and v.lower() in APART_ROLES:
                 out = out or "apart"
-        if tag == "header" and not any(t in ("article", "main") for t, *_ in self.stack):
+        if tag == "header" and not self.many["article"] and not self.many["main"] or tag in WRAPPING:
             out = out or "apart"
         return "" if tag == "article" and out == "apart" else out
 
@@ -130,24 +147,30 @@ class Lines(HTMLParser):
         if tag in VOID:
             self._void(tag)
             return
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and self.many["p"]:
             for k in range(len(self.stack) - 1, -1, -1):
                 if self.stack[k][0] == "p":
                     self._close(k)
                     break
                 if self.stack[k][0] in BLOCK:
                     break
-        apart, marks = self.stack[-1][1:] if self.stack else (False, ())
+        apart, marks = self.stack[-1][1:] if self.stack else (0, ())
         if tag in ("article", "main") and not any(self.marked[m] == "comments" for m in marks):
             marks = ()  # an advert or notice that was never closed, or a wrapper
+        if apart < 2:
+            own = 0 if tag not in APART else 2 if tag not in WRAPPING else 0 if self.wrapping else 1
+            apart = max(apart, own, 2 * any(k == "hidden" for k, _ in attrs))
         if not apart:
-            apart = tag in APART or any(k == "hidden" for k, _ in attrs)
-            if says := self._says(tag, attrs) if attrs or tag == "header" else "":
+            if says := self._says(tag, attrs) if attrs or tag == "header" or tag in WRAPPING else "":
                 marks = (*marks, len(self.marked))
                 self.marked.append(says)
         self.stack.append((tag, apart, marks))
+        self.many[tag] += 1
+        if tag in HEADINGS:
+            self.headings.append(tag)
         if tag in REGIONS:
             self.regions.append((tag, self.inside[-1]))
+            self.named.append(self.named[self.inside[-1]] or tag in ("article", "main"))
             self.inside.append(len(self.regions) - 1)
         if tag in BLOCK:
             self.open = None
@@ -170,14 +193,18 @@ class Lines(HTMLParser):
         self._count()
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self._close(k)
-                break
+        if self.many[tag]:
+            k = len(self.stack) - 1
+            while self.stack[k][0] != tag:
+                k -= 1
+            self._close(k)
         self._count()
 
     def _close(self, k: int) -> None:
         for tag, *_ in self.stack[k:]:
+            self.many[tag] -= 1
+            if tag in HEADINGS:
+                self.headings.pop()
             if tag in REGIONS:
                 self.inside.pop()
             if tag in BLOCK:
@@ -194,18 +221,19 @@ class Lines(HTMLParser):
         if self._apart():
             if not self.lines or not self.lines[-1].apart:
                 self.lines.append(Line([], self.inside[-1], True, (), ""))
+            if self._apart() == 1 and not self.many["a"]:
+                self.lost += len("".join(data.split()))
             return
         if self.open:
             self.open.pieces.append(data)
         elif data.strip():
             marks = self.stack[-1][2] if self.stack else ()
-            self.open = Line([data], self.inside[-1], False, marks, next((t for t, *_ in self.stack if t in HEADINGS), ""))
+            self.open = Line([data], self.inside[-1], False, marks, self.headings[0] if self.headings else "")
             self.lines.append(self.open)
         if self.open:
-            inner = {t for t, *_ in self.stack}
             size = len("".join(data.split()))
-            self.open.linked += size if "a" in inner else 0
-            self.open.pressed += size if "button" in inner else 0
+            self.open.linked += size if self.many["a"] else 0
+            self.open.pressed += size if self.many["button"] else 0
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -263,28 +291,31 @@ def content(page: Lines, sizes: np.ndarray, out: np.ndarray, chosen: np.ndarray)
             k = page.regions[k][1]
         for inner in reversed(new):  # outer regions have been placed
             tallies[page.regions[inner][1]].parts.append((False, inner))
-        tallies[line.region].parts.append((True, i))
-        k = line.region
-        while k >= 0:
-            t = tallies[k]
-            if out[i]:
-                t.layout = True
-            else:
-                t.text += int(sizes[i])
-                t.chosen += int(sizes[i]) * bool(chosen[i])
-                t.linked += line.linked
-            k = page.regions[k][1]
+        t = tallies[line.region]
+        t.parts.append((True, i))
+        if out[i]:
+            t.layout = True
+        else:
+            t.text += int(sizes[i])
+            t.chosen += int(sizes[i]) * bool(chosen[i])
+            t.linked += line.linked
+    for k in range(len(tallies) - 1, 0, -1):  # an inner region has the greater number
+        t, around = tallies[k], tallies[page.regions[k][1]]
+        around.text, around.chosen, around.linked = around.text + t.text, around.chosen + t.chosen, around.linked + t.linked
+        around.layout = around.layout or t.layout
     keep = np.zeros(len(page.lines), bool)
 
     def mostly_links(linked: int, text: int) -> bool:
         return text > 0 and 2 * linked > text
 
     def whole(k: int) -> None:
-        for is_line, j in tallies[k].parts:
-            if is_line:
-                keep[j] = not out[j]
-            else:
-                whole(j)
+        inner = [k]
+        while inner:
+            for is_line, j in tallies[inner.pop()].parts:
+                if is_line:
+                    keep[j] = not out[j]
+                else:
+                    inner.append(j)
 
     def look(k: int) -> None:
         t, tag = tallies[k], page.regions[k][0]
@@ -305,11 +336,13 @@ def content(page: Lines, sizes: np.ndarray, out: np.ndarray, chosen: np.ndarray)
                 title = bool(page.lines[j].heading) and at <= last
                 keep[j] = not out[j] and (bool(chosen[j]) or first < at < last or title) and not mostly_links(page.lines[j].linked, int(sizes[j]))
             elif holds[at]:
-                look(j)
+                waiting.append(j)
             elif first < at < last and not mostly_links(tallies[j].linked, tallies[j].text):
                 whole(j)
 
-    look(0)
+    waiting = [0]  # regions may be nested as deep as a page likes
+    while waiting:
+        look(waiting.pop())
     return keep
 
 
@@ -317,9 +350,21 @@ def extract(html: str | None) -> str:
     """The main text of a page."""
     if not html:
         return ""
-    page = Lines()
+    page = parsed(html)
+    kept = _extracted(page)
+    if page.lost >= WRAPPED and page.lost > HOLDS * (page.lost + len("".join(kept.split()))):
+        return _extracted(parsed(html, wrapping=True))
+    return kept
+
+
+def parsed(html: str, wrapping: bool = False) -> Lines:
+    page = Lines(wrapping)
     page.feed(html)
     page.close()
+    return page
+
+
+def _extracted(page: Lines) -> str:
     if not page.lines:
         return ""
     texts = [" ".join("".join(x.pieces).split()) for x in page.lines]
@@ -334,7 +379,7 @@ def extract(html: str | None) -> str:
         for x, n, c in zip(page.lines, sizes, first, strict=True):
             for m in x.marks:
                 held[m] += n * c
-            named = named or bool(c) and not x.marks and page.named(x.region)
+            named = named or bool(c) and not x.marks and page.named[x.region]
         counts = [says == "comments" or named or held[m] <= HOLDS * (sizes * first).sum() for m, says in enumerate(page.marked)]
         out |= np.array([any(counts[m] for m in x.marks) for x in page.lines])
     sizes = np.where(out, 0, sizes)
