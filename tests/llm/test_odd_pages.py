@@ -30,7 +30,7 @@ def test_the_article_stays(page):
     assert html_text.extract(page) == WANT
 
 
-@pytest.mark.parametrize("page", ["<body><form><label>Search this site</label><input></form></body>", f"<body><nav>{MENU}</nav></body>", "<![", "<!", "<![CDATA["])
+@pytest.mark.parametrize("page", ["<body><form><label>Search this site</label><input></form></body>", f"<body><nav>{MENU}</nav></body>", "<![", "<!"])
 def test_what_is_no_article_goes(page):
     assert html_text.extract(page) in ("", "<![", "<!")
 
