@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.lineage import stored
+
 
 def _keys(keys: str | list[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -25,18 +27,62 @@ def mode_first_seen(df: DataFrame, keys: str | list[str], value: str, order: str
     return counts.groupBy(*keys).agg(best.alias(out or value))
 
 
+#: Distinct values of a key that one task orders, and the parts that the range of a key with more is cut into each round.
+ORDERED, PARTS = 1 << 16, 1 << 10
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_of_{k}"]) for k in keys])
+
+
+def _within(counts: DataFrame, targets: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The counted values in the range of each target of their key."""
+    named = targets.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_rank", "_before", "_low", "_high")
+    return counts.join(named, _same(counts, named, keys) & counts[value].between(named["_low"], named["_high"]))
+
+
+def narrowed(counts: DataFrame, hot: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, _rank, _before, _low, _high, _values: for both middle ranks of each key the range of at most ORDERED values that holds it.
+
+    A round cuts each range into PARTS of equal width, counts them, and keeps the part with the rank, so a range of 2 ** 107 steps, the
+    widest that amounts have, is down to one in eleven rounds. Counts are summed before they are shuffled, and no task sees a key whole.
+    """
+    ranks = F.explode(F.array_distinct(F.array(F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)))).alias("_rank")
+    targets = stored(hot.select(*keys, ranks, F.lit(0).cast("long").alias("_before"), "_low", "_high", "_values"))
+    while (targets.agg(F.max("_values")).first()[0] or 0) > ORDERED:
+        wide = F.nullif((F.col("_high") - F.col("_low")).cast("double"), F.lit(0.0))
+        part = F.floor(F.coalesce((F.col(value) - F.col("_low")).cast("double") / wide * PARTS, F.lit(0.0))).alias("_part")
+        own = _within(counts, targets, keys, value).groupBy(*keys, "_rank", part).agg(F.first("_before").alias("_before"), F.sum("_n").alias("_n"), F.count("*").alias("_values"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+        seen = F.sum("_n").over(Window.partitionBy(*keys, "_rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))  # over PARTS rows
+        found = own.withColumn("_seen", F.col("_before") + seen).filter((F.col("_seen") > F.col("_rank")) & (F.col("_seen") - F.col("_n") <= F.col("_rank")))
+        targets = stored(found.select(*keys, "_rank", (F.col("_seen") - F.col("_n")).alias("_before"), "_low", "_high", "_values"))
+    return targets
+
+
 def median_exact(df: DataFrame, keys: str | list[str], value: str, out: str | None = None) -> DataFrame:
     """The exact decimal median by key; of an even number the mean of the middle two. Nulls don't count.
 
-    Values are counted by (key, value); running counts say which distinct values stand in the middle.
+    Values are counted by (key, value); running counts say which distinct values stand in the middle. A key with more than ORDERED
+    distinct values is narrowed down by counts of parts of its range first.
     """
     keys = _keys(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")))
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.count("*").alias("_values"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+    hot = stored(totals.filter(F.col("_values") > ORDERED))
     w = Window.partitionBy(*keys)
     seen = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("_seen", seen).withColumn("_all", F.sum("_n").over(w))
+    few, many = counts, not hot.isEmpty()
+    if many:
+        named = hot.select(*[F.col(k).alias(f"_of_{k}") for k in keys])
+        few = counts.join(named, _same(counts, named, keys), "left_anti")
+    ranked = few.withColumn("_seen", seen).withColumn("_all", F.sum("_n").over(w))
     low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
-    middle = ranked.filter((F.col("_seen") > low) & (F.col("_seen") - F.col("_n") <= high))
+    middle = ranked.filter((F.col("_seen") > low) & (F.col("_seen") - F.col("_n") <= high)).select(*keys, value)
+    if many:
+        left = _within(counts, narrowed(counts, hot, keys, value), keys, value)
+        seen = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_rank").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        found = left.withColumn("_seen", seen).filter((F.col("_seen") > F.col("_rank")) & (F.col("_seen") - F.col("_n") <= F.col("_rank")))
+        middle = middle.unionByName(found.select(*keys, value))
     return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(out or value))
 
 

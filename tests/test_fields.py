@@ -119,3 +119,27 @@ def quote(symbol, longname=None, shortname=None):
 )
 def test_choice_of_quotes(quotes, name, symbol, chosen):
     assert best_candidate(quotes, name, symbol) == chosen
+
+
+@pytest.mark.parametrize(
+    "cell, expected",
+    [
+        ("<div>USD <span>1234.56</span></div>", ("USD", "1234.56")),
+        ("<td>EUR\n<span class='x'>1.234,5</span>", ("EUR", "1.234,5")),
+        ("<a>ABC</a><b>GBP<span>7</span><i>JPY<span>8</span>", ("GBP", "7")),
+        ("USD <span>1</span>", ("", "")),
+        ("<div>USDX <span>1</span>", ("", "")),
+        ("<div> USD <span>1</span>", ("", "")),
+        ("<div>usd <span>1</span>", ("", "")),
+        ("<div>USD <span></span>", ("", "")),
+        ("<div>USD <span>-</span>", ("", "")),
+        ("<div>USD <span>1", ("", "")),
+        ("<div>USD <b>1</b>", ("", "")),
+        ("", ("", "")),
+    ],
+)
+def test_price_of_a_cell(spark, cell, expected):
+    from tapeforge.functions import normalise
+
+    row = spark.createDataFrame([(cell,)], "c string").select(*normalise.html_price(F.col("c"))).first()
+    assert tuple(row) == expected
