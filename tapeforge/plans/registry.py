@@ -411,6 +411,31 @@ def quote_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_cascade(_read(spark, sf_dir, "part"))
 
 
+_SECONDS = "floor(epoch(ts))::bigint"
+
+
+@query(f"""with newest as (select max({_SECONDS}) as now from events), asked as (select c_custkey % 200 as k, max(now - c_custkey % 5 * 86400) as now from customer, newest group by 1)
+select user_id, event_id, event_type from events join asked on user_id = k and now - {_SECONDS} between 0 and 60 * 2880
+qualify row_number() over (partition by user_id order by {_SECONDS} desc, event_id desc) = 1""")
+def reuse_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each user that is asked for the newest snapshot that is at most two days old when it is asked for."""
+    seconds = F.datediff("ts", F.lit("1970-01-01")).cast("long") * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    known = _read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", seconds.alias("fetched_at"))
+    newest = known.agg(F.max("fetched_at").alias("newest"))
+    asked = _read(spark, sf_dir, "customer").select((F.col("c_custkey") % 200).alias("user_id"), F.col("c_custkey")).crossJoin(F.broadcast(newest))  # a single row is joined
+    return enrich.reusable(asked, known, "user_id", F.col("newest") - F.col("c_custkey") % 5 * 86400, 2880).select("user_id", "event_id", "event_type")
+
+
+@query("""with s as (select 'P' || p_partkey % 300 as symbol, p_type as sector, p_size % 4 = 0 as refused from part)
+select symbol, sector from s where not refused
+union all select 'P' || s_suppkey, s_name from supplier where 'P' || s_suppkey in (select symbol from s where refused) and 'P' || s_suppkey not in (select symbol from s where not refused)""")
+def flat_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answered summaries, and flat records of the symbols of which every answer was refused."""
+    symbol = lambda k: F.concat(F.lit("P"), k.cast("string")).alias("symbol")
+    summaries = _read(spark, sf_dir, "part").select(symbol(F.col("p_partkey") % 300), F.col("p_type").alias("sector"), (F.col("p_size") % 4 == 0).alias("refused"))
+    return enrich.answered(summaries, _read(spark, sf_dir, "supplier").select(symbol(F.col("s_suppkey")), F.col("s_name").alias("sector")))
+
+
 def _order_listings(spark: SparkSession, sf_dir: str, keys: int | None = None) -> DataFrame:
     """Orders as listings of their customer, or of one of a few keys."""
     rows = _listed_orders(spark, sf_dir)
