@@ -23,6 +23,7 @@ replaced alike; a column n_entities of the input is replaced; all other columns
 from __future__ import annotations
 
 import hashlib
+import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,12 +165,17 @@ def _letters(text: Column, digits: Column, hexadecimal: Column, keep: Column) ->
         new = new.otherwise(low)
         return F.when((c == F.upper(c)) & (c != low), F.upper(new)).otherwise(new)
 
-    def one(c: Column, i: Column) -> Column:
-        before = F.char_length(F.regexp_replace(F.substring(text, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
-        other = _let(before, lambda n: F.when(n < keep, c).otherwise(_let(F.struct(_byte(digits, n).alias("byte"), F.lower(c).alias("low")), lambda x: changed(c, x))))
-        return F.when(c.rlike(r"[\p{L}\p{N}]"), other).otherwise(c)
+    def one(x: Column, n: Column) -> Column:
+        other = _let(F.struct(_byte(digits, n).alias("byte"), F.lower(x["c"]).alias("low")), lambda y: changed(x["c"], y))
+        return F.struct(x["i"].alias("i"), F.when(n < keep, x["c"]).otherwise(other).alias("c"))
 
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+    def together(chars: Column) -> Column:
+        """Letters and digits are numbered among themselves and take their places again: time grows with the text."""
+        counted = F.filter(chars, lambda x: x["c"].rlike(r"[\p{L}\p{N}]"))
+        rest = F.filter(chars, lambda x: ~x["c"].rlike(r"[\p{L}\p{N}]"))
+        return F.array_join(F.transform(F.array_sort(F.concat(F.transform(counted, one), rest)), lambda x: x["c"]), "")
+
+    return _let(F.transform(F.split(text, ""), lambda c, i: F.struct(i.alias("i"), c.alias("c"))), together)
 
 
 def _first_names(key: str) -> dict[str, str]:
@@ -216,7 +222,8 @@ def _made(key: str, kind: Column, entity: Column, salt: Column, digits: Column)
 
     body = F.when(kind == "email", head).otherwise(entity)
     keep = F.when(kind.isin("phone", "card"), 1).when(kind == "iban", 2).otherwise(0)
-    letters = _letters(body, digits, (kind == "ip6") | (kind == "secret") & entity.rlike("^[0-9a-fA-F]+$"), keep)
+    plain = (kind == "ip6") | (kind == "secret") & entity.rlike("^[0-9a-fA-F]+$")
+    letters = _let(plain, lambda hexadecimal: _letters(body, digits, hexadecimal, keep))  # named once, not looked for at each letter
     return F.when(kind == "ip", F.array_join(F.transform(F.split(entity, r"\."), octet), ".")).otherwise(_let(letters, finished))
 
 
@@ -259,7 +266,7 @@ def exceptions(docs: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """kind, norm, salt of the entities that need a salt other than 0: the collision check over the whole corpus.
 
     Spaces grow, so that the loop ends; should entities of a kind be as many as there can be surrogates (all IP numbers),
-    those left after ``rounds`` keep the surrogate of their last salt.
+    those left after ``rounds`` keep the surrogate of their last salt, and a warning says so.
     """
     entities = docs.select(F.explode(_parts(found(pieces(F.col("text"))))).alias("x")).select("x.kind", "x.norm", "x.part")
     known = [n.lower() for v in FIRST_NAMES.values() for n in v.split()]  # permuted among themselves: no collision
@@ -279,6 +286,8 @@ def exceptions(docs: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
             break
         now = checked.withColumn("salt", F.col("salt") + F.col("again").cast("int"))
         now = now.withColumn("made", F.when(F.col("again"), made(F.col("salt"))).otherwise(F.col("made"))).drop("again")
+    else:
+        logging.getLogger(__name__).warning("after %d rounds some entities still have the surrogate of another", rounds)
     return now.filter("salt > 0").select("kind", "norm", "salt")
 
 
@@ -294,7 +303,9 @@ def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
     """docs with surrogates in ``text``, and a column n_entities. Without ``key`` that of the configuration."""
     key = key or configured_key(docs.sparkSession)
     odd = stored(exceptions(docs, key))
-    rows = docs.withColumn("_pieces", pieces(F.col("text")))
+    rest = [c for c in docs.columns if c not in ("text", "n_entities")]
+    # what else a row has is held in one column, so that no name of the input's is one of these
+    rows = docs.select(F.struct(F.lit(0).alias("_none"), *rest).alias("_row"), "text").withColumn("_pieces", pieces(F.col("text")))
     salts = F.create_map().cast("map<string,int>")
     if not odd.isEmpty():
         # only documents that hold an exception get salts, by a join on a digest of their text
@@ -324,4 +335,4 @@ def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
     text = F.replace(text, F.lit(_OWN), F.lit("\x01"))
     count = F.aggregate("_cut", F.lit(0), lambda n, c: n + F.floor(F.size(c) / 2).cast("int")) + F.floor(F.size("_cut") / 2).cast("int")
     rows = rows.withColumn("n_entities", F.coalesce(count, F.lit(0)).cast("long")).withColumn("text", F.when(F.col("_cut").isNotNull(), text).otherwise(F.col("text")))
-    return rows.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
+    return rows.select(*[F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns if c != "n_entities"], "n_entities")
