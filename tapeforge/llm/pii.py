@@ -305,7 +305,7 @@ def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
     odd = stored(exceptions(docs, key))
     rest = [c for c in docs.columns if c not in ("text", "n_entities")]
     # what else a row has is held in one column, so that no name of the input's is one of these
-    rows = docs.select(F.struct(F.lit(0).alias("_none"), *rest).alias("_row"), "text").withColumn("_pieces", pieces(F.col("text")))
+    rows = docs.select((F.struct(*rest) if rest else F.lit(0)).alias("_row"), "text").withColumn("_pieces", pieces(F.col("text")))
     salts = F.create_map().cast("map<string,int>")
     if not odd.isEmpty():
         # only documents that hold an exception get salts, by a join on a digest of their text
