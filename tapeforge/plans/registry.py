@@ -297,7 +297,7 @@ def _flat(rows: DataFrame, given: dict[str, Column]) -> DataFrame:
 
 
 def _canonical_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "customer")
+    rows = _read(spark, sf_dir, "customer").repartition("c_custkey")  # a small file is one task's, but records are many times as wide
     given = {"share_class_figi": _figi(F.col("c_custkey")), "name": F.upper("c_name"), "symbol": F.concat(F.lit("C"), F.col("c_custkey").cast("string")), "mics": F.array(F.lit("XNYS"), F.lit("XLON")), "last_price": _money("c_acctbal"), "sector": F.col("c_mktsegment")}
     return canonical.canonicalise(_flat(rows, given))
 

@@ -47,6 +47,7 @@ def one_a_key(new: DataFrame, order: str | list[str] | None = None) -> DataFrame
     """identity and financials: of repeated keys the last by ``order``, and of equals, or without an order, that of the greatest JSON."""
     places = [order] if isinstance(order, str) else list(order or [])
     place = F.struct(*places, to_json(F.col("identity"), F.col("financials")).alias("_text"))
+    new = new.repartition(F.col(KEY), *places)  # the aggregate sorts whole records: no task gets those of all that it reads
     return new.groupBy(F.col(KEY).alias("_key")).agg(F.max_by(F.struct("identity", "financials"), place).alias("_row")).select("_row.identity", "_row.financials")
 
 
@@ -104,10 +105,11 @@ def parse_ndjson(lines: DataFrame) -> DataFrame:
     """Records of JSON lines in a column value: blank lines are skipped, of equal keys the last line holds.
 
     The order is that of a column ``ord``, else of files by name, parts of a file by where they begin, and lines as a task reads them.
+    Lines are dealt out before they are parsed: the aggregate sorts whole records, which are no one part of a file's to hold.
     """
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")) if "ord" not in lines.columns else F.col("ord")
     rows = lines.select(place.alias("ord"), F.trim("value").alias("value")).filter("value <> ''")
-    rows = rows.select("ord", from_json(F.col("value")).alias("r"))
+    rows = rows.repartition("ord", "value").select("ord", from_json(F.col("value")).alias("r"))
     key = F.col("r.identity.share_class_figi")
     bad = F.when(is_blank(key), F.raise_error(F.lit("a line has no share_class_figi")).cast("string")).otherwise(key)
     return last_wins(rows.withColumn("k", bad), "k", "ord").select("r.identity", "r.financials")
