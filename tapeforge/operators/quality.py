@@ -12,11 +12,11 @@ from ..schemas import AMOUNT, AMOUNTS, FIELDS, REQUIRED, UNSIGNED
 
 
 def checked(field: str, text: Column) -> Column:
-    """(value, error) of a field other than an amount, from its normalised text; of mics from the list."""
+    """(value, error) of a field other than an amount, from its normalised text; of mics from the list of them."""
     if field in REQUIRED:
         return N.required_text(field, text)
     if field == "mics":
-        return N.mic_list(text)
+        return N.mic_codes(text)
     if field == "analyst_rating":
         return F.struct(N.known_rating(text).alias("value"), F.lit(None).cast("string").alias("error"))
     if field == "currency" or field in N.ID_PATTERNS:
@@ -35,7 +35,7 @@ def validate(df: DataFrame, keep: list[str], fields: list[str] = FIELDS) -> Data
     amounts, plain = [f for f in fields if f in AMOUNTS], [f for f in fields if f not in AMOUNTS and f != "mics"]
     text = {f: F.col(f).cast("string") for f in amounts}
     first = df.select(
-        *keep, *[F.col("mics")] * ("mics" in fields), F.struct(*fields).alias("_raw"),
+        *keep, *[F.transform("mics", N.norm_text).alias("_mics")] * ("mics" in fields), F.struct(*fields).alias("_raw"),
         *[N.norm_text(F.col(f).cast("string")).alias(f"_{f}") for f in plain],
         *[text[f].alias(f"_{f}") for f in amounts], *[text[f].try_cast(AMOUNT).alias(f"_plain_{f}") for f in amounts],
     )
@@ -44,7 +44,7 @@ def validate(df: DataFrame, keep: list[str], fields: list[str] = FIELDS) -> Data
     if amounts:
         first = first.withColumn("_odd", F.when(reduce(lambda x, y: x | y, odd.values()), N.decimals(cells)))
     number = {f: F.get("_odd", F.lit(i)) for i, f in enumerate(amounts)}
-    pairs = {f: checked(f, F.col("mics" if f == "mics" else f"_{f}")) for f in fields if f not in AMOUNTS}
+    pairs = {f: checked(f, F.col(f"_{f}")) for f in fields if f not in AMOUNTS}
     values = {f: p["value"] for f, p in pairs.items()} | {f: F.when(odd[f], number[f]["value"]).otherwise(F.col(f"_plain_{f}")) for f in amounts}
     errors = {f: p["error"] for f, p in pairs.items()} | {f: number[f]["error"] for f in amounts}
     out = first.select(*keep, *[values[f].alias(f) for f in fields], *[errors[f].alias(f"_error_{f}") for f in fields], "_raw")

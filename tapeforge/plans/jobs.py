@@ -49,7 +49,8 @@ class Seeded:
         ``parse``: rows, valid ones, and skipped ones by feed; ``convert``: rows, and converted ones; ``identify``: rows with an identifier, and
         those without; ``merge``: securities, and those with a missing field; ``enrich``: securities, and enriched ones; ``canonical``: records.
         """
-        out = self.watch.figures()
+        out = {stage: dict(own) for stage, own in self.watch.figures().items()}
+        out["convert"] = {"n_rows": out["parse"]["n_valid"], "n_converted": out["parse"].pop("n_converted")}
         out["identify"]["n_unidentified"] = out["convert"]["n_rows"] - out["identify"]["n_rows"]
         return out
 
@@ -68,16 +69,17 @@ def listings(raw: DataFrame, rates: DataFrame, responses: DataFrame, on_missing_
 def seed(raw: DataFrame, rates: DataFrame, responses: DataFrame, quotes: DataFrame | None = None, summaries: DataFrame | None = None, known: DataFrame | None = None, **more) -> Seeded:
     """Raw listings to canonical records: conversion goes before the merge, so that medians are in dollars.
 
-    Validated listings, listings in dollars and, where there is enrichment, merged rows are written before they are read more than once.
+    Validated listings and, where there is enrichment, merged rows are written before they are read more than once; the merge writes what it
+    reads. Listings in dollars are not written: they are a column's change of the validated ones.
     ``more``: what else :func:`enrich.enrich` takes.
     """
     watch = Watch()
     bad = F.size("errors") > 0
     skipped = {f"skipped_{f}": bad & (F.col("feed") == f) for f in FEEDS}
-    checked = stored(watch.stage("parse", quality.validate(raw, PLACE), n_valid=~bad, **skipped, skipped_others=bad & ~F.coalesce(F.col("feed").isin(*FEEDS), F.lit(False))))
+    converted = ~bad & ~fx.skips_conversion(["last_price", "market_cap"])
+    checked = stored(watch.stage("parse", quality.validate(raw, PLACE), n_valid=~bad, n_converted=converted, **skipped, skipped_others=bad & ~F.coalesce(F.col("feed").isin(*FEEDS), F.lit(False))))
     valid, rejected = quality.valid(checked), quality.rejected(checked, PLACE)
-    valid = watch.stage("convert", valid, n_converted=~fx.skips_conversion(["last_price", "market_cap"]))
-    dollars = stored(fx.to_usd(valid, rates))
+    dollars = fx.to_usd(valid, rates)
     found = identify.identify(dollars, responses).select(*PLACE, *FIELDS)
     merged = merge.merge_listings(watch.stage("identify", found))
     gaps = enrich.missing_fields()
